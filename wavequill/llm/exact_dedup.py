@@ -1,7 +1,8 @@
 """Exact deduplication by sorting content.
 
-Sampled splitters range-partition the normalised bytes, each partition is sorted externally, and the window
-operator compares every row with its neighbour in full to find the runs of equal texts. Texts repeated so often
+Sampled splitters range-partition the normalised bytes (by their head and, where heads agree, a hash, so that the
+samples the driver sees are short), each partition is sorted externally, and the window operator compares every row
+with its neighbour in full to find the runs of equal texts. Texts repeated so often
 that one run would fill a task are found by counting hashes (eight bytes a text, combined before the shuffle);
 they are salted, and their totals are pre-aggregated before any shuffle.
 
@@ -16,6 +17,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: bytes of a text that the splitters compare
+HEAD = 32
+
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise: Callable[[Column], Column] | None = None, hot_groups: int = 1024, hot_rows: int = 2000, salts: int = 64, carry: bool = False) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256 (and `row`, the whole input row, if `carry`).
@@ -30,14 +34,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = F.max if keep == "largest" else F.min
     least = max(hot_rows, docs.count() // hot_groups)
     hot = [r[0] for r in rows.groupBy(hashed.alias("h")).count().filter(F.col("count") > least).select("h").collect()]
+    rows = rows.withColumn("head", F.substring("body", 1, HEAD)).withColumn("mark", hashed)
     if hot:
         rows = rows.withColumn("salt", F.when(hashed.isin(hot), F.pmod(F.xxhash64("id"), F.lit(salts))).otherwise(F.lit(0).cast("long")))
-    by = ["body", "salt"] if hot else ["body"]
+    place = ["head", "mark", "salt"] if hot else ["head", "mark"]
     order = F.col("id").desc_nulls_last() if keep == "largest" else F.col("id").asc_nulls_last()
-    run = Window.partitionBy(*by).orderBy(order)
+    run = Window.partitionBy(*place, "body").orderBy(order)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # the sort by content: range partitions of the bytes already gather what the window needs
-    found = rows.repartitionByRange(*by).select(
+    found = rows.repartitionByRange(*place).select(
         "id", *(["row"] if carry else []), F.sha2("body", 256).alias("text_sha256"), F.row_number().over(run).alias("place"), F.first("id").over(whole).alias("keep_id"), F.count(F.lit(1)).over(whole).alias("group_size")
     )
     kept = F.col("place") == 1
