@@ -107,7 +107,8 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULE
     universe = written(urls.select(F.explode("keys").alias("key")).distinct(), "url-keys")
 
     def cascade(names: list[str]) -> Cascade:
-        return Cascade(spark.createDataFrame([(x,) for x in sorted(set(names))], "key string"), universe)
+        listed = [F.lit(x) for x in sorted(set(names))]
+        return Cascade(spark.range(1).select(F.explode(F.array(*listed).cast("array<string>")).alias("key")), universe)
 
     allow, block = (cascade([h + p for a, h, p in rules if a == action]) for action in ("allow", "block"))
     listed = cascade(list(listed_hosts))
