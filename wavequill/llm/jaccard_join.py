@@ -10,11 +10,16 @@ pass that test under several orders:
 * orders 2 and 3 rank by two other hashes; each candidate pair of order 1 must share prefix tokens under both before
   it is verified on the whole sets.
 
-Documents with equal sets are one node. Large groups of near copies are not expanded into pairs: every token's list
-is first compared with one pivot, found links are contracted to components, and only nodes that still lie in other
-components are compared further, with more pivots a round, until every pair of different components that shares a
-token has been verified. So no link between components is lost and the components are exact. (Shingles are told
-apart by 64-bit hashes, sets by 128-bit ones.)
+Documents with equal sets are one node. Large groups of near copies are not expanded into pairs. Every token's list
+of nodes has a pivot, the node that stands in most lists, and only pairs with pivots are verified at first; the links
+found are contracted to components. For lists that still have several components, a centre C (the tokens that most of
+some near members of the pivot have; any set would do) describes each member A by its delta, the symmetric difference
+D(A) of A and C. The difference of A and B has |D(A)| + |D(B)| tokens less two for each one the deltas share. So if
+A and B link, then either that sum alone is small enough, in which case both link to the member nearest to C by the
+same measure, or the deltas share a token within prefixes, at positions that leave room for as many more as a link
+needs. Members of one component need no comparison. So no link between components is lost, and the components are
+exact. (Shingles are
+told apart by 64-bit hashes, sets by 128-bit ones.)
 
 Null, empty and blank texts have no shingles and link with nothing. Rows with a null identifier link with nothing
 and have a null component. Repeated rows and copies share a component. Empty tables give empty results; other
@@ -132,19 +137,83 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _candidates(lists: DataFrame, pivots: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs between up to `pivots` nodes of every token's list and the nodes of other components in it, and the lists
-    without these pivots. A list's largest component gives no pivot: once all others have been pivots, none is needed."""
-    inside = lists.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("size"))
-    whole = inside.groupBy("tok").agg(F.max(F.struct("size", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("tok", F.col("main.comp").alias("main"))
-    live = lists.join(whole, "tok")
-    outer = live.filter("comp <> main")
-    chosen = outer.withColumn("place", F.row_number().over(Window.partitionBy("tok").orderBy("node"))).filter(F.col("place") <= pivots)
-    chosen = chosen.select("tok", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
-    pairs = live.join(chosen, "tok").filter((F.col("comp") != F.col("pc")) & (F.least("n", "pn") * den >= F.greatest("n", "pn") * num))
-    pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-    rest = live.join(chosen.select("tok", F.col("p").alias("node")), ["tok", "node"], "left_anti").select("tok", "node", "n", "comp")
-    return pairs, rest
+def _lively(lists: DataFrame) -> DataFrame:
+    """The lists with nodes of more than one component."""
+    ends = lists.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    return lists.join(ends.select("tok"), "tok", "left_semi")
+
+
+def _pivoted(lists: DataFrame) -> DataFrame:
+    """The lists with their pivots p."""
+    degree = lists.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    chosen = lists.join(degree, "node").groupBy("tok").agg(F.max(F.struct("degree", -F.col("node"), "node"))["node"].alias("p"))
+    return lists.join(chosen, "tok")
+
+
+def _centres(members: DataFrame, sets: DataFrame, voters: int = 32) -> DataFrame:
+    """p, centre: the tokens that at least half of the pivot's nearer members have, asked of `voters` members at most.
+    Which set it is changes how many pairs are verified, not which links are found."""
+    order = Window.partitionBy("p").orderBy((F.col("a") != F.col("p")), F.xxhash64("a", "p"), "a")
+    asked = members.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= voters)
+    known = asked.join(sets.withColumnRenamed("node", "a"), "a").select("p", "a", "toks")
+
+    def vote(key: tuple, rows: pa.Table) -> pa.Table:
+        own = [np.array(x, np.int64) for x in rows["toks"].to_pylist()]
+        first = own[rows["a"].to_pylist().index(key[0].as_py())]
+        near = [x for x in own if 4 * len(np.intersect1d(x, first, assume_unique=True)) >= len(x) + len(first)]
+        toks, count = np.unique(np.concatenate(near), return_counts=True)
+        centre = first if len(near) < 3 else toks[2 * count >= len(near)]
+        return pa.table({"p": [key[0].as_py()], "centre": pa.array([centre], pa.list_(pa.int64()))})
+
+    return known.groupBy("p").applyInArrow(vote, "p long, centre array<long>")
+
+
+def _deltas(members: DataFrame, sets: DataFrame, centres: DataFrame, num: int, den: int) -> DataFrame:
+    """p, tok, a, n, size, pos: the prefix of every member's delta to its pivot's centre; the order has the tokens
+    outside the centre first, then the centre's, each by hash. size is the whole delta's, pos counts from 1; an empty
+    delta has one row without a token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right, toks, n, size = batch.column("toks"), batch.column("centre"), [], [], []
+            for i in range(batch.num_rows):
+                x, y = left[i].values.to_numpy(), right[i].values.to_numpy()
+                new, gone = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                n.append(len(x))
+                size.append(len(new) + len(gone))
+                toks.append(np.concatenate([new, gone])[: len(x) * (den - num) // num + 1] if size[-1] else np.zeros(1, np.int64))
+            count = np.array([len(t) for t in toks], np.int64)
+            row = np.repeat(np.arange(len(toks)), count)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + 1
+            sizes, take = np.array(size, np.int64)[row], pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("p").take(take), pa.array(np.concatenate(toks) if toks else [], pa.int64(), mask=sizes == 0), batch.column("a").take(take), pa.array(np.array(n, np.int64)[row]), pa.array(sizes), pa.array(pos, pa.int64())],
+                names=["p", "tok", "a", "n", "size", "pos"],
+            )
+
+    whole = members.join(sets.withColumnRenamed("node", "a"), "a").join(centres, "p")
+    return whole.select("p", "a", "toks", "centre").mapInArrow(run, "p long, tok long, a long, n long, size long, pos long")
+
+
+def _near_pairs(deltas: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of the member nearest to each centre and those whose deltas are small enough to link with it."""
+    each = deltas.filter("pos = 1").withColumn("far", F.col("size") * (den + num) - F.col("n") * (den - num))
+    nearest = each.groupBy("p").agg(F.min(F.struct("far", "a")).alias("q")).select("p", F.col("q.far").alias("near"), F.col("q.a").alias("q"))
+    found = each.join(nearest, "p").filter((F.col("far") + F.col("near") <= 0) & (F.col("a") != F.col("q")))
+    return found.select(F.least("a", "q").alias("a"), F.greatest("a", "q").alias("b")).distinct()
+
+
+def _delta_pairs(deltas: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components whose deltas to one pivot share a token where a link allows it."""
+    at = deltas.join(comps.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
+    ends = at.groupBy("p", "tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("p", "tok")
+    at = at.join(ends, ["p", "tok"], "left_semi")
+    other = at.select("p", "tok", *[F.col(k).alias(k + "2") for k in ("a", "n", "size", "pos", "comp")])
+    room = 2 * (den + num) * (1 + F.least(F.col("size") - F.col("pos"), F.col("size2") - F.col("pos2")))
+    fits = room >= (F.col("size") + F.col("size2")) * (den + num) - (den - num) * (F.col("n") + F.col("n2"))
+    sized = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
+    same = (at["p"] == other["p"]) & (at["tok"] == other["tok"])
+    return at.join(other, same & (F.col("a") < F.col("a2")) & (F.col("comp") != F.col("comp2")) & sized & fits).select("a", F.col("a2").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,18 +241,18 @@ def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     sets = texts.mapInArrow(whole, "sig binary, toks array<long>").withColumn("node", F.xxhash64("sig"))
     sets = written(sets.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["node"]).select("node", "toks"), "sets")
 
-    links, comps, pivots = None, None, 1
-    while True:
-        pairs, rest = _candidates(lists, pivots, num, den)
-        found = written(_verify(pairs, sets, num, den), "links")
-        if comps is None or found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            comps = components(links)
-        rest = rest.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        lists = written(rest.select("tok", "node", "n", "comp"), "lists")
-        if lists.limit(1).count() == 0:
-            break
-        pivots *= 8
+    lists = written(_pivoted(_lively(lists)), "lists")
+    near = lists.filter("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    links = written(_verify(near, sets, num, den), "links")
+    comps = components(links)
+    open_ = _lively(lists.filter("node <> p").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    members = open_.select("p", F.col("node").alias("a"))
+    members = written(members.unionByName(members.select("p", F.col("p").alias("a"))).distinct(), "members")
+    deltas = written(_deltas(members, sets, _centres(members, sets), num, den), "deltas")
+    pairs = _delta_pairs(deltas, comps, num, den).unionByName(_near_pairs(deltas, num, den))
+    more = written(_verify(pairs.distinct(), sets, num, den), "links")
+    if more.limit(1).count():
+        comps = components(links.unionByName(more))
     ids = sets_of.groupBy("sig").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.xxhash64("sig"))
     placed = ids.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     first = placed.groupBy("comp").agg(F.min("id").alias("component_id"), F.sum("copies").alias("members")).filter("members > 1")
