@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -25,11 +26,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet in the shared folder and read it back, which cuts its lineage and survives lost executors."""
+def written(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+    """Write `df` as Parquet in the shared folder and read it back, which cuts its lineage and survives lost executors.
+
+    arrow_rows: rows in each batch that Python functions get, where rows are long.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        if arrow_rows:
+            spark.conf.set(ARROW_ROWS, str(arrow_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

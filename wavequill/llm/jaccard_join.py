@@ -43,6 +43,10 @@ from wavequill.llm.shingles import mix, shingle_sets
 ORDERS = (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47)
 #: rows of text that are hashed at a time
 ROWS = 1000
+#: pairs of sets that are compared at a time
+PAIRS = 250
+#: identifiers that are sent to all tasks at most
+SENT = 500_000
 
 
 def prefix_size(n: np.ndarray | int, num: int, den: int):
@@ -51,8 +55,9 @@ def prefix_size(n: np.ndarray | int, num: int, den: int):
 
 
 def low_range(num: int, den: int) -> int:
-    """Upper end of the hashes that order 1 ranks by frequency: 1.6 times a prefix's share of the tokens."""
-    return int(-(1 << 63) + min(0.999, 1.6 * (1 - num / den) + 0.01) * (1 << 64))
+    """Upper end of the hashes that order 1 ranks by frequency: a prefix's share of the tokens and a tenth more, so
+    that the many tokens of one document alone fill most prefixes."""
+    return int(-(1 << 63) + min(0.999, 1.2 * (1 - num / den) + 0.09) * (1 << 64))
 
 
 def shingled(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
@@ -218,7 +223,7 @@ def _delta_pairs(deltas: DataFrame, comps: DataFrame, num: int, den: int) -> Dat
 
 def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles and component_id (the smallest identifier that links reach) for every row."""
-    rows = written(shingled(docs, words, num, den, id_col, text_col), "shingles")
+    rows = written(shingled(docs, words, num, den, id_col, text_col), "shingles", ROWS)
     sets_of = rows.filter("sig is not null and id is not null")
     nodes = sets_of.groupBy("sig").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("low").alias("low")).withColumn("node", F.xxhash64("sig"))
     lists = written(prefix_postings(nodes.select("node", "n", "low"), num, den), "postings").withColumn("comp", F.col("node"))
@@ -237,20 +242,23 @@ def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
             ends = np.cumsum([0, *map(len, toks)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(toks) if toks else [], pa.int64()))], names=["sig", "toks"])
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted.select("id").distinct(), "id", "left_semi").select("text")
+    ids = wanted.select("id").distinct()
+    if ids.count() <= SENT:  # else the join shuffles
+        ids = F.broadcast(ids)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi").select("text")
     sets = texts.mapInArrow(whole, "sig binary, toks array<long>").withColumn("node", F.xxhash64("sig"))
-    sets = written(sets.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["node"]).select("node", "toks"), "sets")
+    sets = written(sets.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["node"]).select("node", "toks"), "sets", ROWS)
 
     lists = written(_pivoted(_lively(lists)), "lists")
     near = lists.filter("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-    links = written(_verify(near, sets, num, den), "links")
+    links = written(_verify(near, sets, num, den), "links", PAIRS)
     comps = components(links)
     open_ = _lively(lists.filter("node <> p").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     members = open_.select("p", F.col("node").alias("a"))
     members = written(members.unionByName(members.select("p", F.col("p").alias("a"))).distinct(), "members")
-    deltas = written(_deltas(members, sets, _centres(members, sets), num, den), "deltas")
+    deltas = written(_deltas(members, sets, _centres(members, sets), num, den), "deltas", PAIRS)
     pairs = _delta_pairs(deltas, comps, num, den).unionByName(_near_pairs(deltas, num, den))
-    more = written(_verify(pairs.distinct(), sets, num, den), "links")
+    more = written(_verify(pairs.distinct(), sets, num, den), "links", PAIRS)
     if more.limit(1).count():
         comps = components(links.unionByName(more))
     ids = sets_of.groupBy("sig").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.xxhash64("sig"))

@@ -28,7 +28,7 @@ SPACE = "▁"
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NEVER = -(1 << 40)
 #: distinct segments that are remembered from batch to batch
-MEMO = 800_000
+MEMO = 400_000
 
 
 @dataclass
@@ -335,7 +335,7 @@ def _lists(arrays: list[np.ndarray | None]) -> pa.ListArray:
 
 
 #: characters of text that are indexed at a time
-CHUNK = 4_000_000
+CHUNK = 3_000_000
 
 
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kind: str = "bpe", decode: bool = True) -> DataFrame:

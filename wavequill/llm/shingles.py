@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 _SEPARATORS = (9, 10, 11, 12, 13, 32)
 
 
