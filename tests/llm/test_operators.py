@@ -1,0 +1,202 @@
+"""The corpus operators against brute force, exact round trips and held-out accuracy."""
+
+import glob
+import hashlib
+import html
+import os
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tests.conftest import SF
+from wavequill.llm import entries, exact_dedup, html_blocks, jaccard_join, language_id, mixing, secret_scan, sentence_pieces, sharding, url_filters
+from wavequill.llm import webp_lossless as webp
+from wavequill.llm.common import table
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, kept string"
+#: nulls everywhere, empty and very long texts, ties, repeated rows, and a column named like a result's
+ODD = [(1, None, None, None, None, "x"), (2, "", "en", "a", 0, "x"), (3, "a b c d e f", "en", "a", 11, None), (4, "a b c d e f", None, None, 11, "x"), (4, "a b c d e f", None, None, 11, "x"), (None, "a b c d e f g", "en", "b", 13, "x"), (5, "wörd " * 60_000, "de", "b", 1, "x"), (6, "123 !!", "en", "a", 6, "x")]
+
+
+@pytest.fixture(params=["odd", "empty"])
+def docs(request, spark):
+    return spark.createDataFrame(ODD if request.param == "odd" else [], COLUMNS)
+
+
+def test_odd_documents(spark, docs):
+    n = docs.count()
+    assert exact_dedup.exact_dedup(docs, keep="largest").count() == n
+    assert exact_dedup.without_copies(docs).columns == docs.columns
+    assert sharding.stratified_shards(docs).count() == n
+    assert mixing.fit_mixture(docs).count() == n
+    assert mixing.mixed(docs).columns == docs.columns
+    assert secret_scan.scan_secrets(docs).count() == n
+    assert sentence_pieces.encode_pieces(docs, entries.PIECE_MODEL).count() == n
+    assert jaccard_join.link_components(docs).count() == n
+    assert jaccard_join.one_of_each(docs).columns == docs.columns
+    found = language_id.identify(docs, language_id.train(docs)).collect()
+    assert len(found) == n and all(r.lang_pred == "und" for r in found if r.doc_id in (1, 2, 6))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None), (2, "", ""), (3, "x<y & z", "no scheme"), (3, "<p>a</p><nav>b</nav>" * 500, "http://COM/"), (4, "<article><p>t", "https://a.example.com/en/x?y")]])
+def test_odd_pages(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, html string, url string")
+    assert url_filters.filter_urls(pages).count() == len(rows)
+    assert html_blocks.extract(pages, html_blocks.train(pages, made_up=20)).count() == len(rows)
+
+
+@pytest.mark.parametrize("name", sorted(entries.ORACLE_SQL))
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for f in glob.glob(f"{SF}/*.parquet"):
+        con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
+    got, want = entries.QUERIES[name](spark, SF).toPandas(), con.execute(entries.ORACLE_SQL[name]).fetchdf()
+    plain = lambda d: sorted(map(repr, d[sorted(d.columns)].astype(object).where(d.notna(), None).map(lambda v: None if v is None else str(v)).itertuples(index=False, name=None)))
+    assert plain(got) == plain(want)
+
+
+def test_exact_dedup_of_hot_texts(spark):
+    d = table(spark, SF, "documents")
+    plain = sorted(map(tuple, exact_dedup.exact_dedup(d, keep="largest").collect()), key=str)
+    assert plain == sorted(map(tuple, exact_dedup.exact_dedup(d, keep="largest", hot_rows=1, hot_groups=10**6, salts=3).collect()), key=str)
+
+
+def test_webp_round_trips():
+    rng = np.random.default_rng(0)
+    base = np.repeat(np.repeat(rng.integers(0, 2**32, (5, 7), dtype=np.uint32), 3, 0), 3, 1)[:13, :17]
+    noise = base + rng.integers(0, 3, base.shape, dtype=np.uint32)
+    modes, groups = rng.integers(0, 14, (4, 5)), rng.integers(0, 3, (4, 5))
+    cases = [(noise, {}), (base, {"cache_bits": 4}), (noise, {"references": False}), (noise, {"transforms": (0,), "modes": modes}), (noise, {"transforms": (1,)}), (noise, {"transforms": (2,)}), (base, {"transforms": (3,)}), (base & 1, {"transforms": (3,)}), (base & 3, {"transforms": (3,), "cache_bits": 3}), (noise, {"transforms": (0, 1, 2), "cache_bits": 5, "modes": modes, "groups": groups})]
+    files = [webp.encode(p, **kw) for p, kw in cases]
+    assert all((a == p).all() for a, (p, _) in zip(webp.decode_batch(files), cases))
+    payloads = [b"\0" * 64, b"a" * 64, b"ab c" * 5000, bytes(rng.integers(0, 256, 6400, dtype=np.uint8)), ("é" * 32).encode() * 9]
+    stored = webp.store_payloads(payloads)
+    assert [x.tobytes()[: len(p)] for x, p in zip(webp.decode_batch(stored), payloads)] == payloads
+    assert [webp.store_payloads([p])[0] for p in payloads] == stored
+    assert webp.decode_batch([__import__("base64").b64decode("UklGRhoAAABXRUJQVlA4TA0AAAAvAAAAEAcQERGIiP4HAA==")])[0].shape == (1, 1)
+
+
+def test_media_columns(spark):
+    texts = {r.doc_id: (r.text or "").encode() for r in table(spark, SF, "documents").collect()}
+    for r in entries.op2_media_columns(spark, SF).collect():
+        p = texts[r.doc_id]
+        p = p.ljust(max(64, -(-len(p) // 64) * 64), b"\0")
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id]), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
+
+
+def test_mixture_meets_targets(spark):
+    d = table(spark, SF, "documents").toPandas().set_index("doc_id")
+    got = entries.op3_mixing(spark, SF).toPandas()
+    got["source"] = got["doc_id"].map(d["source"])
+    assert (got["size"] == got["doc_id"].map(d["text"].map(lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))))).all()
+    by = got.groupby("source").agg(size=("size", "sum"), source_size=("source_size", "first"), target=("target", "first"), taken=("taken", "sum"), longest=("size", "max"))
+    assert (by["size"] == by["source_size"]).all() and abs(by["target"].sum() - 1.5 * by["size"].sum()) < 1e-6
+    assert ((by["taken"] - by["target"]).abs() <= by["longest"]).all() and (got["taken"] <= 2 * got["size"]).all()
+    assert got.sort_values("doc_id")["taken"].tolist() == entries.op3_mixing(spark, SF).toPandas().sort_values("doc_id")["taken"].tolist()
+
+
+def test_fit_counts_is_exact_where_brute_force_is():
+    r = random.Random(3)
+    for _ in range(50):
+        sizes = np.array(sorted(r.sample(range(1, 30), 5)))
+        counts = np.array([r.randint(1, 3) for _ in sizes])
+        budget = r.randint(0, int((sizes * counts).sum()))
+        sums = {0}
+        for s, c in zip(sizes, counts):
+            sums |= {x + int(s) * k for x in sums for k in range(c + 1)}
+        take = mixing.fit_counts(sizes, counts, budget)
+        assert (take <= counts).all() and int((take * sizes).sum()) == max(x for x in sums if x <= budget)
+
+
+def test_sentence_pieces_match_the_library(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    model, r = SentencePieceProcessor(model_file=entries.PIECE_MODEL), random.Random(1)
+    texts = ["", " ", "a  b", "\tx\ny ", "  lead", "▁x", "a\0b", "日本語𝕏", "a" * 50, "      indented   code "] + ["".join(r.choice("abcdeéintros  ▁AT.") for _ in range(r.randrange(40))) for _ in range(500)]
+    m = sentence_pieces.Matcher(sentence_pieces.Vocabulary.load(entries.PIECE_MODEL))
+    assert [x.tolist() for x in m.encode_texts(texts)] == model.encode(texts)
+    got = {row.doc_id: row for row in entries.op5_sentence_pieces(spark, SF).collect()}
+    for row in table(spark, SF, "documents").collect():
+        assert got[row.doc_id].ids == model.encode(row.text) and got[row.doc_id].round_trip
+
+
+def test_language_held_out(spark):
+    lang = {r.doc_id: r.lang for r in table(spark, SF, "documents").collect()}
+    got = [r for r in entries.op6_language_id(spark, SF).collect() if r.held_out]
+    assert sum(lang[r.doc_id] == r.lang_pred for r in got) >= 0.97 * len(got)
+
+
+def test_shards(spark):
+    got = entries.op7_sharding(spark, SF).toPandas()
+    sizes = got.groupby("shard").size()
+    assert sizes.max() - sizes.min() <= 1 and all(sorted(g["slot"]) == list(range(len(g))) for _, g in got.groupby("shard"))
+    got["source"] = got["doc_id"].map({r.doc_id: r.source for r in table(spark, SF, "documents").collect()})
+    per = got.groupby(["source", "shard"]).size().unstack(fill_value=0)
+    assert (per.max(axis=1) - per.min(axis=1)).max() <= 2
+
+
+@pytest.mark.parametrize(("words", "num"), [(5, 80), (3, 50)])
+def test_components(spark, words, num):
+    d = table(spark, SF, "documents")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets, lists, parent = {}, defaultdict(list), {}
+    for r in d.collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate(lower))
+        sets[r.doc_id] = {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+        parent[r.doc_id] = r.doc_id
+        for s in sets[r.doc_id]:
+            lists[s].append(r.doc_id)
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for (a, b), n in Counter(p for x in lists.values() for p in combinations(x, 2)).items():
+        if 100 * n >= num * (len(sets[a]) + len(sets[b]) - n):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(d, words=words, num=num).collect()}
+    assert got == {i: (len(s), root(i)) for i, s in sets.items()}
+
+
+def test_secrets_and_ledger(spark):
+    d = table(spark, SF, "documents")
+    first = secret_scan.update_ledger(d)
+    assert secret_scan.update_ledger(d, first).count() == 0
+    again = sorted(map(tuple, secret_scan.scan_secrets(d, first).collect()))
+    got = secret_scan.scan_secrets(d).collect()
+    assert again == sorted(map(tuple, got))
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+    texts = {r.doc_id: r.text or "" for r in d.collect()}
+    for r in got:
+        t, spans = texts[r.doc_id], []
+        for k, (kind, p, g, least) in enumerate((("assign", assign, 2, 6), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile("[0-9a-f]+"), 0, 24))):
+            spans += [(m.start(), k, f"{kind}:{m.start()}:{m.end()}") for m in p.finditer(t) if len(m[g]) >= least]
+        assert r.base_sha256 == hashlib.sha256(",".join(s[2] for s in sorted(spans)).encode()).hexdigest()
+
+
+def test_articles(spark):
+    got = {r.page_id: r.text for r in entries.op10_html_extraction(spark, SF).collect()}
+    for r in table(spark, SF, "pages").collect():
+        inside = re.search(r"<article>(.*?)</article>", r.html or "", re.S)
+        blocks = re.split(r"</?(?:p|h1|h2|li|ul)>", inside[1].replace("<br>", " ")) if inside else []
+        want = [" ".join(html.unescape(re.sub("</?b>", "", b)).split()) for b in blocks]
+        assert got[r.page_id] == "\n".join(b for b in want if b)
+
+
+def test_pipeline(spark):
+    d = table(spark, SF, "documents")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language ID"](spark, d, SF)
+    assert kept.columns == d.columns and kept.count() >= 0.98 * d.count()
+    one = stages["exact dedup"](spark, kept, SF)
+    assert one.count() == kept.select("text").distinct().count()
+    assert all(stages[n](spark, one, SF).columns == d.columns for n in ("n-gram Jaccard join", "mixing"))
+    out = corpus_pipeline.run(spark, SF)
+    assert out.filter("not round_trip").count() == 0 and out.count() > 0
