@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from wavequill.llm.webp_lossless import decode_batch, store_payloads
 
-#: bytes of payloads that are coded at a time
-CHUNK = 16 << 20
+#: bytes of payloads that are coded, and of images that are decoded, at a time
+STORED, LOADED = 3 << 20, 8 << 20
 
 
 def padded(data: bytes) -> bytes:
@@ -30,10 +30,10 @@ def padded(data: bytes) -> bytes:
     return data.ljust(max(64, -(-len(data) // 64) * 64), b"\0")
 
 
-def _chunks(sizes: list[int]) -> Iterator[slice]:
+def _chunks(sizes: list[int], most: int) -> Iterator[slice]:
     begin = held = 0
     for i, n in enumerate(sizes):
-        if held and held + n > CHUNK:
+        if held and held + n > most:
             yield slice(begin, i)
             begin, held = i, 0
         held += n
@@ -47,7 +47,7 @@ def as_media(rows: DataFrame, payload: Column, keep: list[str]) -> DataFrame:
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = [x or b"" for x in batch.column("payload").to_pylist()]
-            for part in _chunks([len(x) for x in data]):
+            for part in _chunks([len(x) for x in data], STORED):
                 own = data[part]
                 kept = [batch.column(k).slice(part.start, len(own)) for k in keep]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array([len(x) for x in own], pa.int64()), pa.array(store_payloads([padded(x) for x in own]), pa.binary())], names=[*keep, "n_bytes", "media"])
@@ -75,7 +75,7 @@ def media_features(stored: DataFrame, keep: list[str]) -> DataFrame:
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             media, n = batch.column("media").to_pylist(), batch.column("n_bytes").to_pylist()
-            for part in _chunks([len(x) for x in media]):
+            for part in _chunks([len(x) for x in media], LOADED):
                 rows = [describe(*x) for x in zip(n[part], media[part], decode_batch(media[part]), strict=True)]
                 kept = [batch.column(k).slice(part.start, len(rows)) for k in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=[*keep, *names])
