@@ -21,6 +21,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,9 +167,9 @@ class Matcher:
                 del bound
             low[live], high[live] = new_low, new_high
         count = np.maximum(high - low, 0)
-        which = np.repeat(np.arange(len(self.ids)), count)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        return order[np.repeat(low, count) + inside], which
+        which = np.repeat(np.arange(len(self.ids), dtype=np.int32), count)
+        inside = np.arange(len(which)) + np.repeat(low - np.cumsum(count) + count, count)
+        return order.astype(np.int32 if n < 1 << 30 else np.int64)[inside], which
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging leaves piece b apart from piece a before it: no merge across their border comes first.
@@ -214,15 +215,19 @@ class Matcher:
         text[begin + sizes] = -2  # no piece has it, whatever the segments hold
         n = len(text)
         start, which = self.occurrences(text)
-        end, piece = start + self.length[which], self.ids[which]
+        size = self.length.astype(start.dtype)[which]
+        end, piece = start + size, self.ids.astype(np.int32)[which]
         covered = np.zeros(n, bool)
-        covered[start[self.length[which] == 1]] = True
-        segment = np.repeat(np.arange(len(segments)), sizes + 1)
+        covered[start[size == 1]] = True
+        opening = np.repeat(begin.astype(start.dtype), sizes + 1)  # of the segment a position is in
+        del which, size
         lone = np.flatnonzero(~covered & (text != -2))  # characters outside the vocabulary
         unknown = len(self.v.pieces)
-        start, end = np.concatenate([start, lone]), np.concatenate([end, lone + 1])
-        piece = np.concatenate([piece, np.full(len(lone), unknown)])
-        step = end - begin[segment[start]]
+        if len(lone):
+            lone = lone.astype(start.dtype)
+            start, end = np.concatenate([start, lone]), np.concatenate([end, lone + 1])
+            piece = np.concatenate([piece, np.full(len(lone), unknown, np.int32)])
+        step = end - opening[start]
         order = np.argsort(step.astype(np.int16) if step.max() < 1 << 15 else step, kind="stable")
         start, end, piece, step = start[order], end[order], piece[order], step[order]
         cuts = np.searchsorted(step, np.arange(1, int(step[-1]) + 2))
@@ -238,7 +243,7 @@ class Matcher:
             if self.v.kind == "bpe":
                 ok = fresh[s] | (p == unknown) | (last[s] == unknown)
                 ask = np.flatnonzero(~ok & (last[s] >= 0))
-                ok[ask] = self.compatible(last[s[ask]], p[ask])
+                ok[ask] = self.compatible(last[s[ask]], p[ask].astype(np.int64))
             else:
                 gain = score[s] + np.where(p == unknown, worst, self.v.scores[np.minimum(p, unknown - 1)])
                 by = np.lexsort((-gain, e))
@@ -335,7 +340,7 @@ def _lists(arrays: list[np.ndarray | None]) -> pa.ListArray:
 
 
 #: characters of text that are indexed at a time
-CHUNK = 3_000_000
+CHUNK = 1_500_000
 
 
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kind: str = "bpe", decode: bool = True) -> DataFrame:
@@ -348,16 +353,16 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(vocabulary.value)
         for batch in batches:
-            texts, begin = batch.column("text").to_pylist(), 0
-            while begin < len(texts):
-                end, held = begin, 0
-                while end < len(texts) and (end == begin or held < CHUNK):
-                    held += len(texts[end] or "")
-                    end += 1
-                coded = matcher.encode_texts(texts[begin:end])
+            column, begin = batch.column("text"), 0
+            held = np.cumsum(pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            while begin < len(column):
+                done = int(held[begin - 1]) if begin else 0
+                end = max(begin + 1, int(np.searchsorted(held, done + CHUNK, side="right")))
+                texts = column.slice(begin, end - begin).to_pylist()
+                coded = matcher.encode_texts(texts)
                 columns = [batch.column("id").slice(begin, end - begin), pa.array([None if c is None else len(c) for c in coded], pa.int64()), _lists(coded)]
                 if decode:
-                    columns.append(pa.array([None if c is None else matcher.decode(c) == t for c, t in zip(coded, texts[begin:end], strict=True)], pa.bool_()))
+                    columns.append(pa.array([None if c is None else matcher.decode(c) == t for c, t in zip(coded, texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "ids", *(["round_trip"] if decode else [])])
                 begin = end
 
