@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavequill.functions import scalars as S
-from wavequill.operators import envelopes, levels, lookups, timeline
+from wavequill.operators import chains, envelopes, levels, lookups, loudness, timeline
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -14,10 +14,13 @@ SQL: dict[str, str] = {}
 SCENE_TYPES = [("dialogue_heavy", 0.20), ("music_montage", 0.25), ("ambient_establishing", 0.10), ("action_sfx", 0.10), ("sparse", 0.05), ("balanced", 0.30)]
 
 
-def query(sql: str):
+def query(sql: str | None):
+    """Registers a query; None where SQL can't express it, which is then tested by property."""
+
     def add(f):
         QUERIES[f.__name__] = lambda spark, d: f(lambda name: spark.read.parquet(f"{d}/{name}.parquet"))
-        SQL[f.__name__] = sql
+        if sql:
+            SQL[f.__name__] = sql
         return f
 
     return add
@@ -244,3 +247,40 @@ def u_set_operations(t):
     c, s, n = t("customer").select(F.col("c_nationkey").alias("k")), t("supplier").select(F.col("s_nationkey").alias("k")), t("nation").select(F.col("n_nationkey").alias("k"))
     parts = c.unionByName(s).distinct().withColumn("u", F.lit("union")).unionByName(c.unionByName(s).withColumn("u", F.lit("all"))).unionByName(n.join(s, "k", "left_anti").withColumn("u", F.lit("minus")))
     return parts.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: samples a second of the made-up tones below, and how many each event gives
+TONE_RATE, TONE_SAMPLES = 4000, 32
+
+
+def _tones(t) -> DataFrame:
+    """A scene per user: every event sounds for a while, as loud as its value."""
+    e = _events(t).select("user_id", "s", "event_id", "x", F.explode(F.sequence(F.lit(0), F.lit(TONE_SAMPLES - 1))).alias("i"))
+    return e.withColumn("x", F.col("x") * F.sin(F.col("i") * 0.7))
+
+
+@query(f"""WITH {_E}, b AS (SELECT user_id, s // 43200 AS block, avg(x * x) * CASE WHEN s // 43200 % 3 = 0 THEN 1e-3 ELSE 1 END AS z FROM e GROUP BY user_id, s // 43200),
+ l AS (SELECT user_id, z, -0.691 + 10 * log10(z) AS l FROM b), m AS (SELECT user_id, -0.691 + 10 * log10(avg(z)) - 10 AS gate FROM l WHERE l >= -70 GROUP BY user_id),
+ k AS (SELECT user_id, -0.691 + 10 * log10(avg(z)) AS lufs FROM l JOIN m USING (user_id) WHERE l >= -70 AND l > gate GROUP BY user_id)
+ SELECT user_id, round(coalesce(lufs, -70), 5) AS lufs FROM (SELECT DISTINCT user_id FROM e) LEFT JOIN k USING (user_id)""")
+def a10_loudness_gate(t):
+    block = F.floor(F.col("s") / 43200)
+    z = F.avg(F.col("x") * F.col("x")) * F.when(F.col("block") % 3 == 0, 1e-3).otherwise(1.0)
+    blocks = _events(t).withColumn("block", block).groupBy("user_id", "block").agg(z.alias("z"))
+    return loudness.gated_loudness(blocks, ["user_id"]).withColumn("lufs", F.round("lufs", 5))
+
+
+@query(None)
+def a6_loudness_and_true_peak(t):
+    return loudness.integrated_loudness(_tones(t), "user_id", ["s", "event_id", "i"], "x", TONE_RATE)
+
+
+@query(None)
+def f1_stem_chain(t):
+    settings = {"low_cut_hz": 80.0, "high_shelf_db": -3.0, "high_shelf_hz": 1200.0, "compressor": {"threshold": -20.0, "ratio": 2.0}, "reverb": {"room_size": 0.4, "damping": 0.5, "wet": 0.1}, "gain_db": -2.0}
+    return levels.levels(chains.process_stems(_tones(t), ["user_id"], ["s", "event_id", "i"], "x", TONE_RATE, settings), ["user_id"])
+
+
+@query(None)
+def f6_mastering(t):
+    return levels.levels(chains.master(_tones(t), ["user_id"], ["s", "event_id", "i"], "x", TONE_RATE), ["user_id"])
