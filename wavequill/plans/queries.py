@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavequill.functions import scalars as S
-from wavequill.operators import chains, envelopes, levels, lookups, loudness, timeline
+from wavequill.operators import chains, dimensions, envelopes, levels, lookups, loudness, timeline
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -284,3 +284,36 @@ def f1_stem_chain(t):
 @query(None)
 def f6_mastering(t):
     return levels.levels(chains.master(_tones(t), ["user_id"], ["s", "event_id", "i"], "x", TONE_RATE), ["user_id"])
+
+
+_REVERBS = ", ".join(f"('{n}', {r}::DOUBLE, {d}::DOUBLE, {w}::DOUBLE)" for n, r, d, w in dimensions.REVERBS)
+_CLASSES = ", ".join(f"('{n}', {i})" for i, n in enumerate(dimensions.REVERB_CLASSES))
+_MUSIC = ", ".join(f"('{n}', {i})" for i, n in enumerate(dimensions.MUSIC_CLASSES, 1))
+
+
+@query(f"""WITH dim(preset, room_size, damping, wet) AS (VALUES {_REVERBS}),
+ c AS (SELECT c_custkey, CASE c_nationkey % 5 WHEN 0 THEN 'cathedral' WHEN 1 THEN 'room' WHEN 2 THEN 'cellar' WHEN 3 THEN 'forest' END AS preset,
+  CASE WHEN c_acctbal < 0 THEN 0.02::DOUBLE END AS amount FROM customer)
+ SELECT c_custkey, d.room_size, d.damping, coalesce(amount, d.wet) AS wet_amount FROM c JOIN dim d ON d.preset = CASE WHEN c.preset IN (SELECT preset FROM dim) THEN c.preset ELSE 'medium_room' END""")
+def j4_reverb_preset(t):
+    k = F.col("c_nationkey") % 5
+    preset = F.when(k == 0, "cathedral").when(k == 1, "room").when(k == 2, "cellar").when(k == 3, "forest")
+    rows = t("customer").select("c_custkey", preset.alias("preset"), F.when(F.col("c_acctbal") < 0, F.lit(0.02)).alias("amount"))
+    return dimensions.with_reverb(rows, "preset", "amount").select("c_custkey", "room_size", "damping", "wet_amount")
+
+
+@query(f"""WITH dim(name, code) AS (VALUES {_CLASSES}), c AS (SELECT c_custkey, c_nationkey % 6 AS k, CASE c_nationkey % 6 WHEN 0 THEN 'Plate' WHEN 1 THEN 'cathedral' WHEN 2 THEN 'none' WHEN 3 THEN 'small_room' END AS kind FROM customer)
+ SELECT c_custkey, CAST(CASE WHEN k = 5 THEN 0 ELSE coalesce(code, 8) END AS INTEGER) AS reverb_class FROM c LEFT JOIN dim ON name = lower(kind)""")
+def j11_reverb_class(t):
+    k = F.col("c_nationkey") % 6
+    kind = F.when(k == 0, "Plate").when(k == 1, "cathedral").when(k == 2, "none").when(k == 3, "small_room")
+    return t("customer").select("c_custkey", dimensions.reverb_class(k != 5, kind).alias("reverb_class"))
+
+
+@query(f"""WITH dim(name, code) AS (VALUES {_MUSIC}), e AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'Dark' WHEN 1 THEN 'dark ambient ' || event_type WHEN 2 THEN 'inTENSE' WHEN 3 THEN '' WHEN 4 THEN 'null' END AS tag FROM events),
+ m AS (SELECT event_id, min(code) AS code FROM e JOIN dim ON contains(lower(tag), name) GROUP BY event_id)
+ SELECT event_id, CAST(CASE WHEN tag IS NULL OR tag = '' THEN 0 ELSE coalesce(d.code, m.code, 15) END AS INTEGER) AS music_class FROM e LEFT JOIN m USING (event_id) LEFT JOIN dim d ON d.name = lower(tag)""")
+def j12_music_class(t):
+    k = F.col("event_id") % 6
+    tag = F.when(k == 0, "Dark").when(k == 1, F.concat(F.lit("dark ambient "), F.col("event_type"))).when(k == 2, "inTENSE").when(k == 3, "").when(k == 4, "null")
+    return t("events").select("event_id", dimensions.music_class(tag).alias("music_class"))
