@@ -52,6 +52,20 @@ def test_odd_pages(spark, rows):
     assert html_blocks.extract(pages, html_blocks.train(pages, made_up=20)).count() == len(rows)
 
 
+def test_listed_hosts_as_a_table(spark):
+    kinds, endings = ("casino-win", "ads-track", "free-bets", "spam-farm", "cheap-pills", "adult-x"), ("com", "org", "net")
+    hosts = [f"{k}.example.{e}" for k in kinds for e in endings]
+    listed = spark.createDataFrame([(h.upper(),) for h in hosts] + [(None,), ("",), (hosts[0],), ("deep.down.under.test",)], "host string")
+    listed = listed.unionByName(spark.range(20_000).selectExpr("concat('bad-', id, '.test') AS host"))
+    names = [*hosts, *(f"www.{h}" for h in hosts), *(f"x{h}" for h in hosts), "bad-7.test", "a.bad-19999.test", "bad-20000.test", "down.under.test", "w.deep.down.under.test", "fine.example.org"]
+    pages = spark.createDataFrame([(i, f"http://{n}/zz/{i}") for i, n in enumerate(names)] + [(-1, None), (-2, "no scheme")], "page_id long, url string")
+    bad = {*hosts, *(f"www.{h}" for h in hosts), "bad-7.test", "a.bad-19999.test", "w.deep.down.under.test"}
+    got = {r.page_id: r for r in url_filters.filter_urls(pages, listed_hosts=listed).collect()}
+    assert len(got) == len(names) + 2 and got[-1].verdict == got[-2].verdict == "allow"
+    assert all(got[i].rule == "com/" if n.endswith(".com") else (got[i].rule is None and got[i].verdict == ("block" if n in bad else "allow")) for i, n in enumerate(names))
+    assert {r.verdict for r in url_filters.filter_urls(pages, listed_hosts=listed.limit(0)).collect()} == {"allow"}
+
+
 @pytest.mark.parametrize("name", sorted(entries.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()

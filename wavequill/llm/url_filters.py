@@ -8,7 +8,8 @@ false positive is left. A key's membership is then exact: the first level that r
 URLs are judged by bit tests against the levels, without a join.
 
 A level's words reach the driver and every task. They number as the listed keys, not as the corpus: the first
-level's false-positive rate is chosen so that as many unlisted keys pass as are listed.
+level's false-positive rate is chosen so that as many unlisted keys pass as are listed. The list of hosts may be a
+DataFrame of any length: its keys stay in Spark, the driver sees how many labels they have and the levels' words.
 
 Null URLs and those without `://` have empty host and path, fit no rule and get the default verdict. Rows repeat
 in the result as in the input; other columns are ignored, so none can clash. Empty tables give empty results.
@@ -38,13 +39,14 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def candidate_keys(host: Column, path: Column, keys: list[tuple[str, str]]) -> Column:
-    """The keys a URL could share with `keys` (pairs of host and path), longest host and longest path first."""
+def candidate_keys(host: Column, path: Column, shapes: set[tuple[int, int]]) -> Column:
+    """The keys a URL could share with keys of these shapes (labels of the host, characters of the path), longest host
+    and longest path first."""
     labels = F.split(host, r"\.")
     out = []
-    for n in sorted({h.count(".") + 1 for h, _ in keys}, reverse=True):
+    for n in sorted({k for k, _ in shapes}, reverse=True):
         suffix = F.when(F.size(labels) >= n, F.substring_index(host, ".", -n))
-        for length in sorted({len(p) for h, p in keys if h.count(".") + 1 == n}, reverse=True):
+        for length in sorted({size for k, size in shapes if k == n}, reverse=True):
             out.append(F.when(F.length(path) >= length, F.concat(suffix, F.substring(path, 1, length))))
     return F.array_distinct(F.array_compact(F.array(*out)))
 
@@ -98,20 +100,27 @@ class Cascade:
         return answer
 
 
-def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, listed_hosts: tuple[str, ...] = LISTED_HOSTS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """id, host, path, rule, verdict for every row; the longest fitting rule decides, else the list of hosts."""
+def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, listed_hosts: tuple[str, ...] | DataFrame = LISTED_HOSTS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """id, host, path, rule, verdict for every row; the longest fitting rule decides, else the list of hosts (names, or
+    a DataFrame with a column `host`, whose nulls and empty names are left out)."""
     spark = pages.sparkSession
-    keys = [(h, p) for _, h, p in rules] + [(h, "") for h in listed_hosts]
-    urls = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    urls = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), keys))
-    universe = written(urls.select(F.explode("keys").alias("key")).distinct(), "url-keys")
 
-    def cascade(names: list[str]) -> Cascade:
+    def frame(names: list[str]) -> DataFrame:
         listed = [F.lit(x) for x in sorted(set(names))]
-        return Cascade(spark.range(1).select(F.explode(F.array(*listed).cast("array<string>")).alias("key")), universe)
-
-    allow, block = (cascade([h + p for a, h, p in rules if a == action]) for action in ("allow", "block"))
-    listed = cascade(list(listed_hosts))
+        return spark.range(1).select(F.explode(F.array(*listed).cast("array<string>")).alias("key"))
+
+    shapes = {(h.count(".") + 1, len(p)) for _, h, p in rules}
+    if isinstance(listed_hosts, DataFrame):
+        hosts = written(listed_hosts.select(F.translate("host", UPPER, LOWER).alias("key")).filter("key <> ''").distinct(), "url-hosts")
+        shapes |= {(r["n"], 0) for r in hosts.select(F.size(F.split("key", r"\.")).alias("n")).distinct().collect()}  # one number a depth
+    else:
+        hosts = frame(list(listed_hosts))
+        shapes |= {(h.count(".") + 1, 0) for h in listed_hosts}
+    urls = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    urls = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), shapes))
+    universe = written(urls.select(F.explode("keys").alias("key")).distinct(), "url-keys")
+    allow, block = (Cascade(frame([h + p for a, h, p in rules if a == action]), universe) for action in ("allow", "block"))
+    listed = Cascade(hosts, universe)
     # of the fitting keys the longest wins, of equally long ones the more specific host, which comes first
     fits = F.transform(F.filter("keys", lambda k: allow.holds(k) | block.holds(k)), lambda k, i: F.struct(F.length(k).alias("length"), (-i).alias("place"), k.alias("key")))
     judged = urls.select("id", "host", "path", F.array_max(fits)["key"].alias("rule"), F.exists("keys", lambda k: listed.holds(k)).alias("is_listed"))
