@@ -204,6 +204,20 @@ def test_articles(spark):
         assert got[r.page_id] == "\n".join(b for b in want if b)
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<p>one</p><svg-icon name=x></svg-icon><p>two</p>", ["one", "two"]),
+    ("<p>one</p><template-x>in</template-x><p>two <select-box>three</p><p>four</p>", ["one", "in", "two three", "four"]),
+    ("<p>one <svg/> two</p><p>three <SVG width='1' /> four</p>", ["one two", "three four"]),
+    ("<p>one <svg><text>no</text></svg > two</p><template><p>no</p></template><select><option>no</select><p>three</p>", ["one two", "three"]),
+    ("<p>one <svg> two</p><p>three <select> four</p><template><p>five</p>" + "<svg>" * 3, ["one two", "three four", "five"]),
+    ("<p>so <math><mi>a</mi><mo>=</mo><mi>b</mi></math> holds <math/> here</p><p>two</p>", ["so a=b holds here", "two"]),
+    ("<p>one <object data=x>shown else</object></p><noscript><p>without scripts</p></noscript><p>two</p>", ["one shown else", "without scripts", "two"]),
+    ("<p>one</p><script>a<b</script x><style>c</style><p>two<scripture>three</p><iframe>no</iframe><textarea>no</textarea><p>four</p><script>no", ["one", "twothree", "four"]),
+])
+def test_blocks_beside_hidden_elements(page, want):
+    assert html_blocks.cut(page).texts == want
+
+
 def test_pipeline(spark):
     d = table(spark, SF, "documents")
     stages = dict(corpus_pipeline.STAGES)

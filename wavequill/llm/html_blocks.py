@@ -7,7 +7,9 @@ joined in page order.
 
 The model is trained on made-up pages of many layouts, whose labels are known, and on a bounded sample of the corpus,
 whose blocks get labels where their path names what they are. Null and empty pages have an empty text; broken markup
-is read as browsers do in spirit: stray `<` are text, unclosed elements end with their parent. Whole pages are read.
+is read as browsers do in spirit: stray `<` are text, unclosed elements end with their parent. Scripts, styles, frames
+and text fields are skipped to their end tag, and so are drawings, templates and lists of choices that have one; formulas
+and the fallbacks of objects and scripts are text of their block. Whole pages are read.
 Rows repeat as in the input; empty tables give empty results; other columns are ignored.
 """
 
@@ -28,10 +30,12 @@ from pyspark.sql import functions as F
 from wavequill.llm.shingles import word_hashes
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select)\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|iframe|textarea)(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*+>|(?P<text>[^<]+|<)",
     re.I | re.S,
 )
+#: ends of elements that hold no text of the page; those without an end hide nothing
+SKIPPED = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in ("svg", "template", "select")}
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+", re.I)
 BLOCKS = frozenset(
@@ -79,7 +83,10 @@ def cut(page: str | None) -> Blocks:
             held.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page or ""):
+    page = page or ""
+    endless: set[str] = set()  # hidden elements without an end in the rest of the page
+    tokens = TOKEN.finditer(page)
+    while (m := next(tokens, None)) is not None:
         if (text := m["text"]) is not None:
             held.append(text)
             if in_link:
@@ -92,6 +99,11 @@ def cut(page: str | None) -> Blocks:
         if tag == "br":
             held.append(" ")
             continue
+        if tag in SKIPPED and not m["close"] and tag not in endless and not (tag == "svg" and m["rest"].endswith("/")):
+            if end := SKIPPED[tag].search(page, m.end()):
+                tokens = TOKEN.finditer(page, end.end())
+                continue
+            endless.add(tag)
         if tag not in BLOCKS:
             if tag == "a":
                 in_link = 0 if m["close"] else 1
