@@ -63,9 +63,10 @@ def longest_quiet(samples: DataFrame, keys: list[str], order: list[str], value:
 
 
 def validation(stems: DataFrame, scene: list[str], lufs: tuple[float, float] = (-35.0, -10.0), most_peak: float = 0.0, most_dc: float = 0.01) -> DataFrame:
-    """A report per scene from its stems' levels: the failed checks in order, and whether it is valid.
+    """The part of a report that stems' levels tell: the failed checks in order, and whether there are none.
 
-    A quiet stem is an error unless it is music or sfx; a scene needs at least one stem in the loudness range.
+    A quiet stem is an error unless it is music or sfx; every stem's RMS must lie in the range `lufs`. `scene_reports`
+    applies all rules.
     """
     quiet = (F.col("rms_db") < -80) & ~F.col("stem").isin("music", "sfx")
     failed = F.array_compact(F.array(
@@ -81,3 +82,62 @@ def roll_up(reports: DataFrame) -> DataFrame:
     """Totals and the pass rate (0 for no reports) over all scenes."""
     found = reports.agg(F.count(F.lit(1)).alias("total"), F.count_if("is_valid").alias("valid"))
     return found.withColumn("pass_rate", F.when(F.col("total") > 0, F.col("valid") / F.col("total")).otherwise(F.lit(0.0)))
+
+
+def scene_reports(
+    scenes: DataFrame, stems: DataFrame, sums: DataFrame, mixes: DataFrame, durations: DataFrame, scene: list[str],
+    lufs: tuple[float, float] = (-35.0, -10.0), most_peak: float = 0.0, most_error: float = 1e-3, most_dc: float = 0.01, least_rms: float = -80.0, most_zeros: int = 48_000,
+) -> DataFrame:
+    """The whole report of every scene: errors and warnings (check, reason), is_valid, and the metrics they rest on.
+
+    scenes: a row a scene with has_metadata, has_linear, stored_error and scene_type; stems: rms_db, dc_offset, has_bad and
+    longest (run of zeros) per `stem`, as of `levels` and `longest_quiet`; sums: error, as of `additivity`; mixes: lufs and
+    true_peak_db, as of `integrated_loudness`; durations: matches, as of `duration_spread`. A scene without metadata or
+    linear files has this error alone. Long zeros are a warning, or an error where the stem fails for another reason.
+    """
+    say = lambda check, reason: F.struct((F.lit(check) if isinstance(check, str) else check).alias("check"), F.lit(reason).alias("reason"))
+    listed = lambda *marks: F.array_compact(F.array(*marks))
+    check = F.concat(F.lit("corruption_"), "stem")
+    broken = listed(
+        F.when(F.col("has_bad"), say(check, "nan_or_inf")), F.when((F.col("dc_offset") > most_dc) & ~F.isnan("dc_offset"), say(check, "dc_offset")),
+        F.when((F.col("rms_db") < least_rms) & ~F.col("stem").isin("music", "sfx"), say(check, "silent")),
+    )
+    zeros = listed(F.when(F.col("longest") > most_zeros, say(check, "long_silence")))
+    none = F.slice(zeros, 1, 0)
+    each = stems.withColumn("broken", broken).withColumn("fails", F.size("broken") > 0)
+    each = each.select(*scene, F.when(F.col("fails"), F.concat("broken", zeros)).otherwise(none).alias("e"), F.when(~F.col("fails"), zeros).otherwise(none).alias("w"))
+    per = each.groupBy(*scene).agg(F.array_sort(F.flatten(F.collect_list("e"))).alias("stem_errors"), F.array_sort(F.flatten(F.collect_list("w"))).alias("stem_warnings"))  # a few a stem
+    inputs = [per, sums.select(*scene, F.col("error").alias("additivity_error")), mixes.select(*scene, "lufs", "true_peak_db"), durations.select(*scene, F.col("matches").alias("durations_match"))]
+    all_of = scenes.select(*scene, "has_metadata", "has_linear", "stored_error", "scene_type")
+    for part in inputs:
+        all_of = all_of.join(part, scene, "left")
+    error = F.coalesce("additivity_error", F.lit(float("inf")))
+    errors = listed(
+        F.when(~(error < most_error) | F.isnan(error), say("additivity", "sum_differs")), F.when(F.col("lufs") < lufs[0], say("loudness", "too_quiet")),
+        F.when((F.col("lufs") > lufs[1]) & ~F.isnan("lufs"), say("loudness", "too_loud")), F.when((F.col("true_peak_db") > most_peak) & ~F.isnan("true_peak_db"), say("loudness", "clipping")),
+        F.when(~F.coalesce("durations_match", F.lit(False)), say("duration", "mismatch")),
+    )
+    warnings = listed(F.when((F.col("stored_error") > most_error) & ~F.isnan("stored_error"), say("additivity_stored", "high")))
+    has_metadata, has_linear = F.coalesce("has_metadata", F.lit(False)), F.coalesce("has_linear", F.lit(False))
+    ready = has_metadata & has_linear
+    found = F.when(~has_metadata, F.array(say("metadata", "missing"))).when(~has_linear, F.array(say("structure", "missing"))).otherwise(F.concat(errors, F.coalesce("stem_errors", F.slice(errors, 1, 0))))
+    warned = F.when(ready, F.concat(warnings, F.coalesce("stem_warnings", F.slice(warnings, 1, 0)))).otherwise(F.slice(warnings, 1, 0))
+    only = lambda c: F.when(ready, c)
+    return all_of.select(
+        *scene, found.alias("errors"), warned.alias("warnings"), (F.size(found) == 0).alias("is_valid"), only(error).alias("additivity_error"), only(F.col("stored_error")).alias("stored_error"),
+        only(F.col("lufs")).alias("lufs"), only(F.col("true_peak_db")).alias("true_peak_db"), only(F.col("scene_type")).alias("scene_type"),
+    )
+
+
+def report_roll_up(reports: DataFrame) -> DataFrame:
+    """One row over whole reports: totals, pass rate, error counts by check and the metrics' means and ends (loudness
+    and peaks of 0 and infinite additivity errors are left out, as are missing ones)."""
+    nonzero = lambda c: F.when(F.col(c) != 0, F.col(c))
+    added = F.when(F.col("additivity_error") < float("inf"), F.col("additivity_error"))
+    totals = roll_up(reports).join(reports.agg(
+        F.count_if(~F.col("is_valid")).alias("invalid"), F.count_if(F.col("is_valid") & (F.size("warnings") > 0)).alias("with_warnings"),
+        F.avg(nonzero("lufs")).alias("lufs_mean"), F.min(nonzero("lufs")).alias("lufs_min"), F.max(nonzero("lufs")).alias("lufs_max"),
+        F.avg(nonzero("true_peak_db")).alias("peak_mean"), F.max(nonzero("true_peak_db")).alias("peak_max"), F.avg(added).alias("additivity_mean"), F.max(added).alias("additivity_max"),
+    ))
+    counts = reports.select(F.explode("errors.check").alias("check")).groupBy("check").agg(F.count(F.lit(1)).alias("n"))
+    return totals.join(counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("check", "n")))).alias("error_counts")))  # a name a check
