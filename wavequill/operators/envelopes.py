@@ -63,6 +63,16 @@ def keyframes(frames: DataFrame, keys: list[str], at: str, db: str, least: float
     return series.select(*keys, F.explode(kept).alias("k")).select(*keys, F.col("k.at").alias(at), F.col("k.db").alias(db))
 
 
+def with_ends(points: DataFrame, samples: DataFrame, keys: list[str], at: str, gain: str, db: str, order: list[str], gap: float = 0.01) -> DataFrame:
+    """The keyframes and the last sample of every scene whose last keyframe lies more than `gap` before it, or that has
+    none. `at` is a time in one unit in both tables; `gain` of the sample is linear, `db` of the keyframes its level."""
+    last = samples.groupBy(*keys).agg(F.max_by(F.struct(at, gain), F.struct(*dict.fromkeys([at, *order]))).alias("end"))
+    ends = last.select(*keys, F.col("end")[at].alias(at), (20 * F.log10(F.greatest(F.col("end")[gain], F.lit(1e-6)))).alias(db))
+    kept = points.groupBy(*keys).agg(F.max(at).alias("kept"))
+    missing = ends.join(kept, keys, "left").filter(F.col("kept").isNull() | (F.col("kept") < F.col(at) - gap))
+    return points.select(*keys, at, db).unionByName(missing.select(*keys, at, db))
+
+
 def interpolated(frames: DataFrame, points: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
     """`value` of the points at the times of the frames: linear between neighbours, flat beyond the ends, 1 without points."""
     both = frames.select(*keys, at, F.lit(None).cast("double").alias(value), F.lit(True).alias("asked")).unionByName(points.select(*keys, at, value, F.lit(False).alias("asked")))

@@ -200,6 +200,14 @@ def w3_keyframes(t):
     return envelopes.keyframes(frames, ["user_id"], "s", "db", 3.0).withColumn("db", F.round("db", 5))
 
 
+@query(SQL["w3_keyframes"].replace("SELECT user_id, s, round(db, 5) AS db FROM r WHERE emit", """, p AS (SELECT user_id, s * 86400 AS s, db FROM r WHERE emit), z AS (SELECT user_id, s, x, row_number() OVER (PARTITION BY user_id ORDER BY s DESC, event_id DESC) AS k FROM e)
+ SELECT user_id, s, round(db, 5) AS db FROM p UNION ALL SELECT user_id, s, round(20 * log10(greatest(x, 1e-6)), 5) FROM z WHERE k = 1 AND s - 0.01 > (SELECT max(p.s) FROM p WHERE p.user_id = z.user_id)"""))
+def w3_keyframes_to_the_end(t):
+    frames = _events(t).groupBy("user_id", F.floor(F.col("s") / 86400).alias("s")).agg(S.linear_to_db(F.avg("x")).alias("db"))
+    points = envelopes.keyframes(frames, ["user_id"], "s", "db", 3.0).withColumn("s", F.col("s") * 86400)
+    return envelopes.with_ends(points, _events(t), ["user_id"], "s", "x", "db", ["event_id"]).withColumn("db", F.round("db", 5))
+
+
 @query(f"""WITH {_E}, o AS (SELECT user_id, x < 0.4 AS quiet, row_number() OVER (PARTITION BY user_id ORDER BY s, event_id) - row_number() OVER (PARTITION BY user_id, x < 0.4 ORDER BY s, event_id) AS run FROM e),
  c AS (SELECT user_id, quiet, run, count(*) AS n FROM o GROUP BY ALL) SELECT user_id, max(CASE WHEN quiet THEN n ELSE 0 END) AS longest FROM c GROUP BY user_id""")
 def w4_longest_quiet(t):
