@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,17 +16,29 @@ def cosine(a: Column, b: Column) -> Column:
     return dot / (norm(a) * norm(b))
 
 
-def nearest(queries: DataFrame, index: DataFrame, most: float = 0.75) -> DataFrame:
+def nearest(queries: DataFrame, index: DataFrame, most: float = 0.75, block: int = 100_000) -> DataFrame:
     """The index row of the least cosine distance for every query, the first of equal ones; null beyond `most`.
 
-    A stated set of queries (its size is checked) goes to all tasks, each of which keeps its best match per query, so
-    the index is read once and only one row per query and task is shuffled.
+    Blocks of about `block` queries go to all tasks one after another; each task keeps its best match per query, so the
+    index is read once a block and only one row per query and task is shuffled.
     """
     q = queries.select(F.col("id").alias("query_id"), F.col("vec").alias("query"))
-    if q.count() > 100_000:
-        raise ValueError("pass the queries in blocks of at most 100000")
-    scored = index.join(F.broadcast(q), F.col("id") != F.col("query_id")).select("query_id", "id", (1 - cosine(F.col("query"), F.col("vec"))).alias("distance"))
-    best = scored.groupBy("query_id").agg(F.min(F.struct(F.round("distance", 6).alias("distance"), "id")).alias("m"))
+
+    def best_of(part: DataFrame) -> DataFrame:
+        scored = index.join(F.broadcast(part), F.col("id") != F.col("query_id")).select("query_id", "id", (1 - cosine(F.col("query"), F.col("vec"))).alias("distance"))
+        return scored.groupBy("query_id").agg(F.min(F.struct(F.round("distance", 6).alias("distance"), "id")).alias("m"))
+
+    n = q.count()
+    if n <= block:
+        best = best_of(q)
+    else:
+        q, blocks, best = q.distinct(), math.ceil(n / (0.9 * block)), None  # hashed blocks differ a little in size
+        for i in range(blocks):
+            found = best_of(q.filter(F.pmod(F.xxhash64("query_id", "query"), F.lit(blocks)) == i))
+            # found before the next block is sent, so that one block at a time is in memory
+            found = found.checkpoint() if q.sparkSession.sparkContext.getCheckpointDir() else found.localCheckpoint()
+            best = found if best is None else best.unionByName(found)
+        best = best.groupBy("query_id").agg(F.min("m").alias("m"))
     return best.select("query_id", F.when(F.col("m.distance") <= most, F.col("m.id")).alias("match_id"), F.col("m.distance").alias("distance"))
 
 
