@@ -26,8 +26,9 @@ def level_to_db(x: Column) -> Column:
 
 
 def smoothing(ms: Column | float, rate: int = 48_000) -> Column:
-    """The one-pole coefficient of a time constant."""
-    return F.exp(F.lit(-1.0) / (F.lit(rate) * (F.lit(ms) if not isinstance(ms, Column) else ms) / 1000))
+    """The one-pole coefficient of a time constant; 0 (no smoothing) for 0 ms and less."""
+    samples = F.lit(rate) * (F.lit(ms) if not isinstance(ms, Column) else ms) / 1000
+    return F.when(samples > 0, F.exp(F.lit(-1.0) / samples)).when(samples.isNotNull(), F.lit(0.0))
 
 
 def gain_reduction(before: Column, after: Column) -> Column:
@@ -79,11 +80,24 @@ def agents_total(first: Column, second: Column) -> Column:
     return F.when(first.isNotNull() | second.isNotNull(), F.coalesce(first, F.lit(0)) + F.coalesce(second, F.lit(0)))
 
 
+def trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def json_of_reply(text: Column) -> Column:
-    """The JSON object in a reply: fences at both ends go, else the part from the first to the last brace stays."""
-    bare = F.regexp_replace(F.regexp_replace(F.trim(text), r"^```[A-Za-z]*\s*", ""), r"\s*```$", "")
-    inner = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    return F.when(bare.startswith("{") & bare.endswith("}"), bare).when(inner != "", inner).otherwise(bare)
+    """The JSON in a reply: of a fenced one the lines after the opening fence, without the closing one; what then begins
+    with a brace or a bracket stays as it is, else the part from the first to the last brace, if there is one. Null
+    counts as empty."""
+    whole = trimmed(F.coalesce(text, F.lit("")))
+    inside = F.regexp_replace(F.regexp_extract(whole, r"(?s)^[^\n]*\n(.*)$", 1), r"\s*```\s*$", "")
+    bare = trimmed(F.when(whole.startswith("```"), inside).otherwise(whole))
+    braced = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
+    return F.when(bare.startswith("{") | bare.startswith("[") | (braced == ""), bare).otherwise(braced)
+
+
+def is_json_object(text: Column) -> Column:
+    """Whether a text is a JSON object; false for other JSON, for what is no JSON and for null."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
 
 
 def unit_hash(key: Column, salt: str = "") -> Column:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 
 def normalised_times(events: DataFrame, keys: list[str], ts: str, duration: Column) -> DataFrame:
-    """Times beyond the scene scale all of its times down to nine tenths of it; all stay within the scene."""
+    """Times beyond the scene scale all of its times down to nine tenths of it; all stay within the scene. A null time is
+    0. Without a positive duration, and in scenes without any time, they stay as they are."""
     top = F.max(ts).over(Window.partitionBy(*keys))
     scaled = F.when(top <= duration, F.col(ts)).otherwise(F.col(ts) * 0.9 * duration / top)
-    return events.withColumn("at", F.least(F.greatest(scaled, F.lit(0.0)), F.greatest(F.lit(0.0), duration - 0.05)))
+    inside = F.least(F.greatest(scaled, F.lit(0.0)), F.greatest(F.lit(0.0), duration - 0.05))
+    return events.withColumn("at", F.when((duration > 0) & top.isNotNull(), inside).otherwise(F.col(ts)))
 
 
 def overlapping(left: DataFrame, right: DataFrame, keys: list[str], bucket: int) -> DataFrame:

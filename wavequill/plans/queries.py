@@ -11,7 +11,7 @@ from wavequill.operators import chains, dimensions, envelopes, levels, lookups,
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 #: shares of the scene types (fixed values)
-SCENE_TYPES = [("dialogue_heavy", 0.20), ("music_montage", 0.25), ("ambient_establishing", 0.10), ("action_sfx", 0.10), ("sparse", 0.05), ("balanced", 0.30)]
+SCENE_TYPES = [("dialogue_heavy", 0.20), ("music_montage", 0.25), ("ambient", 0.10), ("action_sfx", 0.10), ("sparse", 0.05), ("balanced", 0.30)]
 
 
 def query(sql: str | None):
@@ -36,7 +36,7 @@ _HASH = lambda k, salt="": f"((('0x' || substr(md5('{salt}' || CAST({k} AS VARCH
 
 
 @query(f"""WITH {_E} SELECT event_id, round(pow(10, -x / 20), 6) AS linear, round(20 * log10(x + 1e-10), 6) AS db, round(20 * log10(greatest(x - 0.5, 1e-6)), 6) AS gain_db,
- round(CASE WHEN x < 1e-10 THEN -100 ELSE 20 * log10(x) END, 6) AS level_db, round(exp(-1 / (48000 * value / 1000)), 6) AS smooth,
+ round(CASE WHEN x < 1e-10 THEN -100 ELSE 20 * log10(x) END, 6) AS level_db, round(CASE WHEN value > 0 THEN exp(-1 / (48000 * value / 1000)) ELSE 0 END, 6) AS smooth,
  round(CASE WHEN x > 1e-10 THEN least(greatest((x - 0.3) / (x + 1e-10), 0), 1) ELSE 1 END, 6) AS ratio,
  CAST(least(greatest(round_even((x - 0.5) * 2.2 * 32768, 0), -32768), 32767) AS INTEGER) AS q, CAST(CASE WHEN x < 0.7 THEN 1 ELSE 0 END AS FLOAT) AS vad FROM e""")
 def p_scalar_maths(t):
@@ -239,7 +239,7 @@ def w11_interleaved(t):
     return found.select("c_nationkey", "c_custkey", F.col("slot").cast("long").alias("slot"))
 
 
-@query(f"""WITH u AS (SELECT c_custkey, {_HASH('c_custkey', 'type')} AS u FROM customer) SELECT c_custkey, CASE WHEN u < 0.2 THEN 'dialogue_heavy' WHEN u < 0.45 THEN 'music_montage' WHEN u < 0.55 THEN 'ambient_establishing' WHEN u < 0.65 THEN 'action_sfx' WHEN u < 0.7 THEN 'sparse' ELSE 'balanced' END AS choice FROM u""")
+@query(f"""WITH u AS (SELECT c_custkey, {_HASH('c_custkey', 'type')} AS u FROM customer) SELECT c_custkey, CASE WHEN u < 0.2 THEN 'dialogue_heavy' WHEN u < 0.45 THEN 'music_montage' WHEN u < 0.55 THEN 'ambient' WHEN u < 0.65 THEN 'action_sfx' WHEN u < 0.7 THEN 'sparse' ELSE 'balanced' END AS choice FROM u""")
 def l7_weighted_choice(t):
     return lookups.weighted_choice(t("customer").select("c_custkey"), "c_custkey", SCENE_TYPES, "type")
 
