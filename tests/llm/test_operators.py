@@ -157,8 +157,9 @@ def test_shards(spark):
     assert (per.max(axis=1) - per.min(axis=1)).max() <= 2
 
 
-@pytest.mark.parametrize(("words", "num"), [(5, 80), (3, 50)])
-def test_components(spark, words, num):
+@pytest.mark.parametrize(("words", "num", "sent"), [(5, 80, 500_000), (3, 50, 0), (3, 90, 0)])
+def test_components(spark, monkeypatch, words, num, sent):
+    monkeypatch.setattr(jaccard_join, "SENT", sent)  # 0: every join shuffles
     d = table(spark, SF, "documents")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets, lists, parent = {}, defaultdict(list), {}
@@ -200,6 +201,26 @@ SECRETS = [
 ]
 
 
+def test_links_need_every_order(spark, monkeypatch):
+    """Pairs that share prefix tokens under order 1 alone never reach the verification."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(w if r.random() > share else f"x{r.random()}" for w in base) for share in (0, 0.01, 0.02, 0.3, 0.5, 0.6)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    linked = jaccard_join._linked
+
+    def spy(pairs, sets, scratch, num, den):
+        seen.append(pairs.count())
+        return linked(pairs, sets, scratch, num, den)
+
+    monkeypatch.setattr(jaccard_join, "_linked", spy)
+    got = {x.doc_id: x.component_id for x in jaccard_join.link_components(d, words=1).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5} and seen[0] > 0
+    prefixes = [[jaccard_join._prefix(s, seed, 80, 100) for seed in jaccard_join.ORDERS] for s in jaccard_join.shingle_sets(texts, 1)]
+    assert all(len(np.intersect1d(a, b)) for a, b in zip(prefixes[0], prefixes[1], strict=True))
+
+
 def test_secrets_equal_brute_force(spark):
     rows = [*SECRETS, *((r.doc_id, r.text) for r in table(spark, SF, "documents").collect())]
     got = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()]

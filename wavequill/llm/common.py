@@ -18,9 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines see (spark.checkpoint.dir); a local one only where none is set, as in tests."""
+    """The folder all machines see (spark.checkpoint.dir). Where none is set, a session on one machine, as in tests, gets
+    a local one; on a cluster that is an error, as other machines would not see it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         where = "file://" + tempfile.mkdtemp(prefix="wavequill-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -43,6 +46,24 @@ def written(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder by name; each is deleted once another one of its name is written, or when dropped."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+        found = written(df, name, arrow_rows)
+        self.drop(name)
+        self.paths[name] = found.inputFiles()[0].rsplit("/", 1)[0]
+        return found
+
+    def drop(self, *names: str) -> None:
+        for path in (self.paths.pop(n) for n in names if n in self.paths):
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def as_key(col: Column) -> Column:
     """A non-null text key: null and the empty text stay apart, so equi-joins need no null-safe comparison."""
     return F.coalesce(F.concat(F.lit("="), col.cast("string")), F.lit(""))

@@ -7,10 +7,10 @@ pass that test under several orders:
 * order 1 ranks the tokens of a fixed low range of hashes by document frequency, counted over all documents, rarest
   first, and all other tokens by hash after them. Only tokens of that range and too short prefixes are ever shuffled,
   and tokens of one document fill most prefixes, so few postings are left to join;
-* orders 2 and 3 rank by two other hashes; each candidate pair of order 1 must share prefix tokens under both before
-  it is verified on the whole sets.
+* orders 2 and 3 rank by two other hashes; the prefixes of both are stored beside each set, and a candidate pair of
+  order 1 must share a token under both before the whole sets are fetched for verification.
 
-Documents with equal sets are one node. Large groups of near copies are not expanded into pairs. Every token's list
+Documents with equal sets are one node, named by the row of their smallest identifier. Large groups of near copies are not expanded into pairs. Every token's list
 of nodes has a pivot, the node that stands in most lists, and only pairs with pivots are verified at first; the links
 found are contracted to components. For lists that still have several components, a centre C (the tokens that most of
 some near members of the pivot have; any set would do) describes each member A by its delta, the symmetric difference
@@ -18,8 +18,7 @@ D(A) of A and C. The difference of A and B has |D(A)| + |D(B)| tokens less two f
 A and B link, then either that sum alone is small enough, in which case both link to the member nearest to C by the
 same measure, or the deltas share a token within prefixes, at positions that leave room for as many more as a link
 needs. Members of one component need no comparison. So no link between components is lost, and the components are
-exact. (Shingles are
-told apart by 64-bit hashes, sets by 128-bit ones.)
+exact. (Shingles are told apart by 64-bit hashes, sets by 128-bit ones.)
 
 Null, empty and blank texts have no shingles and link with nothing. Rows with a null identifier link with nothing
 and have a null component. Repeated rows and copies share a component. Empty tables give empty results; other
@@ -33,10 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavequill.llm.common import written
+from wavequill.llm.common import Scratch
 from wavequill.llm.shingles import mix, shingle_sets
 
 #: seeds of the orders after the first
@@ -60,73 +60,108 @@ def low_range(num: int, den: int) -> int:
     return int(-(1 << 63) + min(0.999, 1.2 * (1 - num / den) + 0.09) * (1 << 64))
 
 
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else [], kind))
+
+
+def _signature(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
 def shingled(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n, sig (of the set), low (what order 1 needs: tokens of the low range, or the first of a prefix)."""
+    """id, row (a number of its own), n, sig (of the set), low (what order 1 needs: tokens of the low range, or the first
+    of a prefix)."""
     top = low_range(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 n, sig, low = [], [], []
                 for s in shingle_sets(batch.column("text").to_pylist(), words):
                     n.append(len(s))
-                    sig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    sig.append(_signature(s) if len(s) else None)
                     low.append(s[: max(int(np.searchsorted(s, top)), prefix_size(len(s), num, den))] if len(s) else s)
-                ends = np.cumsum([0, *map(len, low)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(low), pa.int64()))], names=["id", "n", "sig", "low"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.arange(row, row + len(n))), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), _lists(low, pa.int64())], names=["id", "row", "n", "sig", "low"])
+                row += len(n)
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, sig binary, low array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, row long, n long, sig binary, low array<long>")
 
 
 def prefix_postings(nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """tok, node, n: the tokens of order 1's prefixes that more than one node has."""
+    """tok, node: the tokens of order 1's prefixes that more than one node has."""
     top = low_range(num, den)
-    postings = nodes.select("node", "n", F.explode("low").alias("tok"))
+    postings = nodes.select("node", F.explode("low").alias("tok"))
     shared = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     ranked = F.struct((F.col("tok") >= top).alias("late"), F.when(F.col("tok") >= top, 0).otherwise(F.col("df")).alias("df"), "tok")
-    own = postings.join(shared, "tok").groupBy("node").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(ranked)).alias("toks"))  # one document's
-    counts = nodes.select("node", F.size(F.filter("low", lambda t: t < top)).alias("ranged"))
+    own = postings.join(shared, "tok").groupBy("node").agg(F.array_sort(F.collect_list(ranked)).alias("toks"))  # one document's
+    counts = nodes.select("node", "n", F.size(F.filter("low", lambda t: t < top)).alias("ranged"))
     alone = F.col("ranged") - F.size(F.filter("toks", lambda t: ~t["late"]))  # tokens of one node come first
     room = F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1 - alone
-    kept = own.join(counts, "node").withColumn("room", room.cast("int")).filter("room > 0").select("node", "n", F.explode(F.slice("toks", F.lit(1), F.col("room"))).alias("t"))
-    return kept.select(F.col("t.tok").alias("tok"), "node", "n")
+    kept = own.join(counts, "node").withColumn("room", room.cast("int")).filter("room > 0")
+    return kept.select("node", F.explode(F.slice("toks", F.lit(1), F.col("room"))).alias("t")).select("t.tok", "node")
+
 
+def _prefix(s: np.ndarray, seed: int, num: int, den: int) -> np.ndarray:
+    """The prefix of a set under the order that a seed gives, as sorted 32-bit numbers: equal tokens have equal ones."""
+    order = mix(s.view(np.uint64) ^ np.uint64(seed))
+    p = min(len(s), int(prefix_size(len(s), num, den)))
+    return np.unique((np.partition(order, p - 1)[:p] >> np.uint64(32)).astype(np.uint32).view(np.int32))
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that pass the other orders' filters and link."""
+
+def whole_sets(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """sig, n, toks (the whole set) and a prefix for each order after the first, of every row of `text`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = []
-            left, right = batch.column("left"), batch.column("right")
-            for i in range(batch.num_rows):
-                x, y = left[i].values.to_numpy(), right[i].values.to_numpy()
-                if not (min(len(x), len(y)) * den >= max(len(x), len(y)) * num):
-                    continue
-                if all(_share_prefix(x, y, seed, num, den) for seed in ORDERS):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if den * both >= num * (len(x) + len(y) - both):
-                        links.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(links, pa.int64())) for k in ("a", "b")], names=["a", "b"])
+            toks = [s for s in shingle_sets(batch.column("text").to_pylist(), words) if len(s)]
+            prefixes = [_lists([_prefix(s, seed, num, den) for s in toks], pa.int32()) for seed in ORDERS]
+            yield pa.RecordBatch.from_arrays([pa.array(map(_signature, toks), pa.binary()), pa.array(map(len, toks), pa.int64()), _lists(toks, pa.int64()), *prefixes], names=["sig", "n", "toks", *(f"prefix{i}" for i in range(len(ORDERS)))])
 
-    left, right = (sets.select(F.col("node").alias(k), F.col("toks").alias(v)) for k, v in (("a", "left"), ("b", "right")))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return texts.mapInArrow(run, "sig binary, n long, toks array<long>" + "".join(f", prefix{i} array<int>" for i in range(len(ORDERS))))
 
 
-def _share_prefix(x: np.ndarray, y: np.ndarray, seed: int, num: int, den: int) -> bool:
-    first = []
-    for s in (x, y):
-        order = mix(s.view(np.uint64) ^ np.uint64(seed))
-        p = min(len(s), int(prefix_size(len(s), num, den)))
-        first.append(np.partition(order, p - 1)[:p])
-    return len(np.intersect1d(*first, assume_unique=True)) > 0
+def _linked(pairs: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that pass the filters of all orders and link. Whole sets are fetched for those alone that pass."""
+    names = [f"prefix{i}" for i in range(len(ORDERS))]
 
+    def both(of: DataFrame, columns: list[str]) -> DataFrame:
+        side = lambda k: sets.select(F.col("node").alias(k), *[F.col(c).alias(k + c) for c in columns])
+        return of.join(side("a"), "a").join(side("b"), "b")
 
-def components(links: DataFrame) -> DataFrame:
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for c in names:
+                x, y = batch.column("a" + c), batch.column("b" + c)
+                for i in np.flatnonzero(keep):
+                    keep[i] = len(np.intersect1d(x[int(i)].values.to_numpy(), y[int(i)].values.to_numpy(), assume_unique=True)) > 0
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(np.flatnonzero(keep))) for k in ("a", "b")], names=["a", "b"])
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links, x, y = [], batch.column("atoks"), batch.column("btoks")
+            for i in range(batch.num_rows):
+                p, q = x[i].values.to_numpy(), y[i].values.to_numpy()
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                if den * common >= num * (len(p) + len(q) - common):
+                    links.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(links, pa.int64())) for k in ("a", "b")], names=["a", "b"])
+
+    sized = F.least("an", "bn") * den >= F.greatest("an", "bn") * num
+    candidates = both(pairs, ["n", *names]).filter(sized).select("a", "b", *[k + c for c in names for k in "ab"]).mapInArrow(meeting, "a long, b long")
+    candidates = scratch.written(candidates, "candidates", PAIRS)
+    links = scratch.written(both(candidates, ["toks"]).select("a", "b", "atoks", "btoks").mapInArrow(verified, "a long, b long"), f"links{len(scratch.paths)}", PAIRS)
+    scratch.drop("candidates")
+    return links
+
+
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, comp (the smallest node that links reach) for the nodes of `links` (a, b): alternating stars."""
-    edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    edges = scratch.written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -135,10 +170,11 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         pairs = large.join(least, "a")
         small = pairs.select("a", F.col("m").alias("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
-        edges = written(small, "edges")
+        edges = scratch.written(small, "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            return edges.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "node")
+            found = edges.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "node")
+            return scratch.written(found, "components")
         before = now
 
 
@@ -223,50 +259,52 @@ def _delta_pairs(deltas: DataFrame, comps: DataFrame, num: int, den: int) -> Dat
 
 def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles and component_id (the smallest identifier that links reach) for every row."""
-    rows = written(shingled(docs, words, num, den, id_col, text_col), "shingles", ROWS)
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.written(shingled(docs, words, num, den, id_col, text_col), "shingles", ROWS)
     sets_of = rows.filter("sig is not null and id is not null")
-    nodes = sets_of.groupBy("sig").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("low").alias("low")).withColumn("node", F.xxhash64("sig"))
-    lists = written(prefix_postings(nodes.select("node", "n", "low"), num, den), "postings").withColumn("comp", F.col("node"))
+    first = F.min(F.struct("id", "row")).alias("first")
+    reps = scratch.written(sets_of.groupBy("sig").agg(first, F.count(F.lit(1)).alias("copies")).select("sig", F.col("first.id").alias("id"), F.col("first.row").alias("node"), "copies"), "sets-of")
+    repeats = sets_of.select("sig", "row").join(reps.filter("copies > 1").select("sig", "node"), "sig").filter("row <> node").select("row")
+    repeats = scratch.written(repeats, "repeats")
+    nodes = sets_of.join(_sent(repeats), "row", "left_anti").select(F.col("row").alias("node"), "n", "low")
+    lists = scratch.written(prefix_postings(nodes, num, den), "postings")
+    slim = scratch.written(rows.select("id", "n", "sig"), "rows")
+    scratch.drop("shingles", "repeats")
 
     # whole sets of the nodes that stand in some list with others
     needed = lists.join(lists.groupBy("tok").count().filter("count > 1"), "tok").select("node").distinct()
-    keys = sets_of.select("sig", "id").groupBy("sig").agg(F.min("id").alias("id")).withColumn("node", F.xxhash64("sig")).join(needed, "node", "left_semi")
-    wanted = written(keys, "nodes")
+    wanted = scratch.written(reps.join(needed, "node", "left_semi").select("sig", "id", "node"), "nodes")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(_sent(wanted.select("id").distinct()), "id", "left_semi").select("text")
+    sets = whole_sets(texts, words, num, den).join(_sent(wanted.select("sig", "node")), "sig").drop("sig").dropDuplicates(["node"])
+    sets = scratch.written(sets, "sets", ROWS)
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig, toks = [], []
-            for s in shingle_sets(batch.column("text").to_pylist(), words):
-                sig.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                toks.append(s)
-            ends = np.cumsum([0, *map(len, toks)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(toks) if toks else [], pa.int64()))], names=["sig", "toks"])
-
-    ids = wanted.select("id").distinct()
-    if ids.count() <= SENT:  # else the join shuffles
-        ids = F.broadcast(ids)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi").select("text")
-    sets = texts.mapInArrow(whole, "sig binary, toks array<long>").withColumn("node", F.xxhash64("sig"))
-    sets = written(sets.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["node"]).select("node", "toks"), "sets", ROWS)
-
-    lists = written(_pivoted(_lively(lists)), "lists")
+    lists = scratch.written(_pivoted(_lively(lists.withColumn("comp", F.col("node")))), "lists")
     near = lists.filter("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-    links = written(_verify(near, sets, num, den), "links", PAIRS)
-    comps = components(links)
+    links = _linked(near, sets, scratch, num, den)
+    comps = components(links, scratch)
     open_ = _lively(lists.filter("node <> p").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     members = open_.select("p", F.col("node").alias("a"))
-    members = written(members.unionByName(members.select("p", F.col("p").alias("a"))).distinct(), "members")
-    deltas = written(_deltas(members, sets, _centres(members, sets), num, den), "deltas", PAIRS)
+    members = scratch.written(members.unionByName(members.select("p", F.col("p").alias("a"))).distinct(), "members")
+    scratch.drop("postings", "lists", "nodes")
+    tokens = sets.select("node", "toks")
+    deltas = scratch.written(_deltas(members, tokens, _centres(members, tokens), num, den), "deltas", PAIRS)
     pairs = _delta_pairs(deltas, comps, num, den).unionByName(_near_pairs(deltas, num, den))
-    more = written(_verify(pairs.distinct(), sets, num, den), "links", PAIRS)
+    more = _linked(pairs.distinct(), sets, scratch, num, den)
+    scratch.drop("members", "deltas", "sets")
     if more.limit(1).count():
-        comps = components(links.unionByName(more))
-    ids = sets_of.groupBy("sig").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.xxhash64("sig"))
-    placed = ids.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    first = placed.groupBy("comp").agg(F.min("id").alias("component_id"), F.sum("copies").alias("members")).filter("members > 1")
-    moved = placed.join(first, "comp").select("sig", "component_id")
-    out = rows.select("id", "n", "sig").join(moved, "sig", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+        comps = components(links.unionByName(more), scratch)
+    placed = reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    least = placed.groupBy("comp").agg(F.min("id").alias("component_id"), F.sum("copies").alias("members")).filter("members > 1")
+    moved = placed.join(least, "comp").select("sig", "component_id")
+    out = slim.join(moved, "sig", "left")
+    out = scratch.written(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")), "linked")
+    scratch.drop(*(n for n in list(scratch.paths) if n != "linked"))
+    return out
+
+
+def _sent(keys: DataFrame) -> DataFrame:
+    """With at most SENT rows, to be sent to all tasks; else a join shuffles."""
+    return F.broadcast(keys) if keys.count() <= SENT else keys
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
