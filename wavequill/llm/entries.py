@@ -36,7 +36,8 @@ def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    # documents without an identifier are none of those held out
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     models = language_id.train(docs.filter(~held_out))
     return language_id.identify(docs, models).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 

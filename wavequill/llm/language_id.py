@@ -1,33 +1,37 @@
 """Language identification with interpolated Kneser-Ney character language models.
 
-One model per language, of order 4 over lower-cased letters with one space between words. A language's n-grams and
-contexts of all orders lie in one sorted array of 64-bit hashes, beside their discounted probabilities and back-off
-weights. A text gets the language of the lowest cross-entropy per character. Its score is the posterior of the
-languages at a tempered likelihood; a text is rejected if its cross-entropy lies above a bound calibrated on the
-learned rows of that language, or if it has no letter.
+One model per language, of order 4 over lower-cased letters (and the marks on them) of any script, with one space
+between words. A language's n-grams and contexts of all orders lie in sorted arrays of 64-bit hashes of their code
+points, beside their discounted probabilities and back-off weights. A text gets the language of the lowest
+cross-entropy per character. Its score is the posterior of the languages at a tempered likelihood; a text is rejected
+if its cross-entropy lies above a bound for texts of its length, calibrated on labelled rows that the models weren't
+fitted on, or if it has no letter.
 
 Training reads a bounded sample of the labelled rows (`per_lang` documents a language, drawn by a seeded hash of the
-identifier). Every whole text is then predicted. Null texts and texts without letters are `und` with score 0. With
-no labelled row at all, everything is `und`. Ties go to the language first in code-point order. Rows repeat as in
-the input. Empty tables give empty results; other columns are ignored.
+identifier), of which every fifth calibrates. Every whole text is then predicted. Null texts and texts without letters
+are `und` with score 0. With no labelled row at all, everything is `und`. Ties go to the language first in code-point
+order. Rows repeat as in the input. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import functools
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ORDER = 4
-LETTERS = re.compile(r"[^\W\d_]+")
 UND = "und"
+LETTER, MARK = 1, 2
+#: lengths in characters from which a bound of its own holds
+LENGTHS = (1, 16, 64, 256, 1024)
+#: bytes of the scores that a worker remembers
+MEMORY = 32 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -37,8 +41,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash(code: np.ndarray, order: int) -> np.ndarray:
-    return _mix(code.astype(np.uint64) + np.uint64(order << 48))
+def gram_hashes(symbols: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the n-grams of code points that end at each symbol, for n from 0 to ORDER; the first n - 1 are void."""
+    s = symbols.astype(np.uint64)
+    out = [np.zeros(len(s), np.uint64)]
+    for n in range(1, ORDER + 1):
+        first = np.concatenate([np.zeros(min(n - 1, len(s)), np.uint64), s[: max(0, len(s) - n + 1)]])
+        out.append(_mix(out[-1] + (first + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n << 40)))
+    return out
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Of every code point: LETTER, MARK or 0."""
+    kind = {"L": LETTER, "M": MARK}
+    return np.fromiter((kind.get(unicodedata.category(chr(i))[0], 0) for i in range(0x110000)), np.uint8, 0x110000)
+
+
+def symbols(text: str) -> np.ndarray:
+    """The code points of a text: three spaces, the words with a space between them, a space; none without a letter."""
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _kinds()[c]
+    if not (kind == LETTER).any():
+        return np.zeros(0, np.uint32)
+    inside = kind > 0
+    keep = inside | np.append(False, inside[:-1])  # one break after each word
+    c = np.where(inside, c, np.uint32(32))[keep]
+    return np.concatenate([np.full(ORDER - 1, 32, np.uint32), c, np.full(int(c[-1] != 32), 32, np.uint32)])
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
@@ -48,7 +77,7 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: flo
 
 @dataclass
 class KneserNey:
-    """One language's model over symbol codes below `size`; a code of n symbols is a number in base `size`."""
+    """One language's model; `size` symbols share what the unigrams leave over."""
 
     size: int
     keys: np.ndarray
@@ -57,166 +86,172 @@ class KneserNey:
     backoff: np.ndarray
 
     @staticmethod
-    def fit(codes: np.ndarray, counts: np.ndarray, size: int) -> KneserNey:
+    def fit(grams: np.ndarray, counts: np.ndarray, size: int) -> KneserNey:
+        """grams: distinct n-grams of ORDER code points, a row each; counts: how often they occur."""
         keys, probability, contexts, backoff = [], [], [], []
         for n in range(ORDER, 0, -1):
+            key, ctx = _of_rows(grams), _of_rows(grams[:, :-1])
             ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
             discount = min(0.9, max(0.1, ones / max(1, ones + 2 * twos)))
-            ctx, inverse = np.unique(codes // size, return_inverse=True)
+            names, inverse = np.unique(ctx, return_inverse=True)
             total = np.bincount(inverse, weights=counts)
-            kinds = np.bincount(inverse)
-            keys.append(_hash(codes, n))
+            keys.append(key)
             probability.append((counts - discount) / total[inverse])
-            contexts.append(_hash(ctx, n))
-            backoff.append(discount * kinds / total)
-            codes, counts = np.unique(codes % size ** (n - 1), return_counts=True) if n > 1 else (codes, counts)  # continuation counts
+            contexts.append(names + np.uint64(n))
+            backoff.append(discount * np.bincount(inverse) / total)
+            if n > 1:  # continuation counts: in how many ways the shorter n-grams are preceded
+                _, first, counts = np.unique(_of_rows(grams[:, 1:]), return_index=True, return_counts=True)
+                grams = grams[first, 1:]
         k, c = np.concatenate(keys), np.concatenate(contexts)
         i, j = np.argsort(k), np.argsort(c)
         return KneserNey(size, k[i], np.concatenate(probability)[i], c[j], np.concatenate(backoff)[j])
 
-    def log_p(self, codes: np.ndarray) -> np.ndarray:
-        """Log-probability of the last symbol of each code of ORDER symbols after the others."""
-        p = np.full(len(codes), 1 / self.size)
+    def log_p(self, grams: list[np.ndarray], contexts: list[np.ndarray]) -> np.ndarray:
+        """Log-probabilities of symbols, from the hashes of the n-grams that end with them and of those n-grams' contexts,
+        for n from 1 to ORDER."""
+        p = np.full(len(grams[0]), 1 / self.size)
         for n in range(1, ORDER + 1):
-            part = codes % self.size**n
-            weight = _find(self.contexts, self.backoff, _hash(part // self.size, n), 1.0)
-            p = _find(self.keys, self.probability, _hash(part, n), 0.0) + weight * p
+            weight = _find(self.contexts, self.backoff, contexts[n - 1] + np.uint64(n), 1.0)
+            p = _find(self.keys, self.probability, grams[n - 1], 0.0) + weight * p
         return np.log(p)
 
 
+def _of_rows(grams: np.ndarray) -> np.ndarray:
+    """The hash of each row of code points, as `gram_hashes` has it."""
+    h = np.zeros(len(grams), np.uint64)
+    for n in range(1, grams.shape[1] + 1):
+        h = _mix(h + (grams[:, -n].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n << 40))
+    return h
+
+
 @dataclass
 class LanguageModels:
     langs: list[str]
-    classes: np.ndarray  # of every code point: 0 no letter, 1 a letter outside the alphabet, else its symbol
     models: list[KneserNey]
-    bound: dict[str, float] = field(default_factory=dict)  # cross-entropy above which a language is rejected
+    bounds: dict[str, list[float]] = field(default_factory=dict)  # cross-entropy above which a text is rejected, per length
     temper: float = 0.25
 
-    def __post_init__(self) -> None:
-        self._slot: np.ndarray | None = None
-
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "_slot": None, "_rows": None}
-
-    def symbols(self, text: str) -> np.ndarray:
-        """Symbols of a text: three spaces, the words with a space between them, a space."""
-        c = self.classes[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-        c = c[(c != 0) | np.append(True, c[:-1] != 0)] if len(c) else c
-        c = c[1:] if len(c) and not c[0] else c
-        c = c[:-1] if len(c) and not c[-1] else c
-        return np.concatenate([np.zeros(ORDER - 1, np.uint8), c, np.zeros(1, np.uint8)]) if len(c) else c
-
-    def entropies(self, texts: list[str | None]) -> np.ndarray:
-        """Cross-entropy in nats a character of every text under every language; NaN for texts without letters."""
-        size = self.models[0].size
-        if self._slot is None:  # scores of codes that were met; a worker fills it as it goes
-            self._slot, self._rows = np.full(size**ORDER, -1, np.int32), np.zeros((0, len(self.langs)))
-        out = np.full((len(texts), len(self.langs)), np.nan)
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def _scores(self, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Log-probabilities under every language of the symbols at `ends`; those of frequent n-grams are remembered in a
+        table of fixed size."""
+        if "_known" not in self.__dict__:
+            slots = 1 << int(np.log2(MEMORY / (8 + 4 * len(self.langs))))
+            self._known, self._rows = np.zeros(slots, np.uint64), np.zeros((slots, len(self.langs)), np.float32)
+        g = gram_hashes(flat)
+        key = g[ORDER][ends]
+        slot = (key & np.uint64(len(self._known) - 1)).astype(np.int64)
+        missed = np.flatnonzero(self._known[slot] != key)
+        out = self._rows[slot]
+        if len(missed):
+            new, first, back = np.unique(key[missed], return_index=True, return_inverse=True)
+            at = ends[missed[first]]
+            found = np.column_stack([m.log_p([g[n][at] for n in range(1, ORDER + 1)], [g[n - 1][at - 1] for n in range(1, ORDER + 1)]) for m in self.models])
+            out[missed] = found[back]
+            place = (new & np.uint64(len(self._known) - 1)).astype(np.int64)
+            place, last = np.unique(place, return_index=True)
+            self._known[place], self._rows[place] = new[last], found[last]
+        return out
+
+    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropy in nats a character of every text under every language, NaN for texts without letters; and the
+        numbers of characters."""
+        out, size = np.full((len(texts), len(self.langs)), np.nan), np.zeros(len(texts), np.int64)
         part: list[tuple[int, np.ndarray]] = []
 
         def flush() -> None:
-            if not part:
-                return
-            flat = np.concatenate([s for _, s in part]).astype(np.int32)
-            code = ((flat[:-3] * size + flat[1:-2]) * size + flat[2:-1]) * size + flat[3:]
-            ends = np.cumsum([len(s) for _, s in part])
-            inside = np.ones(len(flat), bool)
-            for k in range(1, ORDER):
-                inside[ends - k] = False  # windows that would run into the next text
-            code = code[inside[: len(code)]]
-            new = np.unique(code[self._slot[code] < 0])
-            if len(new):
-                self._slot[new] = len(self._rows) + np.arange(len(new))
-                self._rows = np.vstack([self._rows, np.column_stack([m.log_p(new.astype(np.int64)) for m in self.models])])
-            n = np.array([len(s) - ORDER + 1 for _, s in part])
-            sums = np.add.reduceat(self._rows[self._slot[code]], np.cumsum(n) - n, axis=0)
-            out[[i for i, _ in part]] = -sums / n[:, None]
-            part.clear()
+            if part:
+                n = np.array([len(s) - ORDER + 1 for _, s in part])
+                flat = np.concatenate([s for _, s in part])
+                inside = np.ones(len(flat), bool)
+                begin = np.cumsum(n + ORDER - 1) - (n + ORDER - 1)
+                inside[(begin[:, None] + np.arange(ORDER - 1)).ravel()] = False
+                sums = np.add.reduceat(self._scores(flat, np.flatnonzero(inside)).astype(np.float64), np.cumsum(n) - n, axis=0)
+                which = [i for i, _ in part]
+                out[which], size[which] = -sums / n[:, None], n
+                part.clear()
 
         held = 0
         for i, t in enumerate(texts):
-            if t and len(s := self.symbols(t)):
+            if t and len(s := symbols(t)):
                 part.append((i, s))
                 held += len(s)
                 if held > 1 << 20:
                     flush()
                     held = 0
         flush()
-        return out
-
-
-def _no_letters(text: str | None) -> bool:
-    return not text or not LETTERS.search(text)
+        return out, size
 
 
-def train(docs: DataFrame, per_lang: int = 2000, alphabet: int = 62, seed: int = 42, quantile: float = 0.999, slack: float = 1.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModels | None:
-    """Models of the languages in `docs`, from `per_lang` documents of each; None if there are none.
+def train(docs: DataFrame, per_lang: int = 2000, seed: int = 42, quantile: float = 0.999, slack: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModels | None:
+    """Models of the languages in `docs`, from about `per_lang` documents of each; None if there are none.
 
-    The alphabet has the sample's most frequent letters. A text is rejected `slack` nats above the `quantile` of the
-    learned texts' cross-entropies.
+    A fifth of the sample is left out of the fit and calibrates: a text is rejected if its cross-entropy lies `slack` nats
+    above the `quantile` of those of its language and length, or more than that for short texts.
     """
     learn = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
     sizes = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}  # a row a language
     if not sizes:
         return None
     rate = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, per_lang / n))) for k, n in sizes.items()])
-    sample = learn.filter(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < rate * (1 << 30)).select("lang", "text")
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30))
+    sample = learn.filter(drawn < rate * (1 << 30)).select("lang", "text", (F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(5)) == 0).alias("calibrates"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams: dict[str, Counter] = {}
+            own: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = " ".join(LETTERS.findall(text.lower()))
-                s = "   " + s + " " if s else ""
-                grams.setdefault(lang, Counter()).update(map("".join, zip(s, s[1:], s[2:], s[3:], strict=False)))
-            rows = [(k, g, n) for k, c in grams.items() for g, n in c.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "gram", "n"])
-
-    counted = sample.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
+                own.setdefault(lang, []).append(symbols(text))
+            for lang, parts in own.items():
+                grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(s, ORDER) for s in parts if len(s)] or [np.zeros((0, ORDER), np.uint32)])
+                _, first, n = np.unique(_of_rows(grams), return_index=True, return_counts=True)
+                text = grams[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)], pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
+
+    fitted = sample.filter(~F.col("calibrates"))
+    counted = fitted.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
     if counted.empty:
         return None
-    seen = Counter()
-    for g, n in zip(counted["gram"], counted["n"], strict=True):
-        seen[g[3]] += int(n)
-    del seen[" "]
-    letters = sorted(seen, key=lambda x: (-seen[x], x))[:alphabet]
-    classes = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
-    classes[[ord(x) for x in letters]] = np.arange(2, len(letters) + 2)
-    size = len(letters) + 2
+    counted = counted.sort_values(["lang", "gram"])
     langs = sorted(counted["lang"].unique(), key=lambda x: x.encode())
-    models = []
+    grams = np.frombuffer("".join(counted["gram"]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
+    size = len(np.unique(grams)) + 1  # and one for all others
+    found = LanguageModels(langs, [KneserNey.fit(grams[own], counted["n"].to_numpy()[own], size) for own in ((counted["lang"] == k).to_numpy() for k in langs)])
+    known = _scored(sample.filter("calibrates"), found, ["lang"]).filter("lang = best").withColumn("bin", length_bin(F.col("n")))
+    rows = known.groupBy("lang", "bin").agg(F.percentile("entropy", quantile).alias("q")).collect()  # a few a language
     for lang in langs:
-        own = counted[counted["lang"] == lang]
-        s = classes[np.frombuffer("".join(own["gram"]).encode("utf-32-le"), np.uint32)].reshape(-1, ORDER).astype(np.int64)
-        codes, inverse = np.unique(((s[:, 0] * size + s[:, 1]) * size + s[:, 2]) * size + s[:, 3], return_inverse=True)
-        models.append(KneserNey.fit(codes, np.bincount(inverse, weights=own["n"].to_numpy()), size))
-    found = LanguageModels(langs, classes, models)
-    known = _scored(sample, found, ["lang"])
-    for r in known.filter("lang = best").groupBy("lang").agg(F.percentile_approx("entropy", quantile).alias("q")).collect():
-        found.bound[r["lang"]] = r["q"] + slack
+        own = {r["bin"]: r["q"] for r in rows if r["lang"] == lang}
+        if own:  # shorter texts vary more: their bound is none lower than that of longer ones
+            most = [max(q for b, q in own.items() if b >= min(i, max(own))) for i in range(len(LENGTHS))]
+            found.bounds[lang] = [q + slack * (1 + 8 / n**0.5) for q, n in zip(most, LENGTHS, strict=True)]
     return found
 
 
+def length_bin(n: Column) -> Column:
+    """Which of LENGTHS a text of n characters reaches."""
+    return sum(((n >= k).cast("int") for k in LENGTHS[1:]), F.lit(0))
+
+
 def _scored(docs: DataFrame, models: LanguageModels, keep: list[str]) -> DataFrame:
-    """`keep` and best, entropy, score for the column text."""
+    """`keep` and best, entropy, n (characters), score for the column text."""
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the training sample
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         names = np.array([*m.langs, UND], object)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            h = m.entropies(texts)
-            bad = np.isnan(h[:, 0])
-            best = np.where(bad, 0, np.argmin(np.where(np.isnan(h), np.inf, h), axis=1)) if len(h) else np.zeros(0, int)
-            n = np.array([len(t) if t else 0 for t in texts])
-            logit = -np.minimum(n, 400)[:, None] * m.temper * (h - np.nanmin(np.where(bad[:, None], 0, h), axis=1, keepdims=True))
-            score = np.where(bad, 0.0, 1 / np.exp(np.where(bad[:, None], 0, logit)).sum(axis=1)) if len(h) else np.zeros(0)
-            entropy = np.where(bad, np.nan, h[np.arange(len(h)), best])
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(names[np.where(bad, len(m.langs), best)], pa.string()), pa.array(entropy, pa.float64(), from_pandas=True), pa.array(score, pa.float64())], names=[*keep, "best", "entropy", "score"])
+            h, n = m.entropies(batch.column("text").to_pylist())
+            bad = n == 0
+            h[bad] = 0.0
+            best = np.argmin(h, axis=1)
+            entropy = h[np.arange(len(h)), best]
+            score = np.where(bad, 0.0, 1 / np.exp(-n[:, None] * m.temper * (h - entropy[:, None])).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(names[np.where(bad, len(m.langs), best)], pa.string()), pa.array(entropy, pa.float64(), mask=bad), pa.array(n, pa.int64()), pa.array(score, pa.float64())], names=[*keep, "best", "entropy", "n", "score"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return docs.mapInArrow(predict, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", best string, entropy double, score double")
+    return docs.select(*keep, "text").mapInArrow(predict, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", best string, entropy double, n long, score double")
 
 
 def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
@@ -224,9 +259,12 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.struct(*docs.columns).alias("row")] if carry else []))
     keep = ["id", *(["row"] if carry else [])]
     if models is None:
-        out = rows.select(*keep, F.lit(UND).alias("best"), F.lit(None).cast("double").alias("entropy"), F.lit(0.0).alias("score"))
+        out = rows.select(*keep, F.lit(UND).alias("best"), F.lit(None).cast("double").alias("entropy"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("score"))
     else:
         out = _scored(rows, models, keep)
-    limits = F.coalesce(*[F.when(F.col("best") == k, F.lit(v)) for k, v in models.bound.items()], F.lit(float("inf"))) if models and models.bound else F.lit(float("inf"))
+    limits = F.lit(float("inf"))
+    if models and models.bounds:
+        per_length = F.coalesce(*[F.when(F.col("best") == k, F.array(*map(F.lit, v))) for k, v in models.bounds.items()])
+        limits = F.coalesce(F.element_at(per_length, length_bin(F.col("n")) + 1), limits)
     rejected = (F.col("best") == UND) | (F.col("entropy") > limits)
     return out.select(F.col("id").alias(id_col), F.col("best").alias("lang_pred"), "score", F.coalesce(rejected, F.lit(True)).alias("rejected"), *(["row"] if carry else []))
