@@ -5,11 +5,12 @@ class, id and role words. A bidirectional LSTM in numpy reads the page's whole s
 vector of its hashed path, its hashed words and its shape, and labels each as main text or not. The main blocks are
 joined in page order.
 
-The model is trained on made-up pages of many layouts, whose labels are known, and on a bounded sample of the corpus,
-whose blocks get labels where their path names what they are. Null and empty pages have an empty text; broken markup
-is read as browsers do in spirit: stray `<` are text, unclosed elements end with their parent. Scripts, styles, frames
-and text fields are skipped to their end tag, and so are drawings, templates and lists of choices that have one; formulas
-and the fallbacks of objects and scripts are text of their block. Whole pages are read.
+The model is trained on made-up pages of many layouts, whose labels are known (a part of them with names that say
+nothing), and on a bounded sample of the corpus, whose blocks get labels where their path names what they are. Null and
+empty pages have an empty text; broken markup is read as browsers do in spirit: stray `<` are text, unclosed elements end
+with their parent. Scripts, styles, frames and text fields are skipped to their end tag or, without one, to the next end
+tag of any kind, and so are templates and lists of choices that have an end; drawings' labels, formulas and the fallbacks
+of objects and scripts are text of their block. Whole pages are read, in time linear in their length.
 Rows repeat as in the input; empty tables give empty results; other columns are ignored.
 """
 
@@ -29,13 +30,15 @@ from pyspark.sql import functions as F
 
 from wavequill.llm.shingles import word_hashes
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|iframe|textarea)(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*+>|(?P<text>[^<]+|<)",
-    re.I | re.S,
-)
-#: ends of elements that hold no text of the page; those without an end hide nothing
-SKIPPED = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in ("svg", "template", "select")}
+_TOKEN = r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>%s)>|<[!?/][^>]*+>|(?P<text>[^<]+|<)"
+TOKEN = re.compile(_TOKEN % r"(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+", re.I | re.S)
+#: for the rest of a page where some quoted value hides the end of its tag
+UNQUOTED = re.compile(_TOKEN % r"[^>]*+", re.I | re.S)
+TAG = re.compile(r"/?[a-z]", re.I)
+#: ends of elements that hold no text of the page; without an end, the OPAQUE hide what comes before any end tag, others nothing
+SKIPPED = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in ("script", "style", "iframe", "textarea", "template", "select")}
+OPAQUE = {"script", "style", "iframe", "textarea"}
+ANY_END = re.compile(r"</[a-z]|\Z", re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+", re.I)
 BLOCKS = frozenset(
@@ -85,9 +88,18 @@ def cut(page: str | None) -> Blocks:
 
     page = page or ""
     endless: set[str] = set()  # hidden elements without an end in the rest of the page
-    tokens = TOKEN.finditer(page)
+    pattern, last = TOKEN, page.rfind(">")
+    tokens = pattern.finditer(page)
     while (m := next(tokens, None)) is not None:
         if (text := m["text"]) is not None:
+            if text == "<":
+                if m.start() > last:  # no tag ends any more
+                    text = page[m.start() :]
+                    tokens = iter(())
+                elif pattern is TOKEN and TAG.match(page, m.end()):
+                    pattern = UNQUOTED
+                    tokens = pattern.finditer(page, m.start())
+                    continue
             held.append(text)
             if in_link:
                 linked += len(text)
@@ -99,11 +111,16 @@ def cut(page: str | None) -> Blocks:
         if tag == "br":
             held.append(" ")
             continue
-        if tag in SKIPPED and not m["close"] and tag not in endless and not (tag == "svg" and m["rest"].endswith("/")):
-            if end := SKIPPED[tag].search(page, m.end()):
-                tokens = TOKEN.finditer(page, end.end())
+        if tag in SKIPPED and not m["close"]:
+            end = None if tag in endless else SKIPPED[tag].search(page, m.end())
+            if end is None:
+                endless.add(tag)
+                end = ANY_END.search(page, m.end()) if tag in OPAQUE else None
+                tokens = pattern.finditer(page, end.start()) if end else tokens
+            else:
+                tokens = pattern.finditer(page, end.end())
+            if end:
                 continue
-            endless.add(tag)
         if tag not in BLOCKS:
             if tag == "a":
                 in_link = 0 if m["close"] else 1
@@ -306,47 +323,76 @@ class Labeller:
 # ---------------------------------------------------------------- training pages
 
 
-def made_up_page(r: random.Random) -> str:
-    """A page of a random layout. What is main text shows in the paths: class words and tags as sites use them."""
+#: begins every main block of a made-up page; it is taken away before the page is seen
+MARK = "\ue000"
+
+
+def made_up_page(r: random.Random, telling: bool = True) -> str:
+    """A page of a random layout, its main blocks marked. With `telling`, class words and tags say what is main text, as
+    sites use them; else only made-up names and neutral tags are there, and shape, links and order have to tell."""
     word = lambda: "".join(r.choice("abcdefghijklmnoprstuvwé") for _ in range(r.randint(2, 9)))
     words = lambda a, b: " ".join(word() for _ in range(r.randint(a, b)))
-    name = lambda w: r.choice((f' class="{w}"', f' id="{w}"', f' class="{word()} {w}"', f' class="{w}-{word()}"', f' role="{w}"'))
+    attribute = lambda w: r.choice((f' class="{w}"', f' id="{w}"', f' class="{word()} {w}"', f' class="{w}-{word()}"', f' role="{w}"'))
+    name = lambda w: attribute(w if telling else word())
     links = lambda: "<ul>" + "".join(f'<li><a href="/{word()}">{words(1, 3)}</a></li>' for _ in range(r.randint(2, 8))) + "</ul>"
 
     def other() -> str:
         w = r.choice(sorted(OTHER - {"head", "title", "label", "button", "fieldset", "form"}))
-        inside = r.choice((links, lambda: f"<p>{words(3, 40)}</p>", lambda: words(2, 30), lambda: f"<p>{words(2, 12)}</p>" * r.randint(1, 4)))()
-        tag = w if w in ("nav", "header", "footer", "aside") and r.random() < 0.7 else ""
+        inside = r.choice((links, lambda: f"<p>{words(3, 40)}</p>", lambda: words(2, 30), lambda: f"<p>{words(2, 12)}</p>" * r.randint(1, 4)) if telling else (links, lambda: words(1, 6), lambda: f"<p>{words(1, 5)}</p>"))()
+        tag = w if telling and w in ("nav", "header", "footer", "aside") and r.random() < 0.7 else ""
         if r.random() < 0.1:
             return f"<form><label>{words(1, 3)}</label><input><button>{words(1, 2)}</button></form>"
         return f"<{tag}>{inside}</{tag}>" if tag else f"<{(t := r.choice(('div', 'section', 'div')))}{name(w)}>{inside}</{t}>"
 
-    def body() -> str:
-        out = [f"<h1>{words(2, 10)}</h1>"] if r.random() < 0.8 else []
-        for _ in range(r.randint(1, 10)):
-            kind = r.random()
-            out.append(f"<p>{words(1, 90)}</p>" if kind < 0.7 else f"<p><b>{words(3, 50)}<br>" if kind < 0.8 else f"<h2>{words(1, 6)}</h2>" if kind < 0.86 else f"<ul><li>{words(2, 12)}</li><li>{words(2, 12)}</li></ul>" if kind < 0.91 else f"<blockquote>{words(4, 30)}</blockquote>" if kind < 0.95 else other())
-        return "".join(out)
-
-    tag, end = r.choice((("<article>", "</article>"), ("<main>", "</main>"), ("<article>", "</article>"), (f"<div{name(r.choice(sorted(MAIN)))}>", "</div>"), ("<main><article>", "</article></main>")))
+    def main(kind: float) -> str:
+        if kind < 0.7:
+            return f"<p>{MARK}{words(1, 90) if telling else words(12, 90)}</p>"
+        if kind < 0.8:
+            return f"<p>{MARK}<b>{words(3, 50)}<br>"
+        if kind < 0.86:
+            return f"<h2>{MARK}{words(1, 6)}</h2>"
+        if kind < 0.91:
+            return f"<ul><li>{MARK}{words(2, 12)}</li><li>{MARK}{words(2, 12)}</li></ul>"
+        return f"<blockquote>{MARK}{words(4, 30)}</blockquote>" if kind < 0.95 or not telling else other()
+
+    body = (f"<h1>{MARK}{words(2, 10)}</h1>" if r.random() < 0.8 else "") + "".join(main(r.random()) for _ in range(r.randint(1 if telling else 3, 10)))
+    if telling:
+        tag, end = r.choice((("<article>", "</article>"), ("<main>", "</main>"), ("<article>", "</article>"), (f"<div{name(r.choice(sorted(MAIN)))}>", "</div>"), ("<main><article>", "</article></main>")))
+    else:
+        tag, end = f"<div{name('')}>", "</div>"
     before, after = ("".join(other() for _ in range(r.randint(0, 4))) for _ in range(2))
-    return f"<!DOCTYPE html><html><head><title>{words(2, 9)}</title></head><body>{before}{tag}{body()}{end}{after}</body></html>"
+    return f"<!DOCTYPE html><html><head><title>{words(2, 9)}</title></head><body>{before}{tag}{body}{end}{after}</body></html>"
+
+
+def labelled(page: str) -> tuple[Blocks, np.ndarray]:
+    """The blocks of a made-up page without their marks, and which of them had one."""
+    blocks = cut(page)
+    is_main = np.array([t.startswith(MARK) for t in blocks.texts], np.float32)
+    blocks.texts = [t.removeprefix(MARK) for t in blocks.texts]
+    return blocks, is_main
+
 
+def train(pages: DataFrame, sample: int = 300, made_up: int = 400, silent: int = 150, most_chars: int = 40_000, most_blocks: int = 400, seed: int = 42, id_col: str = "page_id", html_col: str = "html") -> Labeller:
+    """A labeller from `made_up` pages that name their parts, `silent` ones that don't, and about `sample` pages of the
+    corpus, drawn by a seeded hash of the identifier; blocks of those whose path tells nothing give no label.
 
-def train(pages: DataFrame, sample: int = 300, made_up: int = 400, most_chars: int = 40_000, seed: int = 42, id_col: str = "page_id", html_col: str = "html") -> Labeller:
-    """A labeller from `made_up` pages and about `sample` pages of the corpus (of at most `most_chars` characters),
-    drawn by a seeded hash of the identifier; blocks whose path tells nothing give no label."""
+    Bounds on what is learned from: pages of more than `most_chars` characters or `most_blocks` blocks aren't drawn.
+    """
     n = pages.count()
     share = min(1.0, sample / max(1, n))
     drawn = pages.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 30)) < int(share * (1 << 30))).filter(F.length(html_col) <= most_chars)
     own = [r[0] for r in drawn.select(html_col, F.xxhash64(F.col(html_col)).alias("h")).orderBy("h").limit(2 * sample).collect()]
     r = random.Random(seed)
     features, xs, ys = Features(), [], []
-    for page in [*own, *(made_up_page(r) for _ in range(made_up))]:
+    for page in own:
         blocks = cut(page)
-        if 0 < len(blocks.texts) <= 150:
+        if 0 < len(blocks.texts) <= most_blocks:
             xs.append(features.of(blocks))
             ys.append(np.array([cue(p) for p in blocks.paths], np.float32))
+    for i in range(made_up + silent):
+        blocks, is_main = labelled(made_up_page(r, telling=i < made_up))
+        xs.append(features.of(blocks))
+        ys.append(is_main)
     labeller = Labeller()
     labeller.fit(xs, ys)
     return labeller
