@@ -117,6 +117,45 @@ def test_mixture_meets_targets(spark):
     assert got.sort_values("doc_id")["taken"].tolist() == entries.op3_mixing(spark, SF).toPandas().sort_values("doc_id")["taken"].tolist()
 
 
+def plain_targets(sizes):
+    """Targets by the contract: 150 % of all sizes by weight, none above twice its source, the excess reshared."""
+    weight = {k: (3, 1, 2)[i % 3] for i, k in enumerate(sorted(sizes, key=lambda k: (k is None, (k or "").encode())))}
+    total, fixed = 1.5 * sum(sizes.values()), {}
+    while True:
+        free = [k for k in sizes if k not in fixed]
+        each = (total - sum(fixed.values())) / max(1, sum(weight[k] for k in free))
+        over = [k for k in free if weight[k] * each > 2 * sizes[k]]
+        if not over:
+            return fixed | {k: weight[k] * each for k in free}
+        fixed |= {k: 2 * sizes[k] for k in over}
+
+
+def test_targets_and_repeated_rows(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(i, " ".join("w" * r.randint(1, 9)) if i % 5 else None, r.choice(["a", "b", "é", None, "z"])) for i in range(400)]
+    rows += [(1000, "one two three", "a")] * 60 + [(1001, "four five", "only")] * 7  # repeated rows, some of which are taken
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = Counter()
+    for _, t, k in rows:
+        sizes[k] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    want, seen = plain_targets(sizes), []
+    for sent in (200_000, 0):
+        monkeypatch.setattr(mixing, "SENT", sent)
+        got = mixing.fit_mixture(d.repartition(3 if sent else 7)).join(d.select("doc_id", "source").distinct(), "doc_id").toPandas()
+        seen.append(sorted(map(repr, got.fillna({"source": ""}).itertuples(index=False))))
+        for k, own in got.groupby(got["source"].fillna("")):
+            k = k or None
+            assert own["target"].sub(want[k]).abs().max() < 1e-6 and (own["source_size"] == sizes[k]).all()
+            assert abs(own["taken"].sum() - want[k]) <= 1, k  # sizes of one are there, but for `only`, of two
+    assert seen[0] == seen[1] and sum(mixing.mixed(d).groupBy().count().first()) == got["copies"].sum()
+
+
+def test_very_long_documents_fit_in_a_bounded_table():
+    sizes, counts = np.array([3, 50_000_000, 100_000_000]), np.array([10, 7, 9])
+    take = mixing.fit_counts(sizes, counts, 777_000_006)
+    assert (take <= counts).all() and 777_000_006 - 50_000_000 < int((take * sizes).sum()) <= 777_000_006
+
+
 def test_fit_counts_is_exact_where_brute_force_is():
     r = random.Random(3)
     for _ in range(50):
