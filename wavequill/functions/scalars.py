@@ -97,7 +97,8 @@ def json_of_reply(text: Column) -> Column:
 
 def is_json_object(text: Column) -> Column:
     """Whether a text is a JSON object; false for other JSON, for what is no JSON and for null."""
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+    alone = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))  # which no text after the object survives
+    return F.coalesce(F.schema_of_variant(alone).startswith("ARRAY<OBJECT") & F.try_variant_get(alone, "$[1]", "variant").isNull(), F.lit(False))
 
 
 def unit_hash(key: Column, salt: str = "") -> Column:

@@ -11,8 +11,9 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from wavequill.operators.envelopes import affine_scan
+from wavequill.operators.envelopes import affine_scan, block_size
 
 #: delays in seconds of the reverb's combs and all-passes
 COMBS, ALL_PASSES = (0.0297, 0.0371, 0.0411, 0.0437), (0.005, 0.0017)
@@ -33,9 +34,10 @@ def high_shelf(hz: float, db: float, rate: float, q: float = 0.5**0.5) -> tuple[
     return b / a[0], a / a[0]
 
 
-def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int = 2048) -> np.ndarray:
+def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int | None = None) -> np.ndarray:
     """A second-order filter: blocks run from rest side by side, then each adds the answer to the state it starts in."""
     n = len(x)
+    block = block or block_size(n)
     rows = -(-n // block) if n else 0
     u = np.zeros(rows * block)
     u[:n] = x
@@ -133,3 +135,16 @@ def process_stems(samples: DataFrame, keys: list[str], order: list[str], value:
 def master(samples: DataFrame, keys: list[str], order: list[str], value: str, rate: float) -> DataFrame:
     """Every scene's mix through the mastering dynamics."""
     return _by_stem(samples, keys, order, value, lambda x: mastered(x, rate))
+
+
+def to_loudness(samples: DataFrame, key: str, order: list[str], value: str, rate: int, target: float = -27.0, ceiling: float = -2.0, spread: float = 1.0) -> DataFrame:
+    """Every scene at the target loudness, moved by a draw within `spread`; those whose true peak would pass the ceiling are
+    limited. Silent scenes keep their level."""
+    from wavequill.operators.loudness import integrated_loudness
+    from wavequill.operators.signals import loudness_fit
+
+    fit = loudness_fit(integrated_loudness(samples, key, order, value, int(rate), floor=float("-inf")), key, target, ceiling, spread)
+    gained = samples.join(fit.select(key, "gain_db", "limits"), key)
+    gained = gained.withColumn(value, F.col(value) * F.pow(F.lit(10.0), F.col("gain_db") / 20))
+    keys = [key, *order, value]
+    return gained.filter(~F.col("limits")).select(keys).unionByName(_by_stem(gained.filter("limits"), [key], order, value, lambda x: limited(x, rate, ceiling)).select(keys))

@@ -6,6 +6,8 @@ and tests; `sidechain_blocks` keeps audio-rate scenes in Arrow and scans them in
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -26,9 +28,15 @@ def sidechain(samples: DataFrame, keys: list[str], order: list[str], level: str,
     return series.select(*keys, F.aggregate("s", start, step).alias("a")).select(*keys, F.col("a.g").alias("last_gain"), F.col("a.low").alias("least_gain"))
 
 
-def affine_scan(coefficient: np.ndarray, addend: np.ndarray, first: float, block: int = 4096) -> np.ndarray:
+def block_size(n: int) -> int:
+    """Samples of a block, so that steps within blocks and steps over blocks are about as many."""
+    return max(1, math.isqrt(n))
+
+
+def affine_scan(coefficient: np.ndarray, addend: np.ndarray, first: float, block: int | None = None) -> np.ndarray:
     """All states of g <- c g + d: blocks advance side by side, one sample a step, then take their starts in turn."""
     n = len(coefficient)
+    block = block or block_size(n)
     rows = -(-n // block) if n else 0
     c, d = np.ones(rows * block), np.zeros(rows * block)
     c[:n], d[:n] = coefficient, addend
@@ -56,11 +64,26 @@ def sidechain_blocks(samples: DataFrame, key: str, order: str, level: str, thres
     return samples.select(key, order, level).groupBy(key).applyInPandas(scan, f"{key} {kinds[key]}, {order} {kinds[order]}, gain double")
 
 
+def kept_frames(db: np.ndarray, least: float) -> np.ndarray:
+    """The places of the frames that differ by `least` or more from the last frame kept; the first is kept."""
+    kept, last = [], math.inf
+    for i, x in enumerate(db.tolist()):
+        if abs(x - last) >= least:
+            kept.append(i)
+            last = x
+    return np.array(kept, np.int64)
+
+
 def keyframes(frames: DataFrame, keys: list[str], at: str, db: str, least: float = 0.5) -> DataFrame:
-    """The frames whose level differs by `least` dB or more from the last frame that was kept (not from the last one)."""
-    series = frames.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(at).alias("at"), F.col(db).alias("db")))).alias("s"))
-    kept = F.aggregate("s", F.array().cast("array<struct<at:bigint,db:double>>"), lambda a, x: F.when((F.size(a) == 0) | (F.abs(x["db"] - F.element_at(a, -1)["db"]) >= least), F.concat(a, F.array(F.struct(x["at"].cast("long").alias("at"), x["db"].alias("db"))))).otherwise(a))
-    return series.select(*keys, F.explode(kept).alias("k")).select(*keys, F.col("k.at").alias(at), F.col("k.db").alias(db))
+    """The frames whose level differs by `least` dB or more from the last frame that was kept (not from the last one). Each
+    depends on all before it, so a scene's frames, some hundred a second at most, are scanned in one pass."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(at)
+        return rows.iloc[kept_frames(rows[db].to_numpy(float), least)]
+
+    kinds = {f.name: f.dataType.simpleString() for f in frames.schema}
+    return frames.select(*keys, at, db).groupBy(*keys).applyInPandas(run, ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, at, db]))
 
 
 def with_ends(points: DataFrame, samples: DataFrame, keys: list[str], at: str, gain: str, db: str, order: list[str], gap: float = 0.01) -> DataFrame:
@@ -76,8 +99,9 @@ def with_ends(points: DataFrame, samples: DataFrame, keys: list[str], at: str, g
 def interpolated(frames: DataFrame, points: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
     """`value` of the points at the times of the frames: linear between neighbours, flat beyond the ends, 1 without points."""
     both = frames.select(*keys, at, F.lit(None).cast("double").alias(value), F.lit(True).alias("asked")).unionByName(points.select(*keys, at, value, F.lit(False).alias("asked")))
-    w = Window.partitionBy(*keys).orderBy(at, "asked")
     here = F.when(~F.col("asked"), F.struct(F.col(at).alias("t"), F.col(value).alias("v")))
-    near = both.withColumn("b", F.last(here, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("a", F.first(here, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    so_far = lambda *order: F.last(here, True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    # the next point is the last one seen when time runs backward; both passes grow by a row at a time
+    near = both.withColumn("b", so_far(at, "asked")).withColumn("a", so_far(F.desc(at), F.desc("asked")))
     inside = F.when(F.col("a.t") == F.col("b.t"), F.col("b.v")).otherwise(F.col("b.v") + (F.col("a.v") - F.col("b.v")) * (F.col(at) - F.col("b.t")) / (F.col("a.t") - F.col("b.t")))
     return near.filter("asked").select(*keys, at, F.coalesce(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), inside), "b.v", "a.v", F.lit(1.0)).alias(value))

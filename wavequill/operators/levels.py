@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavequill.functions.scalars import level_to_db
+from wavequill.functions.scalars import level_to_db, quantize16
 
 
 def levels(samples: DataFrame, keys: list[str], value: str = "x") -> DataFrame:
@@ -39,6 +39,21 @@ def additivity(stems: DataFrame, mixes: DataFrame, scene: list[str], at: list[st
     return found.withColumn("error", F.coalesce("error", F.lit(float("inf")))).withColumn("passes", F.col("error") < 1e-3)
 
 
+def linear_render(stems: DataFrame, scene: list[str], at: list[str]) -> DataFrame:
+    """scene, at, mix, fits: the exact sum of all stems, quantised under the scene's shared gain."""
+    gained = stems.join(shared_gain(stems, scene, at).select(*scene, "gain"), scene)
+    return exact_mix(gained.withColumn("q", quantize16(F.col("x"), F.col("gain"))), [*scene, *at])
+
+
+def stem_analysis(found: DataFrame, measured: DataFrame, keys: list[str], rate: int, ranges: DataFrame | None = None) -> DataFrame:
+    """What a mixer is told of a stem, rounded: duration_sec, loudness_lufs, loudness_range_lu, true_peak_dbtp, rms_db and
+    crest_factor_db, which is the true peak less the RMS. found: of `levels`; measured: lufs and true_peak_db; ranges: lra."""
+    rows = found.select(*keys, "n", "rms_db").join(measured, keys)
+    rows = rows.join(ranges.select(*keys, "lra"), keys, "left") if ranges is not None else rows.withColumn("lra", F.lit(None).cast("double"))
+    one = lambda c: F.round(c, 1)
+    return rows.select(*keys, F.round(F.col("n") / rate, 2).alias("duration_sec"), one("lufs").alias("loudness_lufs"), one(F.coalesce("lra", F.lit(0.0))).alias("loudness_range_lu"), one("true_peak_db").alias("true_peak_dbtp"), one("rms_db").alias("rms_db"), one(F.col("true_peak_db") - F.col("rms_db")).alias("crest_factor_db"))
+
+
 def loudness_range(blocks: DataFrame, keys: list[str], level: str = "db") -> DataFrame:
     """The span from the 10 % to the 95 % place (by index, not interpolated) of the block levels above -70; needs two."""
     found = blocks.filter(F.col(level) > -70).groupBy(*keys).agg(F.sort_array(F.collect_list(level)).alias("v"))  # one number a second of scene

@@ -3,43 +3,64 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavequill.functions.scalars import unit_hash
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    return dot / (norm(a) * norm(b))
+def _unit(vectors: pa.Array) -> np.ndarray:
+    """Rows of unit length; rows of zeros stay zeros."""
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 1))
+    norm = np.sqrt((x * x).sum(1, keepdims=True))
+    return x / np.where(norm > 0, norm, 1.0)
 
 
-def nearest(queries: DataFrame, index: DataFrame, most: float = 0.75, block: int = 100_000) -> DataFrame:
-    """The index row of the least cosine distance for every query, the first of equal ones; null beyond `most`.
+def nearest(queries: DataFrame, index: DataFrame, most: float = 0.75, block: int = 20_000) -> DataFrame:
+    """The index row (id, vec) of the least cosine distance for every query (id, vec), the first of equal ones; null beyond
+    `most`. A vector of zeros is at distance 1 from all. Rows without a vector are left out; a query is no match of itself.
 
-    Blocks of about `block` queries go to all tasks one after another; each task keeps its best match per query, so the
-    index is read once a block and only one row per query and task is shuffled.
+    Blocks of about `block` queries go to all tasks one after another, as a matrix that the driver holds for that time. A
+    task multiplies it with its part of the index and keeps its best match per query, so the index is read once a block and
+    one row per query and task is shuffled. Distances count as equal up to 12 decimals.
     """
-    q = queries.select(F.col("id").alias("query_id"), F.col("vec").alias("query"))
-
-    def best_of(part: DataFrame) -> DataFrame:
-        scored = index.join(F.broadcast(part), F.col("id") != F.col("query_id")).select("query_id", "id", (1 - cosine(F.col("query"), F.col("vec"))).alias("distance"))
-        return scored.groupBy("query_id").agg(F.min(F.struct(F.round("distance", 6).alias("distance"), "id")).alias("m"))
-
-    n = q.count()
-    if n <= block:
-        best = best_of(q)
-    else:
-        q, blocks, best = q.distinct(), math.ceil(n / (0.9 * block)), None  # hashed blocks differ a little in size
-        for i in range(blocks):
-            found = best_of(q.filter(F.pmod(F.xxhash64("query_id", "query"), F.lit(blocks)) == i))
-            # found before the next block is sent, so that one block at a time is in memory
-            found = found.checkpoint() if q.sparkSession.sparkContext.getCheckpointDir() else found.localCheckpoint()
-            best = found if best is None else best.unionByName(found)
-        best = best.groupBy("query_id").agg(F.min("m").alias("m"))
-    return best.select("query_id", F.when(F.col("m.distance") <= most, F.col("m.id")).alias("match_id"), F.col("m.distance").alias("distance"))
+    spark = index.sparkSession
+    q = queries.filter(F.col("vec").isNotNull()).select("id", "vec").dropDuplicates(["id"])
+    rows = index.filter(F.col("vec").isNotNull()).select("id", "vec")
+    kind = index.select("id").schema[0].dataType.simpleString()
+    blocks = max(1, math.ceil(q.count() / (0.9 * block)))  # hashed blocks differ a little in size
+    best = None
+    for i in range(blocks):
+        part = q.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).toArrow()
+        ids, matrix = part.column("id").combine_chunks(), _unit(part.column("vec").combine_chunks())
+        shared = spark.sparkContext.broadcast((ids.to_numpy(zero_copy_only=False), matrix.T.copy()))
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            names, wanted = shared.value
+            if not len(names):
+                return
+            least, found = np.full(len(names), np.inf), [None] * len(names)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    piece = batch.slice(at, 500)
+                    own = piece.column("id").to_numpy(zero_copy_only=False)
+                    distance = np.round(1 - _unit(piece.column("vec")) @ wanted, 12)
+                    distance[own[:, None] == names[None, :]] = np.inf
+                    low = distance.min(0)
+                    for j in np.flatnonzero(low <= least):
+                        first = own[distance[:, j] == low[j]].min() if low[j] < np.inf else None
+                        if first is not None and (low[j] < least[j] or first < found[j]):
+                            least[j], found[j] = low[j], first
+            use = [j for j in range(len(names)) if found[j] is not None]
+            yield pa.RecordBatch.from_arrays([pa.array(names[use]), pa.array(least[use]), pa.array([found[j] for j in use], pa.array(names).type)], names=["query_id", "distance", "id"])
+
+        found = rows.mapInArrow(scan, f"query_id {kind}, distance double, id {kind}").groupBy("query_id").agg(F.min(F.struct("distance", "id")).alias("m"))
+        best = found if best is None else best.unionByName(found)
+    return best.select("query_id", F.when(F.col("m.distance") <= most, F.col("m.id")).alias("match_id"), F.round("m.distance", 6).alias("distance"))
 
 
 def inverted_index(items: DataFrame, tags: Column, item: str) -> DataFrame:
@@ -48,15 +69,32 @@ def inverted_index(items: DataFrame, tags: Column, item: str) -> DataFrame:
     return each.groupBy("tag").agg(F.sort_array(F.collect_set(item)).alias("items"))
 
 
+def _parts(df: DataFrame, text: str, sizes: list[int]) -> DataFrame:
+    """Every row with each distinct part of its text that has one of the given lengths."""
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.substr(F.col(text), i, F.lit(n)))
+
+    return df.withColumn("part", F.explode(F.array_distinct(F.flatten(F.array(*map(of, sizes))))))
+
+
 def tag_match(wanted: DataFrame, tags: DataFrame, default: str) -> DataFrame:
     """A known tag for every wanted one: the same, else the first that contains it or lies in it, else the default if
-    known, else the first of all. `tags` is a dimension."""
-    known = F.broadcast(tags.select(F.col("tag").alias("known")))
-    fits = F.col("wanted") == F.col("known")
-    near = F.contains(F.col("known"), F.col("wanted")) | F.contains(F.col("wanted"), F.col("known"))
-    met = wanted.join(known, near, "left").groupBy("wanted").agg(F.min(F.when(F.col("known").isNotNull(), F.struct((~fits).alias("far"), "known")))["known"].alias("match"))
-    rest = tags.agg(F.max(F.when(F.col("tag") == default, F.col("tag"))).alias("d"), F.min("tag").alias("first"))
-    return met.join(F.broadcast(rest)).select("wanted", F.coalesce("match", "d", "first").alias("match"))
+    known, else the first of all. Only what no tag equals is cut into parts as long as the others, so all joins are by
+    equality, whatever the number of tags."""
+    asked, known = wanted.select("wanted").distinct(), tags.select(F.col("tag").alias("known")).filter(F.col("tag").isNotNull()).distinct()
+    exact = asked.join(known, F.col("wanted") == F.col("known")).select("wanted", F.lit(False).alias("far"), "known")
+    rest = asked.filter(F.col("wanted").isNotNull()).join(exact.select("wanted"), "wanted", "left_anti")
+    sizes = lambda df, c: sorted(r[0] for r in df.select(F.length(c).alias("n")).distinct().collect() if r[0])  # noqa: E731 (lengths of names)
+    of_known, of_rest = sizes(known, "known"), sizes(rest, "wanted")
+    near = exact
+    if of_known and of_rest:
+        inside = _parts(rest, "wanted", of_known).join(known, F.col("part") == F.col("known")).select("wanted", F.lit(True).alias("far"), "known")
+        around = _parts(known, "known", of_rest).join(rest, F.col("part") == F.col("wanted")).select("wanted", F.lit(True).alias("far"), "known")
+        near = exact.unionByName(inside).unionByName(around)
+    best = near.groupBy("wanted").agg(F.min(F.struct("far", "known"))["known"].alias("match"))
+    others = tags.agg(F.max(F.when(F.col("tag") == default, F.col("tag"))).alias("d"), F.min("tag").alias("first"))  # one row
+    return asked.join(best, "wanted", "left").join(F.broadcast(others)).select("wanted", F.coalesce("match", "d", "first").alias("match"))
 
 
 def work_list(jobs: DataFrame, done: DataFrame, planned: DataFrame, key: str) -> DataFrame:

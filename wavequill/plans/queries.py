@@ -62,8 +62,8 @@ def p13_normalised_times(t):
 
 
 @query("""WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0),
- d AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(1 - list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS distance FROM q JOIN embeddings e ON q.vec_id <> e.vec_id),
- r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS k FROM d) SELECT query_id, CASE WHEN distance <= 0.75 THEN id END AS match_id, distance FROM r WHERE k = 1""")
+ d AS (SELECT q.vec_id AS query_id, e.vec_id AS id, 1 - list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS distance FROM q JOIN embeddings e ON q.vec_id <> e.vec_id),
+ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 12), id) AS k FROM d) SELECT query_id, CASE WHEN distance <= 0.75 THEN id END AS match_id, round(distance, 6) AS distance FROM r WHERE k = 1""")
 def j1_nearest_vector(t):
     v = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
     return lookups.nearest(v.filter("id % 20 = 0"), v)

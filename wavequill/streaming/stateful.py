@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -41,3 +42,18 @@ def sidechain_stream(stream: DataFrame, key: str, order: str, level: str, thresh
         yield pd.DataFrame({key: name[0], order: rows[order], "gain": gains})
 
     return stream.groupBy(key).applyInPandasWithState(run, f"{key} {kinds[key]}, {order} {kinds[order]}, gain double", "gain double", "append", GroupStateTimeout.NoTimeout)
+
+
+def resumable_jobs(spark: SparkSession, jobs: str, schema: str, key: str, done: str, work, checkpoint: str) -> StreamingQuery:
+    """Works through JSON job files as they come. `work` turns a batch of jobs that aren't done into results with the same
+    key, which are appended to the Parquet table in `done`. A batch that is repeated after a failure leaves out what is in
+    the table, so every job is done once."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        where = spark._jvm.org.apache.hadoop.fs.Path(done)
+        todo = batch.dropDuplicates([key])
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+            todo = todo.join(spark.read.parquet(done).select(key), key, "left_anti")
+        work(todo).write.mode("append").parquet(done)
+
+    return spark.readStream.schema(schema).json(jobs).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
