@@ -14,10 +14,11 @@ from itertools import combinations
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF
-from wavequill.llm import entries, exact_dedup, html_blocks, jaccard_join, language_id, mixing, secret_scan, sentence_pieces, sharding, url_filters
+from wavequill.llm import common, entries, exact_dedup, html_blocks, jaccard_join, language_id, media_columns, mixing, secret_scan, sentence_pieces, sharding, url_filters
 from wavequill.llm import webp_lossless as webp
 from wavequill.llm.common import table
 
@@ -32,18 +33,79 @@ def docs(request, spark):
 
 
 def test_odd_documents(spark, docs):
-    n = docs.count()
-    assert exact_dedup.exact_dedup(docs, keep="largest").count() == n
-    assert exact_dedup.without_copies(docs).columns == docs.columns
-    assert sharding.stratified_shards(docs).count() == n
-    assert mixing.fit_mixture(docs).count() == n
+    rows = [r.asDict() for r in docs.collect()]
+    n = len(rows)
+    text = lambda r: r["text"] or ""
+    by_id = lambda df, *cols: Counter(tuple(r[c] for c in ("doc_id", *cols)) for r in df.collect())
+    words = lambda r: re.findall(r"[^\x20\x09-\x0D]+", text(r))
+
+    groups = defaultdict(list)
+    for r in rows:
+        groups[text(r)].append(r["doc_id"])
+    best = lambda r: max((i for i in groups[text(r)] if i is not None), default=None)
+    got = by_id(exact_dedup.exact_dedup(docs, keep="largest"), "keep_id", "group_size", "text_sha256")
+    assert got == Counter((r["doc_id"], best(r), len(groups[text(r)]), hashlib.sha256(text(r).encode()).hexdigest()) for r in rows)
+    assert exact_dedup.exact_dedup(docs, keep="largest").filter("kept").count() == len(groups)
+    one = exact_dedup.without_copies(docs)
+    assert one.columns == docs.columns and one.count() == len(groups)
+
+    got = by_id(sharding.stratified_shards(docs), "size", "text_crc32")
+    assert got == Counter((r["doc_id"], len(text(r).encode()) + 1, zlib.crc32(text(r).encode())) for r in rows)
+    assert len({(r.shard, r.slot) for r in sharding.stratified_shards(docs).collect()}) == n
+    assert by_id(mixing.fit_mixture(docs), "size") == Counter((r["doc_id"], len(words(r))) for r in rows)
     assert mixing.mixed(docs).columns == docs.columns
-    assert secret_scan.scan_secrets(docs).count() == n
-    assert sentence_pieces.encode_pieces(docs, entries.PIECE_MODEL).count() == n
-    assert jaccard_join.link_components(docs).count() == n
+    assert by_id(secret_scan.scan_secrets(docs), "n_assign", "spans") == Counter((r["doc_id"], 0, "") for r in rows)
+    found = sentence_pieces.encode_pieces(docs, entries.PIECE_MODEL).collect()
+    assert len(found) == n and all((r.ids is None) == (r.doc_id == 1) and r.round_trip is not False for r in found)
+    stored = media_columns.as_media(docs, F.coalesce("text", F.lit("")), ["doc_id"])
+    assert by_id(media_columns.media_features(stored, ["doc_id"]), "n_bytes") == Counter((r["doc_id"], len(text(r).encode())) for r in rows)
+
+    got = by_id(jaccard_join.link_components(docs), "n_shingles", "component_id")
+    size = lambda r: len({tuple(w[i : i + 5]) for w in [words(r)] for i in range(max(1, len(w) - 4))} if words(r) else ())
+    assert got == Counter((r["doc_id"], size(r), {4: 3}.get(r["doc_id"], r["doc_id"])) for r in rows)
     assert jaccard_join.one_of_each(docs).columns == docs.columns
+    assert sorted(map(repr, (r.doc_id for r in jaccard_join.one_of_each(docs).collect()))) == sorted(repr(r["doc_id"]) for r in rows if r["doc_id"] != 4)
     found = language_id.identify(docs, language_id.train(docs)).collect()
-    assert len(found) == n and all(r.lang_pred == "und" for r in found if r.doc_id in (1, 2, 6))
+    assert len(found) == n and all(r.lang_pred == "und" and r.score == 0 for r in found if r.doc_id in (1, 2, 6)) and all(r.lang_pred in ("en", "de") for r in found if r.doc_id in (3, 4, 5))
+
+
+def test_pipeline_on_odd_documents(spark, docs):
+    """Stage by stage: what has no letter goes, one of equal texts stays, the mix only repeats what it is given."""
+    got, stages = docs, dict(corpus_pipeline.STAGES)
+    for name in ("language ID", "exact dedup", "n-gram Jaccard join", "mixing"):
+        given, got = got, stages[name](spark, got, SF)
+        assert got.columns == docs.columns and {r.doc_id for r in got.collect()} <= {r.doc_id for r in given.collect()}
+        if name == "language ID":
+            assert not {r.doc_id for r in got.collect()} & {1, 2, 6}
+        if name == "exact dedup":
+            assert got.count() == got.select("text").distinct().count() == given.select("text").distinct().count()
+    assert stages["SentencePiece"](spark, got, SF).filter("not round_trip").count() == 0
+
+
+def test_vocabularies_of_other_kinds_are_errors(tmp_path):
+    with open(entries.PIECE_MODEL, "rb") as f:
+        proto = f.read()
+    assert sentence_pieces.unsupported(proto) == ("bpe", [])
+    part = lambda n, body: bytes([n << 3 | 2, len(body)]) + body  # noqa: E731 (a message of under 128 bytes)
+    cases = {"no space before the text": part(3, b"\x18\x00"), "removed spaces": part(3, b"\x20\x01"), "unescaped spaces": part(3, b"\x28\x00"), "a map of characters": part(3, part(2, b"x")), "spaces as suffixes": part(2, b"\xc0\x01\x01"), "a word model": part(2, b"\x18\x03"), "pieces of the user": part(1, b"\x18\x04")}
+    for what, more in cases.items():
+        assert what in sentence_pieces.unsupported(proto + more)[1], what
+    (tmp_path / "m").write_bytes(proto + cases["a word model"])
+    with pytest.raises(ValueError, match="word"):
+        sentence_pieces.Vocabulary.load(str(tmp_path / "m"))
+    with pytest.raises(ValueError, match="not unigram"):
+        sentence_pieces.Vocabulary.load(entries.PIECE_MODEL, "unigram")
+
+
+def test_shared_folder_is_asked_for_on_clusters():
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        conf, sparkContext = Conf, type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        common.shared_dir(Session)
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None, None), (2, "", ""), (3, "x<y & z", "no scheme"), (3, "<p>a</p><nav>b</nav>" * 500, "http://COM/"), (4, "<article><p>t", "https://a.example.com/en/x?y")]])
@@ -104,6 +166,11 @@ def test_media_columns(spark):
         p = texts[r.doc_id]
         p = p.ljust(max(64, -(-len(p) // 64) * 64), b"\0")
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id]), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
+        stored = webp.store_payloads([p])[0]
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest()) and stored[:4] == b"RIFF" and stored[8:16] == b"WEBPVP8L"
+        share = [c / len(p) for c in Counter(p).values()]
+        said = dict(x.split("=") for x in r.feature.split(";")[1:])
+        assert abs(float(said["mean"]) - sum(p) / len(p)) <= 6e-4 and abs(float(said["entropy"]) + sum(s * np.log2(s) for s in share)) <= 6e-4 and abs(float(said["zero"]) - p.count(0) / len(p)) <= 6e-5
 
 
 def test_mixture_meets_targets(spark):

@@ -46,11 +46,17 @@ class Vocabulary:
     parts: dict[int, tuple[int, int]] = field(default_factory=dict)
 
     @staticmethod
-    def load(path: str, kind: str = "bpe") -> Vocabulary:
+    def load(path: str, kind: str | None = None) -> Vocabulary:
+        """The vocabulary of a model file. Models that normalise or split text in other ways than this module (see
+        `unsupported`), or are of another kind than asked for, are an error."""
         from sentencepiece import SentencePieceProcessor
 
         with open(path, "rb") as f:
-            model = SentencePieceProcessor(model_proto=f.read())
+            proto = f.read()
+        found, problems = unsupported(proto)
+        if problems or kind not in (None, found):
+            raise ValueError(f"{path} can't be encoded here: " + ", ".join(problems or [f"a {found} model, not {kind}"]))
+        kind, model = found, SentencePieceProcessor(model_proto=proto)
         n = model.get_piece_size()
         pieces = [model.id_to_piece(i) for i in range(n)]
         special = np.array([model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i) for i in range(n)])
@@ -85,6 +91,53 @@ class Vocabulary:
         return last
 
 
+#: fields of a model file (fixed values of its format): pieces, trainer and normaliser, and what is read of them
+PIECES, TRAINER, NORMALISER = 1, 2, 3
+PIECE_TYPE, USER_DEFINED = 3, 4
+MODEL_TYPE, SPACE_SUFFIX = 3, 24
+CHARACTER_MAP, DUMMY_PREFIX, REMOVE_SPACES, ESCAPE_SPACES = 2, 3, 4, 5
+
+
+def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of a protocol buffer's fields."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            b = message[at]
+            at += 1
+            value |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return value
+
+    while at < len(message):
+        tag = number()
+        if tag & 7 == 0:
+            yield tag >> 3, number()
+            continue
+        size = {1: 8, 5: 4}.get(tag & 7) or number()
+        yield tag >> 3, message[at : at + size]
+        at += size
+
+
+def unsupported(proto: bytes) -> tuple[str, list[str]]:
+    """A model's kind, and what of it this module doesn't do: other kinds, character maps, user-defined pieces, no space
+    before the text, removed or unescaped spaces, spaces as suffixes."""
+    whole = list(_fields(proto))
+    trainer = dict(x for n, m in whole if n == TRAINER for x in _fields(m))
+    normaliser = dict(x for n, m in whole if n == NORMALISER for x in _fields(m))
+    kind = {1: "unigram", 2: "bpe", 3: "word", 4: "char"}.get(trainer.get(MODEL_TYPE, 1), "other")
+    tests = {
+        f"a {kind} model": kind not in ("unigram", "bpe"), "a map of characters": bool(normaliser.get(CHARACTER_MAP)), "no space before the text": normaliser.get(DUMMY_PREFIX, 1) == 0,
+        "removed spaces": normaliser.get(REMOVE_SPACES, 1) == 1, "unescaped spaces": normaliser.get(ESCAPE_SPACES, 1) == 0, "spaces as suffixes": trainer.get(SPACE_SUFFIX, 0) == 1,
+        "pieces of the user": any(n == PIECES and dict(_fields(m)).get(PIECE_TYPE, 1) == USER_DEFINED for n, m in whole),
+    }
+    return kind, [what for what, is_so in tests.items() if is_so]
+
+
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first `depth` codes at least: ranked by as many codes as fit in one number, then
     by twice as many, and so on."""
@@ -343,7 +396,7 @@ def _lists(arrays: list[np.ndarray | None]) -> pa.ListArray:
 CHUNK = 1_500_000
 
 
-def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kind: str = "bpe", decode: bool = True) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kind: str | None = None, decode: bool = True) -> DataFrame:
     """id, n_tokens, ids and (with `decode`) round_trip: whether decoding the ids gives the text back.
 
     The vocabulary (its size does not depend on the corpus) is read by the driver and broadcast.
@@ -371,7 +424,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     return slim.mapInArrow(run, f"id {kind_of_id}, n_tokens long, ids array<int>" + (", round_trip boolean" if decode else "")).withColumnRenamed("id", id_col)
 
 
-def decode_pieces(tokens: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids", kind: str = "bpe") -> DataFrame:
+def decode_pieces(tokens: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids", kind: str | None = None) -> DataFrame:
     """id and text, from arrays of ids; null for null arrays."""
     vocabulary = tokens.sparkSession.sparkContext.broadcast(Vocabulary.load(model_path, kind))
 

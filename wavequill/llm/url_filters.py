@@ -26,8 +26,10 @@ from wavequill.llm.common import written
 
 #: (action, host, path)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
-#: hosts that are blocked, with their subdomains, where no rule fits
-LISTED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com", "casino-bonus.example.net")
+#: names of sites that are blocked, with their subdomains, where no rule fits, and what they stand under. The list was set
+#: by what the names say (gambling, advertisements, spam, pills, adult sites); a real run passes its own table
+LISTED_NAMES, LISTED_UNDER = ("casino-bonus", "casino-win", "free-bets", "ads-track", "spam-farm", "cheap-pills", "adult-x"), ("example.com", "example.org", "example.net")
+LISTED_HOSTS = tuple(f"{name}.{under}" for name in LISTED_NAMES for under in LISTED_UNDER)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
