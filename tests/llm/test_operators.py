@@ -281,9 +281,13 @@ def test_kneser_ney_equals_its_definition():
     model = language_id.KneserNey.fit(rows, np.array(list(grams.values())), 7)
     probes = [*grams][:40] + ["".join(r.choice("abcдx ") for _ in range(4)) for _ in range(60)]
     for g in probes:
-        h = language_id.gram_hashes(np.array([ord(c) for c in g], np.uint32))
-        got = model.log_p([h[n][3:] for n in range(1, 5)], [h[n - 1][2:3] for n in range(1, 5)])
+        row = np.array([[ord(c) for c in g]], np.uint32)
+        got = model.log_p(*([language_id.hashes(row[:, 4 - n : 4 - cut]) for n in range(1, 5)] for cut in (0, 1)))
         assert abs(np.exp(got[0]) - plain_kneser_ney(grams, g, 7)) < 1e-9, g
+    lm = language_id.LanguageModels(["x"], [model])
+    flat = language_id.symbols(text)
+    want = -np.mean([np.log(plain_kneser_ney(grams, text[i : i + 4], 7)) for i in range(len(text) - 3)])
+    assert "".join(map(chr, flat)) == text and abs(lm.entropies(["12", text, None, text])[0][1, 0] - want) < 1e-4
     # with every symbol the model has, probabilities of what may follow sum to one
     assert abs(sum(plain_kneser_ney(grams, "ab" + "c" + x, 7) for x in "abcд ") + 2 * plain_kneser_ney(grams, "abcx", 7) - 1) < 1e-9
 

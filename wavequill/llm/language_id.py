@@ -30,6 +30,8 @@ UND = "und"
 LETTER, MARK = 1, 2
 #: lengths in characters from which a bound of its own holds
 LENGTHS = (1, 16, 64, 256, 1024)
+#: odd numbers that tell the places of an n-gram's symbols apart
+STEPS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 #: bytes of the scores that a worker remembers
 MEMORY = 32 << 20
 
@@ -41,14 +43,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def gram_hashes(symbols: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the n-grams of code points that end at each symbol, for n from 0 to ORDER; the first n - 1 are void."""
-    s = symbols.astype(np.uint64)
-    out = [np.zeros(len(s), np.uint64)]
-    for n in range(1, ORDER + 1):
-        first = np.concatenate([np.zeros(min(n - 1, len(s)), np.uint64), s[: max(0, len(s) - n + 1)]])
-        out.append(_mix(out[-1] + (first + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n << 40)))
-    return out
+def hashes(grams: np.ndarray) -> np.ndarray:
+    """The hash of each row of code points, which is made from the last to the first."""
+    h = np.zeros(len(grams), np.uint64)
+    for n in range(1, grams.shape[1] + 1):
+        h = _mix(h + (grams[:, -n].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n << 40))
+    return h
 
 
 @functools.cache
@@ -90,7 +90,7 @@ class KneserNey:
         """grams: distinct n-grams of ORDER code points, a row each; counts: how often they occur."""
         keys, probability, contexts, backoff = [], [], [], []
         for n in range(ORDER, 0, -1):
-            key, ctx = _of_rows(grams), _of_rows(grams[:, :-1])
+            key, ctx = hashes(grams), hashes(grams[:, :-1])
             ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
             discount = min(0.9, max(0.1, ones / max(1, ones + 2 * twos)))
             names, inverse = np.unique(ctx, return_inverse=True)
@@ -100,7 +100,7 @@ class KneserNey:
             contexts.append(names + np.uint64(n))
             backoff.append(discount * np.bincount(inverse) / total)
             if n > 1:  # continuation counts: in how many ways the shorter n-grams are preceded
-                _, first, counts = np.unique(_of_rows(grams[:, 1:]), return_index=True, return_counts=True)
+                _, first, counts = np.unique(hashes(grams[:, 1:]), return_index=True, return_counts=True)
                 grams = grams[first, 1:]
         k, c = np.concatenate(keys), np.concatenate(contexts)
         i, j = np.argsort(k), np.argsort(c)
@@ -116,14 +116,6 @@ class KneserNey:
         return np.log(p)
 
 
-def _of_rows(grams: np.ndarray) -> np.ndarray:
-    """The hash of each row of code points, as `gram_hashes` has it."""
-    h = np.zeros(len(grams), np.uint64)
-    for n in range(1, grams.shape[1] + 1):
-        h = _mix(h + (grams[:, -n].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n << 40))
-    return h
-
-
 @dataclass
 class LanguageModels:
     langs: list[str]
@@ -140,15 +132,16 @@ class LanguageModels:
         if "_known" not in self.__dict__:
             slots = 1 << int(np.log2(MEMORY / (8 + 4 * len(self.langs))))
             self._known, self._rows = np.zeros(slots, np.uint64), np.zeros((slots, len(self.langs)), np.float32)
-        g = gram_hashes(flat)
-        key = g[ORDER][ends]
+        c = flat.astype(np.uint64)
+        key = _mix(sum((c[ends - k] * step for k, step in enumerate(STEPS)), np.uint64(1)))
         slot = (key & np.uint64(len(self._known) - 1)).astype(np.int64)
         missed = np.flatnonzero(self._known[slot] != key)
         out = self._rows[slot]
         if len(missed):
             new, first, back = np.unique(key[missed], return_index=True, return_inverse=True)
-            at = ends[missed[first]]
-            found = np.column_stack([m.log_p([g[n][at] for n in range(1, ORDER + 1)], [g[n - 1][at - 1] for n in range(1, ORDER + 1)]) for m in self.models])
+            grams = flat[ends[missed[first]][:, None] + np.arange(1 - ORDER, 1)]
+            own, contexts = ([hashes(grams[:, -n : ORDER - cut]) for n in range(1, ORDER + 1)] for cut in (0, 1))
+            found = np.column_stack([m.log_p(own, contexts) for m in self.models])
             out[missed] = found[back]
             place = (new & np.uint64(len(self._known) - 1)).astype(np.int64)
             place, last = np.unique(place, return_index=True)
@@ -206,7 +199,7 @@ def train(docs: DataFrame, per_lang: int = 2000, seed: int = 42, quantile: float
                 own.setdefault(lang, []).append(symbols(text))
             for lang, parts in own.items():
                 grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(s, ORDER) for s in parts if len(s)] or [np.zeros((0, ORDER), np.uint32)])
-                _, first, n = np.unique(_of_rows(grams), return_index=True, return_counts=True)
+                _, first, n = np.unique(hashes(grams), return_index=True, return_counts=True)
                 text = grams[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)], pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
