@@ -49,13 +49,16 @@ def faded(blocks: DataFrame, n: Column, fade: Column, start: str = "start") -> D
 
 
 def to_length(scenes: DataFrame, blocks: DataFrame, keys: list[str], n: str, block: int) -> DataFrame:
-    """Every scene of `scenes` with exactly `n` samples: cut, or filled with silence; silence alone where it has no blocks."""
+    """Every scene of `scenes` with exactly `n` samples: cut, or filled with silence; silence alone where it has no blocks.
+    Blocks lie on the grid of `block` samples and have no holes; the last one of a signal may be shorter."""
     own = scenes.select(*keys, F.col(n).cast("long").alias("_want"))
-    kept = cut(blocks.join(own, keys), F.col("_want")).select(*keys, "start", *SIDES)
-    missing = own.join(lengths(blocks, keys), keys, "left").withColumn("n", F.coalesce("n", F.lit(0))).filter(F.col("n") < F.col("_want"))
-    each = missing.select(*keys, "_want", F.explode(F.sequence(F.col("n").cast("long"), F.col("_want") - 1, F.lit(block).cast("long"))).alias("start"))
-    silence = F.array_repeat(F.lit(0.0), F.least(F.lit(block), F.col("_want") - F.col("start")).cast("int"))
-    return kept.unionByName(each.select(*keys, "start", silence.alias("left"), silence.alias("right")))
+    kept = cut(blocks.join(own, keys), F.col("_want"))
+    short = F.least(F.lit(block).cast("long"), F.col("_want") - F.col("start")).cast("int")
+    kept = kept.select(*keys, "start", *[F.concat(F.col(s).cast("array<double>"), F.array_repeat(F.lit(0.0), F.greatest(short - F.size(s), F.lit(0)))).alias(s) for s in SIDES])
+    missing = own.join(lengths(blocks, keys), keys, "left").withColumn("_from", F.ceil(F.coalesce("n", F.lit(0)) / block) * block).filter(F.col("_from") < F.col("_want"))
+    each = missing.select(*keys, "_want", F.explode(F.sequence(F.col("_from").cast("long"), F.col("_want") - 1, F.lit(block).cast("long"))).alias("start"))
+    zeros = F.array_repeat(F.lit(0.0), F.least(F.lit(block).cast("long"), F.col("_want") - F.col("start")).cast("int"))
+    return kept.unionByName(each.select(*keys, "start", zeros.alias("left"), zeros.alias("right")))
 
 
 def trimmed(blocks: DataFrame, keys: list[str], most: float, rate: int) -> DataFrame:
@@ -91,12 +94,34 @@ def timeline_length(stems: DataFrame, events: DataFrame, keys: list[str]) -> Dat
     return ends.groupBy(*keys).agg(F.max("n").alias("n"))
 
 
+def _summed(arrays: Column) -> Column:
+    """The sum of some arrays, place by place; shorter ones count as 0 beyond their end."""
+    add = lambda a, b: F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0))
+    return F.aggregate(arrays, F.array().cast("array<double>"), lambda total, x: F.zip_with(total, x.cast("array<double>"), add))
+
+
 def mixed(stems: DataFrame, keys: list[str]) -> DataFrame:
-    """The sum of all stems, block by block; stems share their scene's starts and lengths."""
-    long = stems.select(*keys, "start", F.posexplode(F.arrays_zip("left", "right")).alias("i", "v"))
-    sums = long.groupBy(*keys, "start", "i").agg(F.sum("v.left").alias("left"), F.sum("v.right").alias("right"))
-    each = sums.groupBy(*keys, "start").agg(F.array_sort(F.collect_list(F.struct("i", *SIDES))).alias("v"))  # one block
-    return each.select(*keys, "start", *[F.col("v")[s].alias(s) for s in SIDES])
+    """The sum of all stems, block by block; stems share their scene's starts."""
+    each = stems.groupBy(*keys, "start").agg(*[F.collect_list(s).alias(s) for s in SIDES])  # one block's few stems
+    return each.select(*keys, "start", *[_summed(F.col(s)).alias(s) for s in SIDES])
+
+
+def placed(blocks: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Blocks with any starts, which may overlap, as sums on the grid of `block` samples; what starts before 0 is cut there.
+    Of a grid block only as many samples are kept as some block reaches; untouched grid blocks are missing."""
+    stop = F.col("start") + F.size("left")
+    rows = blocks.filter((F.size("left") > 0) & (stop > 0)).withColumn("b", F.explode(F.sequence(F.floor(F.greatest(F.col("start"), F.lit(0)) / block), F.floor((stop - 1) / block))))
+    low, high = F.greatest(F.col("b") * block, F.col("start")), F.least((F.col("b") + 1) * block, stop)
+    lead = F.array_repeat(F.lit(0.0), (low - F.col("b") * block).cast("int"))
+    piece = lambda s: F.concat(lead, F.slice(s, (low - F.col("start") + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int")).cast("array<double>"))
+    return mixed(rows.select(*keys, (F.col("b") * block).alias("start"), *[piece(s).alias(s) for s in SIDES]), keys)
+
+
+def silence(scenes: DataFrame, keys: list[str], n: str, block: int) -> DataFrame:
+    """Blocks of zeros for every scene's n samples."""
+    each = scenes.filter(F.col(n) > 0).select(*keys, F.col(n).cast("long").alias("_n"), F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1, F.lit(block).cast("long"))).alias("start"))
+    zeros = F.array_repeat(F.lit(0.0), F.least(F.lit(block), F.col("_n") - F.col("start")).cast("int"))
+    return each.select(*keys, "start", *[zeros.alias(s) for s in SIDES])
 
 
 def _coefficients(threshold_db: float, reduction_db: float, attack_ms: float, release_ms: float, rate: int):
