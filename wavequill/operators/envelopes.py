@@ -7,9 +7,11 @@ and tests; `sidechain_blocks` keeps audio-rate scenes in Arrow and scans them in
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,26 +66,36 @@ def sidechain_blocks(samples: DataFrame, key: str, order: str, level: str, thres
     return samples.select(key, order, level).groupBy(key).applyInPandas(scan, f"{key} {kinds[key]}, {order} {kinds[order]}, gain double")
 
 
-def kept_frames(db: np.ndarray, least: float) -> np.ndarray:
-    """The places of the frames that differ by `least` or more from the last frame kept; the first is kept."""
-    kept, last = [], math.inf
-    for i, x in enumerate(db.tolist()):
-        if abs(x - last) >= least:
-            kept.append(i)
-            last = x
-    return np.array(kept, np.int64)
+def in_order(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """All rows of a key in one partition, sorted (on disk where need be), for a scan that streams through them."""
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order)
 
 
-def keyframes(frames: DataFrame, keys: list[str], at: str, db: str, least: float = 0.5) -> DataFrame:
-    """The frames whose level differs by `least` dB or more from the last frame that was kept (not from the last one). Each
-    depends on all before it, so a scene's frames, some hundred a second at most, are scanned in one pass."""
+def with_begins(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.RecordBatch, list[bool]]]:
+    """Every batch of sorted rows, and which of its rows begin a key."""
+    last = None
+    for batch in batches:
+        names = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        yield batch, [n != before for n, before in zip(names, [last, *names], strict=False)]
+        last = names[-1] if names else last
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(at)
-        return rows.iloc[kept_frames(rows[db].to_numpy(float), least)]
 
-    kinds = {f.name: f.dataType.simpleString() for f in frames.schema}
-    return frames.select(*keys, at, db).groupBy(*keys).applyInPandas(run, ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, at, db]))
+def keyframes(frames: DataFrame, keys: list[str], at: str, db: str, least: float = 0.5) -> DataFrame:
+    """The frames whose level differs by `least` dB or more from the last frame that was kept (not from the last one). Each
+    depends on all before it, so one pass streams through a scene's frames, some hundred a second at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = math.inf
+        for batch, begins in with_begins(batches, keys):
+            kept = []
+            for i, (x, first) in enumerate(zip(batch.column(db).to_pylist(), begins, strict=True)):
+                if first or abs(x - last) >= least:
+                    kept.append(i)
+                    last = x
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    slim = frames.filter(F.col(db).isNotNull()).select(*keys, at, db)
+    return in_order(slim, keys, [at]).mapInArrow(run, slim.schema)
 
 
 def with_ends(points: DataFrame, samples: DataFrame, keys: list[str], at: str, gain: str, db: str, order: list[str], gap: float = 0.01) -> DataFrame:

@@ -11,12 +11,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavequill.operators.envelopes import affine_scan, interpolated
+from wavequill.operators.envelopes import affine_scan, in_order, interpolated, with_begins
 
 SIDES = ("left", "right")
 
@@ -156,10 +155,14 @@ def ducking_gains(sidechain: DataFrame, keys: list[str], rate: int, threshold_db
                 maps.append((float(np.prod(c)), float(affine_scan(c, d, 0.0)[-1]) if len(c) else 0.0))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in [*keys, "start"]), pa.array([m[0] for m in maps], pa.float64()), pa.array([m[1] for m in maps], pa.float64())], names=[*keys, "start", "a", "b"])
 
-    def composed(maps: pd.DataFrame) -> pd.DataFrame:  # one row a block
-        maps = maps.sort_values("start")
-        first = np.concatenate([[1.0], affine_scan(maps["a"].to_numpy(), maps["b"].to_numpy(), 1.0)[:-1]])
-        return maps[[*keys, "start"]].assign(first=first)
+    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # one row a block
+        g = 1.0
+        for batch, begins in with_begins(batches, keys):
+            first = []
+            for a, b, fresh in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), begins, strict=True):
+                first.append(1.0 if fresh else g)
+                g = a * first[-1] + b
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in [*keys, "start"]), pa.array(first, pa.float64())], names=[*keys, "start", "first"])
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +170,8 @@ def ducking_gains(sidechain: DataFrame, keys: list[str], rate: int, threshold_db
             gains = [affine_scan(*of(_values(batch, "left", i), _values(batch, "right", i)), first[i]) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in [*keys, "start"]), pa.array(gains, pa.list_(pa.float64()))], names=[*keys, "start", "gain"])
 
-    starts = slim.mapInArrow(summed, named + ", a double, b double").groupBy(*keys).applyInPandas(composed, named + ", first double")
+    starts = slim.mapInArrow(summed, named + ", a double, b double")
+    starts = in_order(starts, keys, ["start"]).mapInArrow(composed, named + ", first double")
     return slim.join(starts, [*keys, "start"]).select(*keys, "start", *SIDES, "first").mapInArrow(finished, named + ", gain array<double>")
 
 
