@@ -31,10 +31,10 @@ def j16_scene_type(t):
 
 
 @query(f"""WITH {_TYPED}, o AS (UNPIVOT (SELECT c_custkey, speech_offset AS speech, music_offset AS music, ambience_offset AS ambience, sfx_offset AS sfx FROM typed) ON speech, music, ambience, sfx INTO NAME stem VALUE "offset"),
- b AS (SELECT o.*, CASE WHEN stem IN ('music', 'sfx') THEN -9.0::DOUBLE WHEN stem = 'speech' THEN round(c_acctbal / 1000, 2) END AS gain_db FROM o JOIN customer USING (c_custkey))
+ b AS (SELECT o.*, CASE WHEN stem IN ('music', 'sfx') THEN -9.0::DOUBLE WHEN stem = 'speech' THEN round(c_acctbal) / 1000 END AS gain_db FROM o JOIN customer USING (c_custkey))
  SELECT c_custkey, stem, round(CASE WHEN "offset" = 0 THEN gain_db ELSE coalesce(gain_db, 0) + "offset" END, 6) + 0.0 AS gain_db FROM b""")
 def j5_stem_settings(t):
-    base = t("customer").select("c_custkey", F.explode(F.create_map(F.lit("music"), F.lit(-9.0), F.lit("sfx"), F.lit(-9.0), F.lit("speech"), F.round(F.col("c_acctbal") / 1000, 2))).alias("stem", "gain_db"))
+    base = t("customer").select("c_custkey", F.explode(F.create_map(F.lit("music"), F.lit(-9.0), F.lit("sfx"), F.lit(-9.0), F.lit("speech"), F.round("c_acctbal") / 1000)).alias("stem", "gain_db"))
     found = settings.stem_settings(base, scene_types.stem_offsets(_typed(t), ["c_custkey"]), ["c_custkey"])
     return found.withColumn("gain_db", F.round("gain_db", 6) + 0.0)
 
