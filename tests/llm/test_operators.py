@@ -336,6 +336,8 @@ def test_equal_texts_stay_together(spark):
 @pytest.mark.parametrize(("words", "num", "sent"), [(5, 80, 500_000), (3, 50, 0), (3, 90, 0)])
 def test_components(spark, monkeypatch, words, num, sent):
     monkeypatch.setattr(jaccard_join, "SENT", sent)  # 0: every join shuffles
+    if not sent:
+        monkeypatch.setattr(jaccard_join, "HOT_ROWS", 1)  # every key with two rows is dealt to several tasks
     d = table(spark, SF, "documents")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets, lists, parent = {}, defaultdict(list), {}

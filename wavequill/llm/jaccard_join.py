@@ -47,6 +47,10 @@ ROWS = 1000
 PAIRS = 250
 #: identifiers that are sent to all tasks at most
 SENT = 500_000
+#: a key of a join is heavy with more rows than HOT_ROWS and than a HOT_KEYS-th of all, so at most HOT_KEYS are
+HOT_ROWS, HOT_KEYS = 1000, 65_536
+#: parts in which rows without a key are dealt
+KEYLESS = 4096
 
 
 def prefix_size(n: np.ndarray | int, num: int, den: int):
@@ -69,6 +73,23 @@ def _signature(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _heavy(counts: DataFrame, key: str, rows: int) -> DataFrame:
+    """key, parts: the heavy keys of `counts` (key, count), of `rows` rows in all, and into how many parts each is cut."""
+    most = max(HOT_ROWS, rows // HOT_KEYS)
+    return counts.filter(F.col("count") > most).select(key, F.ceil(F.col("count") / most).cast("int").alias("parts"))
+
+
+def _spread(left: DataFrame, right: DataFrame, heavy: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """`left` joined with `right`, which has one row a key. Rows of heavy keys are dealt to their parts by a hash of
+    `by`, and each part gets a copy of the right row, so no task holds a whole heavy key."""
+    heavy = F.broadcast(heavy)  # HOT_KEYS rows at most
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = F.pmod(F.xxhash64(by), F.when(F.col(key).isNull(), KEYLESS).otherwise(parts)).cast("int")
+    left = left.join(heavy, key, "left").withColumn("part", dealt).drop("parts")
+    right = right.join(heavy, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return left.join(right, [key, "part"], how).drop("part")
+
+
 def shingled(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """id, row (a number of its own), n, sig (of the set), low (what order 1 needs: tokens of the low range, or the first
     of a prefix)."""
@@ -91,18 +112,22 @@ def shingled(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, row long, n long, sig binary, low array<long>")
 
 
-def prefix_postings(nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """tok, node: the tokens of order 1's prefixes that more than one node has."""
+def prefix_postings(nodes: DataFrame, scratch: Scratch, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """tok, node: the tokens of order 1's prefixes that more than one node has; and the heavy ones."""
     top = low_range(num, den)
     postings = nodes.select("node", F.explode("low").alias("tok"))
-    shared = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = scratch.written(postings.groupBy("tok").count().filter("count > 1"), "shared")
+    heavy = scratch.written(_heavy(shared, "tok", shared.agg(F.sum("count")).first()[0] or 0), "heavy")
+    shared = shared.withColumnRenamed("count", "df")
     ranked = F.struct((F.col("tok") >= top).alias("late"), F.when(F.col("tok") >= top, 0).otherwise(F.col("df")).alias("df"), "tok")
-    own = postings.join(shared, "tok").groupBy("node").agg(F.array_sort(F.collect_list(ranked)).alias("toks"))  # one document's
+    own = _spread(postings, shared, heavy, "tok", "node").groupBy("node").agg(F.array_sort(F.collect_list(ranked)).alias("toks"))  # one document's
     counts = nodes.select("node", "n", F.size(F.filter("low", lambda t: t < top)).alias("ranged"))
     alone = F.col("ranged") - F.size(F.filter("toks", lambda t: ~t["late"]))  # tokens of one node come first
     room = F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1 - alone
     kept = own.join(counts, "node").withColumn("room", room.cast("int")).filter("room > 0")
-    return kept.select("node", F.explode(F.slice("toks", F.lit(1), F.col("room"))).alias("t")).select("t.tok", "node")
+    lists = scratch.written(kept.select("node", F.explode(F.slice("toks", F.lit(1), F.col("room"))).alias("t")).select("t.tok", "node"), "postings")
+    scratch.drop("shared")
+    return lists, heavy
 
 
 def _prefix(s: np.ndarray, seed: int, num: int, den: int) -> np.ndarray:
@@ -166,29 +191,32 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        hubs = _heavy(both.groupBy("a").count(), "a", 2 * edges.count())
+        large = _spread(both, least, hubs, "a", "b").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = scratch.written(large, "large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        pairs = large.join(least, "a")
+        pairs = _spread(large, least, _heavy(large.groupBy("a").count(), "a", large.count()), "a", "b")
         small = pairs.select("a", F.col("m").alias("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
         edges = scratch.written(small, "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
+            scratch.drop("large")
             found = edges.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "node")
             return scratch.written(found, "components")
         before = now
 
 
-def _lively(lists: DataFrame) -> DataFrame:
+def _lively(lists: DataFrame, heavy: DataFrame) -> DataFrame:
     """The lists with nodes of more than one component."""
     ends = lists.groupBy("tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    return lists.join(ends.select("tok"), "tok", "left_semi")
+    return _spread(lists, ends.select("tok"), heavy, "tok", "node", "left_semi")
 
 
-def _pivoted(lists: DataFrame) -> DataFrame:
+def _pivoted(lists: DataFrame, heavy: DataFrame) -> DataFrame:
     """The lists with their pivots p."""
     degree = lists.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     chosen = lists.join(degree, "node").groupBy("tok").agg(F.max(F.struct("degree", -F.col("node"), "node"))["node"].alias("p"))
-    return lists.join(chosen, "tok")
+    return _spread(lists, chosen, heavy, "tok", "node")
 
 
 def _centres(members: DataFrame, sets: DataFrame, voters: int = 32) -> DataFrame:
@@ -209,7 +237,7 @@ def _centres(members: DataFrame, sets: DataFrame, voters: int = 32) -> DataFrame
     return known.groupBy("p").applyInArrow(vote, "p long, centre array<long>")
 
 
-def _deltas(members: DataFrame, sets: DataFrame, centres: DataFrame, num: int, den: int) -> DataFrame:
+def _deltas(members: DataFrame, sets: DataFrame, centres: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
     """p, tok, a, n, size, pos: the prefix of every member's delta to its pivot's centre; the order has the tokens
     outside the centre first, then the centre's, each by hash. size is the whole delta's, pos counts from 1; an empty
     delta has one row without a token."""
@@ -232,15 +260,15 @@ def _deltas(members: DataFrame, sets: DataFrame, centres: DataFrame, num: int, d
                 names=["p", "tok", "a", "n", "size", "pos"],
             )
 
-    whole = members.join(sets.withColumnRenamed("node", "a"), "a").join(centres, "p")
+    whole = _spread(members.join(sets.withColumnRenamed("node", "a"), "a"), centres, heavy, "p", "a")
     return whole.select("p", "a", "toks", "centre").mapInArrow(run, "p long, tok long, a long, n long, size long, pos long")
 
 
-def _near_pairs(deltas: DataFrame, num: int, den: int) -> DataFrame:
+def _near_pairs(deltas: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of the member nearest to each centre and those whose deltas are small enough to link with it."""
     each = deltas.filter("pos = 1").withColumn("far", F.col("size") * (den + num) - F.col("n") * (den - num))
     nearest = each.groupBy("p").agg(F.min(F.struct("far", "a")).alias("q")).select("p", F.col("q.far").alias("near"), F.col("q.a").alias("q"))
-    found = each.join(nearest, "p").filter((F.col("far") + F.col("near") <= 0) & (F.col("a") != F.col("q")))
+    found = _spread(each, nearest, heavy, "p", "a").filter((F.col("far") + F.col("near") <= 0) & (F.col("a") != F.col("q")))
     return found.select(F.least("a", "q").alias("a"), F.greatest("a", "q").alias("b")).distinct()
 
 
@@ -264,31 +292,33 @@ def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     sets_of = rows.filter("sig is not null and id is not null")
     first = F.min(F.struct("id", "row")).alias("first")
     reps = scratch.written(sets_of.groupBy("sig").agg(first, F.count(F.lit(1)).alias("copies")).select("sig", F.col("first.id").alias("id"), F.col("first.row").alias("node"), "copies"), "sets-of")
-    repeats = sets_of.select("sig", "row").join(reps.filter("copies > 1").select("sig", "node"), "sig").filter("row <> node").select("row")
+    copied = _heavy(reps.withColumnRenamed("copies", "count"), "sig", rows.count())
+    repeats = _spread(sets_of.select("sig", "row"), reps.filter("copies > 1").select("sig", "node"), copied, "sig", "row").filter("row <> node").select("row")
     repeats = scratch.written(repeats, "repeats")
     nodes = sets_of.join(_sent(repeats), "row", "left_anti").select(F.col("row").alias("node"), "n", "low")
-    lists = scratch.written(prefix_postings(nodes, num, den), "postings")
-    slim = scratch.written(rows.select("id", "n", "sig"), "rows")
+    lists, heavy = prefix_postings(nodes, scratch, num, den)
+    slim = scratch.written(rows.select("id", "row", "n", "sig"), "rows")
     scratch.drop("shingles", "repeats")
 
     # whole sets of the nodes that stand in some list with others
-    needed = lists.join(lists.groupBy("tok").count().filter("count > 1"), "tok").select("node").distinct()
+    needed = _spread(lists, lists.groupBy("tok").count().filter("count > 1").select("tok"), heavy, "tok", "node", "left_semi").select("node").distinct()
     wanted = scratch.written(reps.join(needed, "node", "left_semi").select("sig", "id", "node"), "nodes")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(_sent(wanted.select("id").distinct()), "id", "left_semi").select("text")
     sets = whole_sets(texts, words, num, den).join(_sent(wanted.select("sig", "node")), "sig").drop("sig").dropDuplicates(["node"])
     sets = scratch.written(sets, "sets", ROWS)
 
-    lists = scratch.written(_pivoted(_lively(lists.withColumn("comp", F.col("node")))), "lists")
+    lists = scratch.written(_pivoted(_lively(lists.withColumn("comp", F.col("node")), heavy), heavy), "lists")
     near = lists.filter("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
     links = _linked(near, sets, scratch, num, den)
     comps = components(links, scratch)
-    open_ = _lively(lists.filter("node <> p").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    open_ = _lively(lists.filter("node <> p").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), heavy)
     members = open_.select("p", F.col("node").alias("a"))
     members = scratch.written(members.unionByName(members.select("p", F.col("p").alias("a"))).distinct(), "members")
-    scratch.drop("postings", "lists", "nodes")
+    scratch.drop("postings", "lists", "nodes", "heavy")
+    crowded = _heavy(members.groupBy("p").count(), "p", members.count())
     tokens = sets.select("node", "toks")
-    deltas = scratch.written(_deltas(members, tokens, _centres(members, tokens), num, den), "deltas", PAIRS)
-    pairs = _delta_pairs(deltas, comps, num, den).unionByName(_near_pairs(deltas, num, den))
+    deltas = scratch.written(_deltas(members, tokens, _centres(members, tokens), crowded, num, den), "deltas", PAIRS)
+    pairs = _delta_pairs(deltas, comps, num, den).unionByName(_near_pairs(deltas, crowded, num, den))
     more = _linked(pairs.distinct(), sets, scratch, num, den)
     scratch.drop("members", "deltas", "sets")
     if more.limit(1).count():
@@ -296,7 +326,7 @@ def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     placed = reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("id").alias("component_id"), F.sum("copies").alias("members")).filter("members > 1")
     moved = placed.join(least, "comp").select("sig", "component_id")
-    out = slim.join(moved, "sig", "left")
+    out = _spread(slim, moved, copied, "sig", "row", "left")
     out = scratch.written(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")), "linked")
     scratch.drop(*(n for n in list(scratch.paths) if n != "linked"))
     return out
