@@ -185,9 +185,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, scratch: Scratch, num: int, den:
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """node, comp (the smallest node that links reach) for the nodes of `links` (a, b): alternating stars."""
+    """node, comp (the smallest node that links reach) for the nodes of `links` (a, b): alternating stars, until every
+    node that has a smaller one has it alone and no node has both a smaller and a larger one."""
     edges = scratch.written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
-    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -198,12 +198,11 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         pairs = _spread(large, least, _heavy(large.groupBy("a").count(), "a", large.count()), "a", "b")
         small = pairs.select("a", F.col("m").alias("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
         edges = scratch.written(small, "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("smaller")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("smaller")))
+        open_ = ends.groupBy("node").agg(F.sum("smaller").alias("up"), F.count(F.lit(1)).alias("all")).filter("up > 1 or (up = 1 and all > 1)")
+        if not open_.limit(1).count():
             scratch.drop("large")
-            found = edges.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "node")
-            return scratch.written(found, "components")
-        before = now
+            return scratch.written(edges.select(F.col("a").alias("node"), F.col("b").alias("comp")), "components")
 
 
 def _lively(lists: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -322,7 +321,7 @@ def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     more = _linked(pairs.distinct(), sets, scratch, num, den)
     scratch.drop("members", "deltas", "sets")
     if more.limit(1).count():
-        comps = components(links.unionByName(more), scratch)
+        comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), scratch)
     placed = reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = placed.groupBy("comp").agg(F.min("id").alias("component_id"), F.sum("copies").alias("members")).filter("members > 1")
     moved = placed.join(least, "comp").select("sig", "component_id")
