@@ -393,7 +393,7 @@ def _lists(arrays: list[np.ndarray | None]) -> pa.ListArray:
 
 
 #: characters of text that are indexed at a time
-CHUNK = 1_500_000
+CHUNK = 500_000
 
 
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kind: str | None = None, decode: bool = True) -> DataFrame:
