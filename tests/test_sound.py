@@ -1,10 +1,11 @@
 """Filters, dynamics and loudness by closed form and property."""
 
+from itertools import groupby
+
 import numpy as np
-import pandas as pd
 import pytest
 
-from wavequill.operators import chains, loudness
+from wavequill.operators import blocks, chains, levels, loudness
 
 RATE = 48_000
 
@@ -64,11 +65,120 @@ def test_true_peak_finds_peaks_between_samples():
     assert np.abs(x).max() < 0.71 and loudness.oversampled_peak(x) == pytest.approx(1, abs=0.08)
 
 
+def in_blocks(spark, signals, size, sides=("left",)):
+    rows = [(k, i, *[(x if s == "left" else -0.5 * x)[i : i + size].tolist() for s in sides]) for k, x in signals.items() for i in range(0, len(x), size)]
+    return spark.createDataFrame(rows, "scene string, start long" + "".join(f", {s} array<double>" for s in sides)).repartition(5)
+
+
+def whole(df, column="left"):
+    return {k: np.concatenate([np.array(r[column], float) for r in sorted(rows, key=lambda r: r.start)]) for k, rows in ((k, list(g)) for k, g in groupby(sorted(df.collect(), key=lambda r: r.scene), key=lambda r: r.scene))}
+
+
 def test_loudness_of_tones(spark):
-    rows = [pd.DataFrame({"scene": k, "i": np.arange(len(x)), "x": x}) for k, x in (("tone", tone(997, -20, 2)), ("quiet", np.zeros(RATE)), ("short", tone(997, -20, 0.1)))]
     gap = np.concatenate([tone(997, -20, 2), np.zeros(4 * RATE)])  # the gate leaves silence out
-    frame = spark.createDataFrame(pd.concat([*rows, pd.DataFrame({"scene": "gap", "i": np.arange(len(gap)), "x": gap})]))
-    found = {r.scene: r for r in loudness.integrated_loudness(frame, "scene", ["i"], "x", RATE).collect()}
+    frame = in_blocks(spark, {"tone": tone(997, -20, 2), "quiet": np.zeros(RATE), "short": tone(997, -20, 0.1), "gap": gap}, 20_000).cache()
+    found = {r.scene: r for r in loudness.integrated_loudness(frame, ["scene"], RATE, 20_000, ("left",)).collect()}
     assert found["tone"].lufs == pytest.approx(-23.01, abs=0.15) and found["gap"].lufs == pytest.approx(found["tone"].lufs, abs=0.5)
     assert found["quiet"].lufs == found["short"].lufs == -70 and found["quiet"].true_peak_db == -100
     assert found["tone"].true_peak_db == pytest.approx(-20, abs=0.3)
+
+
+@pytest.fixture(scope="module")
+def noises(spark):
+    rng = np.random.default_rng(8)
+    lengths = {"long": 1203, "even": 640, "one": 1, "block": 64, "short": 63}
+    found = {k: rng.standard_normal(n) * 0.4 * (1 + np.arange(n) % 90 // 60) for k, n in lengths.items()}
+    return found, in_blocks(spark, found, 64, ("left", "right")).cache()
+
+
+CHAIN = {"low_cut_hz": 300.0, "high_shelf_db": -3.0, "high_shelf_hz": 1200.0, "compressor": {"threshold": -20.0, "ratio": 2.0, "attack": None}, "reverb": {"room_size": 0.02, "damping": 0.5, "wet": 0.3}, "gain_db": -2.0}
+
+
+@pytest.mark.parametrize("settings", [{k: v} for k, v in CHAIN.items()] + [CHAIN, {}])
+def test_blocks_equal_whole_signals(noises, settings):
+    """Filters, compressor, reverb and the whole chain, over many blocks, to 1e-9."""
+    found, df = noises
+    got = chains.process_stems(df, ["scene"], 4000, 64, settings)
+    for side, factor in (("left", 1.0), ("right", -0.5)):
+        for k, x in whole(got, side).items():
+            assert np.allclose(x, chains.processed(found[k] * factor, 4000, settings), atol=1e-9, rtol=0), (k, side)
+
+
+def test_settings_by_key(noises):
+    found, df = noises
+    got = whole(chains.process_stems(df, ["scene"], 4000, 64, {"long": CHAIN, "even": {"gain_db": 6.0, "reverb": {"room_size": 0.0, "damping": 0.0, "wet": 1.0}}, "one": {"low_cut_hz": 90.0}}, "scene"))
+    for k, x in got.items():
+        own = {"long": CHAIN, "even": {"gain_db": 6.0, "reverb": {"room_size": 0.0, "damping": 0.0, "wet": 1.0}}, "one": {"low_cut_hz": 90.0}}.get(k, {})
+        assert np.allclose(x, chains.processed(found[k], 4000, own), atol=1e-9, rtol=0), k
+
+
+def test_mastering_and_limits_in_blocks(noises):
+    """The limiter's window of 96 kHz (480 samples) reaches over several blocks of 64."""
+    found, df = noises
+    for rate in (4000, 96_000):
+        for k, x in whole(chains.master(df, ["scene"], rate, 64)).items():
+            assert np.allclose(x, chains.mastered(found[k], rate), atol=1e-9, rtol=0), (k, rate)
+
+
+def test_reverb_equals_direct_convolution():
+    x, h = np.random.default_rng(2).standard_normal(700), chains.response(4000, 0.1, 0.4, 0.3)
+    assert np.allclose(chains.reverberated(x, 4000, 0.1, 0.4, 0.3), np.convolve(x, h)[:700])
+
+
+def test_cost_of_convolution_is_blocks_times_parts(noises):
+    found, df = noises
+    h = np.random.default_rng(4).standard_normal(64 * 3)
+    got = whole(blocks.convolved(df, ["scene"], h, 64, ("left",)))
+    assert all(np.allclose(x, np.convolve(found[k], h)[: len(x)], atol=1e-9) for k, x in got.items()) and {k: len(x) for k, x in got.items()} == {k: len(x) for k, x in found.items()}
+
+
+@pytest.mark.parametrize(("before", "after"), [(0, 0), (5, 3), (64, 64), (200, 130)])
+def test_halos(noises, before, after):
+    found, df = noises
+    for r in blocks.with_halo(df, ["scene"], before, after, 64, ("left", "right")).collect():
+        x, stop = found[r.scene], r.start + len(r.left)
+        assert np.allclose(r.left_before, x[max(0, r.start - before) : r.start]) and np.allclose(r.left_after, x[stop : stop + after])
+        assert np.allclose(r.right_before, -0.5 * x[max(0, r.start - before) : r.start])
+
+
+def test_true_peaks_and_hops_in_blocks(noises):
+    found, df = noises
+    peaks = {r.scene: r.true_peak for r in loudness.true_peaks(df, ["scene"], 64, ("left",)).collect()}
+    assert all(peaks[k] == pytest.approx(loudness.oversampled_peak(x), abs=1e-12) for k, x in found.items())
+    hops = loudness.hop_powers(df, ["scene"], 4000, 50, ("left", "right"))
+    powers = {k: {r.block: r.z for r in rows} for k, rows in ((k, list(g)) for k, g in groupby(sorted(loudness.window_powers(hops, ["scene"], 50, 4).collect(), key=lambda r: r.scene), key=lambda r: r.scene))}
+    for k, x in found.items():
+        y = loudness.k_weighted(x, 4000) ** 2 + loudness.k_weighted(-0.5 * x, 4000) ** 2
+        assert powers.get(k, {}) == pytest.approx({w: y[50 * w : 50 * w + 200].mean() for w in range(0, (len(x) - 200) // 50 + 1)}, abs=1e-9)
+
+
+def test_levels_and_runs_in_blocks(spark):
+    rng = np.random.default_rng(6)
+    found = {k: np.where(rng.random(n) < share, 0.0, rng.standard_normal(n)) for k, n, share in (("a", 900, 0.7), ("b", 640, 0.99), ("zero", 300, 1.1), ("loud", 100, -1), ("one", 1, 1.1))}
+    found["odd"] = np.array([0.5, np.nan, np.inf, 0.0])
+    df = in_blocks(spark, found, 64)
+    long = spark.createDataFrame([(k, float(v)) for k, x in found.items() for v in x], "scene string, x double")
+    key = lambda df: sorted(map(repr, df.selectExpr("scene", "n", *(f"round({c}, 9)" for c in ("rms_db", "peak_db", "crest_db", "dc_offset")), "has_bad", "is_loud").collect()))
+    assert key(levels.block_levels(df, ["scene"], ("left",)).filter("scene <> 'odd'")) == key(levels.levels(long, ["scene"]).filter("scene <> 'odd'"))
+    assert levels.block_levels(df, ["scene"], ("left",)).filter("scene = 'odd'").first().has_bad
+    for k, longest in ((r.scene, r.longest) for r in levels.longest_quiet(df, ["scene"], ("left",)).collect()):
+        assert longest == max(len(z) for z in "".join("0" if abs(v) < 1e-8 else "x" for v in found[k]).split("x"))
+
+
+def test_order_statistics_take_no_array(spark):
+    """Places of up to 3000 values, with ties and one bucket that holds most of them."""
+    rng = np.random.default_rng(7)
+    found = {"wide": rng.normal(-30, 9, 3000), "same": np.full(500, -20.0), "near": -20 + rng.random(1001) * 0.05, "two": np.array([-10.0, -30.0]), "one": np.array([-3.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, x in found.items() for v in x] + [("wide", None)], "scene string, db double")
+    shares = {"low": 0.10, "mid": 0.5, "high": 0.95, "end": 1.0}
+    for r in levels.order_statistics(df, ["scene"], "db", shares).collect():
+        x = np.sort(found[r.scene])
+        assert r.n == len(x) and [r[k] for k in shares] == [x[min(len(x) - 1, int(len(x) * s))] for s in shares.values()]
+    plan = levels.loudness_range(df, ["scene"])._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
+
+
+def test_no_blocks(spark):
+    none = spark.createDataFrame([], "scene string, start long, left array<double>, right array<double>")
+    frames = [chains.process_stems(none, ["scene"], 4000, 64, CHAIN), chains.master(none, ["scene"], 4000, 64), chains.to_loudness(none, "scene", 4000, 64), levels.longest_quiet(none, ["scene"]), loudness.integrated_loudness(none, ["scene"], 4000, 64)]
+    assert [f.count() for f in frames] == [0] * 5

@@ -1,22 +1,25 @@
-"""Processing chains of stems: filters, compressor, reverb, limiter and mastering, one stem of a scene a group.
+"""Processing chains of stems: filters, compressor, reverb, limiter and mastering, over signals in blocks.
 
-Every recurrence advances all blocks of a signal side by side in numpy. The designs are the public textbook ones; they
-are tested by property, not against other implementations. An empty signal stays empty; samples must not be null.
+Filters and compressor are recurrences of a few numbers, the limiter looks a few milliseconds around, the reverb is a
+convolution with a room's impulse response; `blocks` runs each of them block by block, so no task holds a scene. The
+functions on arrays say what one signal becomes. The designs are the public textbook ones. An empty signal stays empty.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavequill.operators import blocks as B
 from wavequill.operators.envelopes import affine_scan, block_size
+from wavequill.storage import kept
 
-#: delays in seconds of the reverb's combs and all-passes
-COMBS, ALL_PASSES = (0.0297, 0.0371, 0.0411, 0.0437), (0.005, 0.0017)
+SIDES = ("left", "right")
 
 
 def high_pass(hz: float, rate: float, q: float = 0.5**0.5) -> tuple[np.ndarray, np.ndarray]:
@@ -34,11 +37,14 @@ def high_shelf(hz: float, db: float, rate: float, q: float = 0.5**0.5) -> tuple[
     return b / a[0], a / a[0]
 
 
-def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int | None = None) -> np.ndarray:
-    """A second-order filter: blocks run from rest side by side, then each adds the answer to the state it starts in."""
+def filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, state: np.ndarray, block: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A second-order filter from a state on, and the state after it: parts of the signal run from rest side by side, then
+    each adds the answer to the state it starts in."""
     n = len(x)
+    if not n:
+        return np.zeros(0), state
     block = block or block_size(n)
-    rows = -(-n // block) if n else 0
+    rows = -(-n // block)
     u = np.zeros(rows * block)
     u[:n] = x
     u = u.reshape(rows, block).T
@@ -46,29 +52,134 @@ def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int | None = None
     rest = np.empty((block, 2))  # what a state of (1, 0) or (0, 1) gives
     t = np.eye(2)
     step = np.array([[-a[1], 1.0], [-a[2], 0.0]])
-    for i in range(block if rows else 0):
+    for i in range(block):
         y[i] = b[0] * u[i] + s1
         s1, s2 = b[1] * u[i] - a[1] * y[i] + s2, b[2] * u[i] - a[2] * y[i]
         rest[i] = t[0]
         t = step @ t
-    state = np.zeros(2)
+    begin = state
     for k in range(rows):
-        y[:, k] += rest @ state
-        state = t @ state + (s1[k], s2[k])
-    return y.T.ravel()[:n]
+        y[:, k] += rest @ begin
+        begin = t @ begin + (s1[k], s2[k])
+    y = y.T.ravel()[:n]
+    before = b[2] * x[-2] - a[2] * y[-2] if n > 1 else state[1]
+    return y, np.array([b[1] * x[-1] - a[1] * y[-1] + before, b[2] * x[-1] - a[2] * y[-1]])
+
+
+def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int | None = None) -> np.ndarray:
+    """A second-order filter from rest."""
+    return filtered(x, b, a, np.zeros(2), block)[0]
+
+
+@dataclass(frozen=True)
+class Filters:
+    """Second-order filters one after another: a recurrence of two numbers each."""
+
+    designs: tuple[tuple[tuple[float, ...], tuple[float, ...]], ...]
+
+    @classmethod
+    def of(cls, *designs: tuple[np.ndarray, np.ndarray]) -> Filters:
+        return cls(tuple((tuple(b.tolist()), tuple(a.tolist())) for b, a in designs))
+
+    @property
+    def size(self) -> int:
+        return 2 * len(self.designs)
+
+    def first(self) -> np.ndarray:
+        return np.zeros(self.size)
+
+    def both(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = []
+        for k, (b, a) in enumerate(self.designs):
+            x, end = filtered(x, np.array(b), np.array(a), state[2 * k : 2 * k + 2])
+            ends.append(end)
+        return x, np.concatenate([*ends, np.zeros(0)])
+
+    def summary(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _power(self, len(x)), self.both(x, self.first())[1]
+
+    def run(self, x: np.ndarray, state: np.ndarray) -> np.ndarray:
+        return self.both(x, state)[0]
+
+
+@lru_cache(maxsize=64)
+def _power(filters: Filters, n: int) -> np.ndarray:
+    """What n samples of silence make of each state."""
+    step = np.array([filters.both(np.zeros(1), unit)[1] for unit in np.eye(filters.size)]).T.reshape(filters.size, filters.size)
+    return np.linalg.matrix_power(step, n)
+
+
+@dataclass(frozen=True)
+class Compressor:
+    """Levels above the threshold rise only by 1 / ratio; the reduction in decibels follows by attack above it and release
+    below. A recurrence of one number, whose coefficients the samples decide."""
+
+    rate: float
+    threshold: float = -20.0
+    ratio: float = 2.0
+    attack: float = 10.0
+    release: float = 100.0
+    size = 1
+
+    def first(self) -> np.ndarray:
+        return np.zeros(1)
+
+    def _terms(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        over = np.maximum(20 * np.log10(np.abs(x) + 1e-10) - self.threshold, 0.0)
+        c = np.where(over > 0, math.exp(-1000 / (self.rate * self.attack)), math.exp(-1000 / (self.rate * self.release)))
+        return c, (1 - c) * over * (1 - 1 / self.ratio)
+
+    def summary(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        c, d = self._terms(x)
+        return np.array([[np.prod(c)]]), affine_scan(c, d, 0.0)[-1:] if len(x) else np.zeros(1)
+
+    def run(self, x: np.ndarray, state: np.ndarray) -> np.ndarray:
+        return x * 10 ** (-affine_scan(*self._terms(x), state[0]) / 20)
+
+
+@dataclass(frozen=True)
+class Sidechain:
+    """Gains that fall to `reduction` by `attack` while the level is above the threshold, and rise to 1 by `release` else; both are
+    coefficients of the last gain."""
+
+    threshold: float
+    reduction: float
+    attack: float
+    release: float
+    size = 1
+
+    def first(self) -> np.ndarray:
+        return np.ones(1)
+
+    def _terms(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        on = x > self.threshold
+        c = np.where(on, self.attack, self.release)
+        return c, (1 - c) * np.where(on, self.reduction, 1.0)
+
+    def summary(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        c, d = self._terms(x)
+        return np.array([[np.prod(c)]]), affine_scan(c, d, 0.0)[-1:] if len(x) else np.zeros(1)
+
+    def run(self, x: np.ndarray, state: np.ndarray) -> np.ndarray:
+        return affine_scan(*self._terms(x), state[0])
 
 
 def compressed(x: np.ndarray, rate: float, threshold: float = -20.0, ratio: float = 2.0, attack: float = 10.0, release: float = 100.0) -> np.ndarray:
-    """Levels above the threshold rise only by 1 / ratio; the reduction follows by attack above it and release below."""
-    over = np.maximum(20 * np.log10(np.abs(x) + 1e-10) - threshold, 0.0)
-    c = np.where(over > 0, math.exp(-1000 / (rate * attack)), math.exp(-1000 / (rate * release)))
-    return x * 10 ** (-affine_scan(c, (1 - c) * over * (1 - 1 / ratio), 0.0) / 20)
+    own = Compressor(rate, threshold, ratio, attack, release)
+    return own.run(x, own.first())
+
+
+def look_ahead(rate: float, seconds: float = 0.005) -> int:
+    """Samples of the limiter's window."""
+    return max(1, round(rate * seconds))
 
 
-def limited(x: np.ndarray, rate: float, ceiling_db: float, look_ahead: float = 0.005) -> np.ndarray:
-    """No sample above the ceiling: the least gain needed in a window, averaged over a window, never exceeds the own need."""
-    size, ceiling = max(1, round(rate * look_ahead)), 10 ** (ceiling_db / 20)
-    need = np.concatenate([np.ones(size - 1), np.minimum(1.0, ceiling / np.maximum(np.abs(x), 1e-12)), np.ones(size - 1)])
+def limited_part(x: np.ndarray, begin: int, end: int, size: int, ceiling_db: float) -> np.ndarray:
+    """x[begin:end] with no sample above the ceiling: the least gain needed in a window, averaged over a window, never exceeds
+    the own need. x holds size - 1 more samples on both sides, or fewer where the signal begins or ends."""
+    ceiling = 10 ** (ceiling_db / 20)
+    need = np.minimum(1.0, ceiling / np.maximum(np.abs(x), 1e-12))
+    need = np.concatenate([np.ones(size - 1 - begin), need, np.ones(size - 1 - (len(x) - end))])
     width = 1
     while width < size:  # least of the next `size` samples, doubling the width
         by = min(width, size - width)
@@ -76,75 +187,119 @@ def limited(x: np.ndarray, rate: float, ceiling_db: float, look_ahead: float = 0
         width += by
     total = np.concatenate([[0.0], np.cumsum(need)])
     gain = (total[size:] - total[:-size]) / size
-    return np.clip(x * gain[: len(x)], -ceiling, ceiling)  # the clip only removes rounding
+    return np.clip(x[begin:end] * gain[: end - begin], -ceiling, ceiling)  # the clip only removes rounding
+
+
+def limited(x: np.ndarray, rate: float, ceiling_db: float, seconds: float = 0.005) -> np.ndarray:
+    return limited_part(x, 0, len(x), look_ahead(rate, seconds), ceiling_db)
+
+
+def impulse(rate: float, room_size: float, damping: float) -> np.ndarray:
+    """A room's response: noise that dies away by 60 dB in 0.2 to 2 seconds, more of it smoothed where damping is high, with an
+    energy of 1. The noise is a fixed function of the sample's number."""
+    n = max(2, int(rate * (0.2 + 1.8 * room_size)))
+    i = np.arange(n + 2)
+    noise = 2 * np.mod(np.sin(i * 12.9898) * 43758.5453, 1.0) - 1
+    h = 10 ** (-3 * np.arange(n) / n) * ((1 - damping) * noise[1:-1] + damping * (noise[:-2] + noise[1:-1] + noise[2:]) / 3)
+    return h / np.sqrt(h @ h)
+
+
+def response(rate: float, room_size: float, damping: float, wet: float) -> np.ndarray:
+    """The dry signal and `wet` of the room, as one impulse response."""
+    h = wet * impulse(rate, room_size, damping)
+    h[0] += 1.0
+    return h
 
 
 def reverberated(x: np.ndarray, rate: float, room_size: float, damping: float, wet: float) -> np.ndarray:
-    """The dry signal and `wet` of four damped combs in parallel and two all-passes in series."""
-    feedback, total = 0.7 + 0.28 * room_size, np.zeros(len(x))
-    for seconds in COMBS:
-        d = max(2, round(rate * seconds))
-        y = np.concatenate([np.zeros(d + 1), x])
-        for at in range(d + 1, len(y), d):
-            n = min(d, len(y) - at)
-            y[at : at + n] += feedback * ((1 - damping / 2) * y[at - d : at - d + n] + damping / 2 * y[at - d - 1 : at - d - 1 + n])
-        total += y[d + 1 :] * (1 - feedback) / len(COMBS)
-    for seconds in ALL_PASSES:
-        d = max(1, round(rate * seconds))
-        u, y = np.concatenate([np.zeros(d), total]), np.zeros(d + len(x))
-        for at in range(d, len(y), d):
-            n = min(d, len(y) - at)
-            y[at : at + n] = u[at - d : at - d + n] + 0.5 * (y[at - d : at - d + n] - u[at : at + n])
-        total = y[d:]
-    return x + wet * total
+    h = response(rate, room_size, damping, wet)
+    size = 1 << (len(x) + len(h)).bit_length()
+    return np.fft.irfft(np.fft.rfft(x, size) * np.fft.rfft(h, size), size)[: len(x)]
 
 
-def processed(x: np.ndarray, rate: float, settings: dict) -> np.ndarray:
-    """Equaliser, compressor, reverb and gain in this order; what the settings lack or hold as null is left out."""
+def _filters(settings: dict, rate: float) -> Filters | None:
+    designs = []
     if settings.get("low_cut_hz"):
-        x = biquad(x, *high_pass(settings["low_cut_hz"], rate))
+        designs.append(high_pass(settings["low_cut_hz"], rate))
     if settings.get("high_shelf_db"):
-        x = biquad(x, *high_shelf(settings.get("high_shelf_hz") or 8000.0, settings["high_shelf_db"], rate))
-    if settings.get("compressor") is not None:
-        x = compressed(x, rate, **{k: v for k, v in settings["compressor"].items() if v is not None})
+        designs.append(high_shelf(settings.get("high_shelf_hz") or 8000.0, settings["high_shelf_db"], rate))
+    return Filters.of(*designs) if designs else None
+
+
+def _compressor(settings: dict, rate: float) -> Compressor | None:
+    own = settings.get("compressor")
+    return None if own is None else Compressor(rate, **{k: v for k, v in own.items() if v is not None})
+
+
+def processed(x: np.ndarray, rate: float, settings: dict) -> np.ndarray:
+    """Equaliser, compressor, reverb and gain in this order; what the settings lack or hold as null is left out."""
+    for own in (_filters(settings, rate), _compressor(settings, rate)):
+        if own:
+            x = own.run(x, own.first())
     if settings.get("reverb") is not None:
         x = reverberated(x, rate, **settings["reverb"])
     return x * 10 ** ((settings.get("gain_db") or 0.0) / 20)
 
 
+#: level of the mix before mastering, the mastering compressor, and its ceiling
+MASTER_GAIN, MASTER, MASTER_CEILING = -3.0, {"threshold": -12.0, "ratio": 3.0, "attack": 20.0, "release": 200.0}, -2.0
+
+
 def mastered(x: np.ndarray, rate: float) -> np.ndarray:
     """3 dB down, a slow compressor, a limiter at -2 dB (loudness is fitted after it, from gated blocks)."""
-    return limited(compressed(x * 10 ** (-3 / 20), rate, -12.0, 3.0, 20.0, 200.0), rate, -2.0)
+    return limited(compressed(x * 10 ** (MASTER_GAIN / 20), rate, **MASTER), rate, MASTER_CEILING)
+
+
+def gained(blocks: DataFrame, gain_db: Column, values: tuple[str, ...] = SIDES) -> DataFrame:
+    """All samples times a gain in decibels, which may differ by row."""
+    rows = blocks.withColumn("_gain", F.pow(F.lit(10.0), gain_db / 20))
+    return rows.withColumns({v: F.transform(F.col(v).cast("array<double>"), lambda x: x * F.col("_gain")) for v in values}).drop("_gain")
 
 
-def _by_stem(samples: DataFrame, keys: list[str], order: list[str], value: str, work) -> DataFrame:
-    kinds = {f.name: f.dataType.simpleString() for f in samples.schema}
+def process_stems(blocks: DataFrame, keys: list[str], rate: float, block: int, settings: dict, by: str | None = None, values: tuple[str, ...] = SIDES) -> DataFrame:
+    """Every stem through its chain of settings, those of the value of `by` (one of the keys) or one chain for all. Blocks
+    keep their places; columns other than the keys, start and values are dropped."""
+    each = settings if by else {"": settings}
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        return rows.assign(**{value: work(rows[value].to_numpy(float))})
+    def chosen(make):
+        found = {name: own for name, s in each.items() if (own := make(s or {}, rate))}
+        return (found if by else found[""]) if found else None
 
-    return samples.select(*keys, *order, value).groupBy(*keys).applyInPandas(run, ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, *order]) + f", `{value}` double")
+    at = [*keys, "start"]
+    rows = kept(blocks.select(*keys, F.col("start").cast("long").alias("start"), *[F.col(v).cast("array<double>").alias(v) for v in values]))
+    for how in (chosen(_filters), chosen(_compressor)):
+        if how:
+            rows = kept(B.scanned(rows, keys, how, values, by))
+    rooms = {name: response(rate, **s["reverb"]) for name, s in each.items() if s and s.get("reverb") is not None}
+    if rooms:
+        wet = B.convolved(rows, keys, rooms if by else rooms[""], block, values, by)
+        rows = wet.unionByName(rows.filter(~F.coalesce(F.col(by).isin(*rooms), F.lit(False)))) if by else wet
+    levels = {name: s["gain_db"] for name, s in each.items() if s and s.get("gain_db")}
+    if levels:
+        rows = gained(rows, F.coalesce(*[F.when(F.col(by) == name, F.lit(float(db))) for name, db in levels.items()], F.lit(0.0)) if by else F.lit(float(levels[""])), values)
+    return rows.select(*at, *values)
 
 
-def process_stems(samples: DataFrame, keys: list[str], order: list[str], value: str, rate: float, settings: dict) -> DataFrame:
-    """Every stem through one chain of settings."""
-    return _by_stem(samples, keys, order, value, lambda x: processed(x, rate, settings))
+def limit(blocks: DataFrame, keys: list[str], rate: float, block: int, ceiling_db: float, values: tuple[str, ...] = SIDES) -> DataFrame:
+    """Every signal under the ceiling, each channel on its own. Blocks are read twice."""
+    size = look_ahead(rate)
+    return B.windowed(blocks, keys, size - 1, size - 1, block, values, lambda x, begin, end: limited_part(x, begin, end, size, ceiling_db))
 
 
-def master(samples: DataFrame, keys: list[str], order: list[str], value: str, rate: float) -> DataFrame:
+def master(blocks: DataFrame, keys: list[str], rate: float, block: int, values: tuple[str, ...] = SIDES) -> DataFrame:
     """Every scene's mix through the mastering dynamics."""
-    return _by_stem(samples, keys, order, value, lambda x: mastered(x, rate))
+    rows = kept(gained(blocks.select(*keys, F.col("start").cast("long").alias("start"), *values), F.lit(MASTER_GAIN), values))
+    return limit(kept(B.scanned(rows, keys, Compressor(rate, **MASTER), values)), keys, rate, block, MASTER_CEILING, values)
 
 
-def to_loudness(samples: DataFrame, key: str, order: list[str], value: str, rate: int, target: float = -27.0, ceiling: float = -2.0, spread: float = 1.0) -> DataFrame:
+def to_loudness(blocks: DataFrame, key: str, rate: int, block: int, target: float = -27.0, ceiling: float = -2.0, spread: float = 1.0, values: tuple[str, ...] = SIDES) -> DataFrame:
     """Every scene at the target loudness, moved by a draw within `spread`; those whose true peak would pass the ceiling are
     limited. Silent scenes keep their level."""
     from wavequill.operators.loudness import integrated_loudness
     from wavequill.operators.signals import loudness_fit
 
-    fit = loudness_fit(integrated_loudness(samples, key, order, value, int(rate), floor=float("-inf")), key, target, ceiling, spread)
-    gained = samples.join(fit.select(key, "gain_db", "limits"), key)
-    gained = gained.withColumn(value, F.col(value) * F.pow(F.lit(10.0), F.col("gain_db") / 20))
-    keys = [key, *order, value]
-    return gained.filter(~F.col("limits")).select(keys).unionByName(_by_stem(gained.filter("limits"), [key], order, value, lambda x: limited(x, rate, ceiling)).select(keys))
+    rows = kept(blocks.select(key, F.col("start").cast("long").alias("start"), *values))
+    fit = loudness_fit(integrated_loudness(rows, [key], rate, block, values, floor=float("-inf")), key, target, ceiling, spread)
+    moved = kept(gained(rows.join(fit.select(key, "gain_db", "limits"), key), F.col("gain_db"), values).drop("gain_db"))
+    at = [key, "start", *values]
+    return moved.filter(~F.col("limits")).select(at).unionByName(limit(moved.filter("limits"), [key], rate, block, ceiling, values).select(at))

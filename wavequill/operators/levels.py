@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavequill.functions.scalars import level_to_db, quantize16
+from wavequill.operators.envelopes import in_order, with_begins
 
 
 def levels(samples: DataFrame, keys: list[str], value: str = "x") -> DataFrame:
@@ -18,6 +23,28 @@ def levels(samples: DataFrame, keys: list[str], value: str = "x") -> DataFrame:
     return found.select(*keys, "n", level_to_db(F.col("rms")).alias("rms_db"), level_to_db(F.col("peak")).alias("peak_db"), (level_to_db(F.col("peak")) - level_to_db(F.col("rms"))).alias("crest_db"), "dc_offset", "has_bad", "is_loud")
 
 
+def block_levels(blocks: DataFrame, keys: list[str], values: tuple[str, ...] = ("left", "right")) -> DataFrame:
+    """What `levels` says, of signals in blocks: each block is summed up where it lies (all channels together; n counts the
+    samples of one), and only the sums are shuffled."""
+    named = ["n", "total", "squares", "peak", "has_bad", "is_loud"]
+    types = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i in range(batch.num_rows):
+                x = np.concatenate([batch.column(v)[i].values.to_numpy(zero_copy_only=False).astype(float) for v in values])
+                rows.append((len(x) // len(values), x.sum(), (x * x).sum(), np.abs(x).max(initial=0.0), not np.isfinite(x).all(), bool((x != 0).any())))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], names=[*keys, *named])
+
+    kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
+    parts = blocks.select(*keys, *values).mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n long, total double, squares double, peak double, has_bad boolean, is_loud boolean")
+    m = F.col("n") * len(values)
+    found = parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"), F.max("peak").alias("peak"), F.bool_or("has_bad").alias("has_bad"), F.bool_or("is_loud").alias("is_loud"))
+    rms, peak = level_to_db(F.sqrt(F.col("squares") / m)), level_to_db(F.col("peak"))
+    return found.select(*keys, "n", rms.alias("rms_db"), peak.alias("peak_db"), (peak - rms).alias("crest_db"), F.abs(F.col("total") / m).alias("dc_offset"), "has_bad", "is_loud")
+
+
 def exact_mix(stems: DataFrame, at: list[str], value: str = "q") -> DataFrame:
     """Sums of quantised stems (integers: the order of addition doesn't matter) and whether all fit 16 bits."""
     return stems.groupBy(*at).agg(F.sum(F.col(value).cast("long")).alias("mix")).withColumn("fits", F.abs("mix") <= 32767)
@@ -39,6 +66,16 @@ def additivity(stems: DataFrame, mixes: DataFrame, scene: list[str], at: list[st
     return found.withColumn("error", F.coalesce("error", F.lit(float("inf")))).withColumn("passes", F.col("error") < 1e-3)
 
 
+def block_additivity(sums: DataFrame, mixes: DataFrame, scene: list[str], values: tuple[str, ...] = ("left", "right")) -> DataFrame:
+    """What `additivity` says, of signals in blocks: sums (of the stems) and mixes, at the same starts."""
+    theirs = mixes.select(*scene, "start", *[F.col(v).alias(f"_{v}") for v in values])
+    both = sums.join(theirs, [*scene, "start"], "left")
+    squares = sum(F.aggregate(F.zip_with(v, f"_{v}", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x) for v in values)
+    found = both.select(*scene, squares.alias("_e"), (F.size(values[0]) * len(values)).alias("_n")).groupBy(*scene).agg(F.sum("_e").alias("_e"), F.sum(F.when(F.col("_e").isNotNull(), F.col("_n"))).alias("_n"))
+    error = F.coalesce(F.sqrt(F.col("_e") / F.col("_n")), F.lit(float("inf")))
+    return found.select(*scene, error.alias("error"), (error < 1e-3).alias("passes"))
+
+
 def linear_render(stems: DataFrame, scene: list[str], at: list[str]) -> DataFrame:
     """scene, at, mix, fits: the exact sum of all stems, quantised under the scene's shared gain."""
     gained = stems.join(shared_gain(stems, scene, at).select(*scene, "gain"), scene)
@@ -54,12 +91,28 @@ def stem_analysis(found: DataFrame, measured: DataFrame, keys: list[str], rate:
     return rows.select(*keys, F.round(F.col("n") / rate, 2).alias("duration_sec"), one("lufs").alias("loudness_lufs"), one(F.coalesce("lra", F.lit(0.0))).alias("loudness_range_lu"), one("true_peak_db").alias("true_peak_dbtp"), one("rms_db").alias("rms_db"), one(F.col("true_peak_db") - F.col("rms_db")).alias("crest_factor_db"))
 
 
+def order_statistics(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float], width: float = 0.1) -> DataFrame:
+    """keys, n and, for each name, the value at the place floor(n * share) of the values in order (the last one at most), exactly and
+    without gathering: values are counted by buckets of `width`, and only the buckets that hold a place are looked into.
+    Nulls don't count."""
+    each = rows.filter(F.col(value).isNotNull()).withColumn("_b", F.floor(F.col(value) / width))
+    counts = each.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    ordered, whole = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    spread = counts.withColumn("_before", F.coalesce(F.sum("_c").over(ordered), F.lit(0))).withColumn("n", F.sum("_c").over(whole))  # as many rows as there are buckets
+    places = F.array(*[F.struct(F.lit(name).alias("name"), F.least(F.floor(F.col("n") * F.lit(share)), F.col("n") - 1).alias("place")) for name, share in shares.items()])
+    asked = spread.select(*keys, "_b", "_c", "_before", "n", F.explode(places).alias("p")).filter("p.place >= _before AND p.place < _before + _c")
+    asked = asked.select(*keys, "_b", "n", F.col("p.name").alias("_name"), (F.col("p.place") - F.col("_before")).alias("_rank"))
+    inside = each.join(asked.select(*keys, "_b").distinct(), [*keys, "_b"], "left_semi").groupBy(*keys, "_b", F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
+    found = ranked.join(asked, [*keys, "_b"]).filter("_rank >= _before AND _rank < _before + _c")
+    return found.groupBy(*keys).agg(F.first("n").alias("n"), *[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in shares])
+
+
 def loudness_range(blocks: DataFrame, keys: list[str], level: str = "db") -> DataFrame:
     """The span from the 10 % to the 95 % place (by index, not interpolated) of the block levels above -70; needs two."""
-    found = blocks.filter(F.col(level) > -70).groupBy(*keys).agg(F.sort_array(F.collect_list(level)).alias("v"))  # one number a second of scene
-    n = F.size("v")
-    place = lambda share: F.element_at("v", (F.floor(n * share) + 1).cast("int"))
-    return found.select(*keys, F.when(n >= 2, place(0.95) - place(0.10)).otherwise(F.lit(0.0)).alias("lra"))
+    found = order_statistics(blocks.filter(F.col(level) > -70), keys, level, {"low": 0.10, "high": 0.95})
+    return found.select(*keys, F.when(F.col("n") >= 2, F.col("high") - F.col("low")).otherwise(F.lit(0.0)).alias("lra"))
 
 
 def duration_spread(files: DataFrame, scene: list[str], n: str = "n", most: int = 10) -> DataFrame:
@@ -67,14 +120,55 @@ def duration_spread(files: DataFrame, scene: list[str], n: str = "n", most: int
     return found.withColumn("matches", (F.col("files") >= 2) & (F.col("spread") <= most))
 
 
-def longest_quiet(samples: DataFrame, keys: list[str], order: list[str], value: str = "x", floor: float = 1e-8) -> DataFrame:
-    """The longest run of samples below `floor`, by gaps and islands."""
-    quiet = F.abs(F.col(value)) < floor
-    w = Window.partitionBy(*keys).orderBy(*order)
-    per = Window.partitionBy(*keys, "quiet").orderBy(*order)
-    runs = samples.withColumn("quiet", quiet).withColumn("run", F.row_number().over(w) - F.row_number().over(per))
-    sizes = runs.groupBy(*keys, "quiet", "run").count()
-    return sizes.groupBy(*keys).agg(F.max(F.when(F.col("quiet"), F.col("count")).otherwise(0)).alias("longest"))
+def quiet_runs(blocks: DataFrame, keys: list[str], values: tuple[str, ...], floor: float = 1e-8) -> DataFrame:
+    """keys, start and, of each block, n and the leading, trailing and longest run of samples that are below `floor` on all
+    channels: what runs across blocks can be put together from."""
+    at = [*keys, "start"]
+    named = ["n", "lead", "trail", "best"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i in range(batch.num_rows):
+                loud = np.any([np.abs(batch.column(v)[i].values.to_numpy(zero_copy_only=False).astype(float)) >= floor for v in values], axis=0)
+                places = np.flatnonzero(loud)
+                gaps = np.diff([-1, *places, len(loud)]) - 1
+                rows.append((len(loud), int(gaps[0]), int(gaps[-1]), int(gaps.max())))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in at), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4))], names=[*at, *named])
+
+    kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
+    return blocks.select(*at, *values).mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in at) + "".join(f", {n} long" for n in named))
+
+
+def longest_run(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, longest: two neighbours (n, lead, trail, best) make one, and making is associative; a row a block is shuffled."""
+    kinds = {f.name: f.dataType.simpleString() for f in runs.schema}
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = trail = 0
+        held = None  # the key, as a batch of one row
+        for batch, begins in with_begins(batches, keys):
+            parts = []
+            for i, fresh in enumerate(begins):
+                n, lead, last, own = (batch.column(c)[i].as_py() for c in ("n", "lead", "trail", "best"))
+                if fresh:
+                    if held is not None:
+                        parts.append((held, best))
+                    held, best, trail = batch.slice(i, 1).select(keys), 0, 0
+                best = max(best, own, trail + lead)
+                trail = trail + n if last == n else last
+            for key, longest in parts:
+                yield pa.RecordBatch.from_arrays([*key.columns, pa.array([longest], pa.int64())], names=[*keys, "longest"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([*held.columns, pa.array([best], pa.int64())], names=[*keys, "longest"])
+
+    slim = runs.select(*keys, "start", "n", "lead", "trail", "best")
+    return in_order(slim, keys, ["start"]).mapInArrow(merge, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", longest long")
+
+
+def longest_quiet(blocks: DataFrame, keys: list[str], values: tuple[str, ...] = ("left", "right"), floor: float = 1e-8) -> DataFrame:
+    """The longest run of samples below `floor` on all channels. Blocks may have any lengths; `start` orders them."""
+    return longest_run(quiet_runs(blocks, keys, values, floor), keys)
 
 
 def validation(stems: DataFrame, scene: list[str], lufs: tuple[float, float] = (-35.0, -10.0), most_peak: float = 0.0, most_dc: float = 0.01) -> DataFrame:

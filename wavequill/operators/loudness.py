@@ -1,54 +1,99 @@
-"""Loudness of scenes after ITU-R BS.1770-4: K-weighted block powers and true peaks by scene, gating by aggregates.
+"""Loudness of scenes after ITU-R BS.1770-4 and EBU Tech 3342, over signals in blocks: K-weighting as a recurrence over blocks,
+sums of squares by hop, overlapping windows of hops, gates and ranges by aggregates.
 
-One scene (minutes of sound) is one group; its recurrences run in numpy. Everything after its blocks is plain Spark.
-Silence and scenes shorter than a block have `floor` as their loudness. Samples must not be null.
+No task holds a scene: after the K-weighting there is one number a hop (0.1 s). Silence and scenes shorter than a window
+have `floor` as their loudness. Channels count alike. Samples must not be null.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavequill.operators.chains import biquad, high_pass, high_shelf
+from wavequill.operators import blocks as B
+from wavequill.operators.chains import SIDES, Filters, high_pass, high_shelf
 
 #: offset of the loudness scale, absolute gate and relative gate (fixed values of the recommendation)
 OFFSET, ABSOLUTE, RELATIVE = -0.691, -70.0, -10.0
 
 
-def k_weighted(x: np.ndarray, rate: float) -> np.ndarray:
+def weighting(rate: float) -> Filters:
     """The recommendation's two filters, designed for any rate above 3 kHz."""
-    shelved = biquad(x, *high_shelf(1500.0, 4.0, rate, 0.5**0.5))
-    return biquad(shelved, *high_pass(38.0, rate, 0.5))
+    return Filters.of(high_shelf(1500.0, 4.0, rate, 0.5**0.5), high_pass(38.0, rate, 0.5))
 
 
-def oversampled_peak(x: np.ndarray, times: int = 4, half: int = 12) -> float:
-    """The largest magnitude of the samples and of `times` - 1 points between them, by a windowed sinc."""
-    peak = float(np.abs(x).max(initial=0.0))
+def k_weighted(x: np.ndarray, rate: float) -> np.ndarray:
+    own = weighting(rate)
+    return own.run(x, own.first())
+
+
+def hop_powers(blocks: DataFrame, keys: list[str], rate: float, step: int, values: tuple[str, ...] = SIDES) -> DataFrame:
+    """keys, hop, power (the sum of squares after weighting, of all channels) and n, for every `step` samples. Blocks are read
+    twice: let them be a table."""
+    at, own = [*keys, "start"], weighting(rate)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, hops, powers, counts = [], [], [], []
+            for i in range(batch.num_rows):
+                y = sum(own.run(B.samples(batch, v, i), np.array(batch.column("state")[i][k].as_py())) ** 2 for k, v in enumerate(values))
+                if not len(y):
+                    continue
+                start = batch.column("start")[i].as_py()
+                numbers = np.arange(start // step, (start + len(y) - 1) // step + 1)
+                cuts = np.maximum(numbers * step - start, 0)
+                rows += [i] * len(numbers)
+                hops += numbers.tolist()
+                powers += np.add.reduceat(y, cuts).tolist()
+                counts += np.diff([*cuts, len(y)]).tolist()
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in keys), pa.array(hops, pa.int64()), pa.array(powers, pa.float64()), pa.array(counts, pa.int64())], names=[*keys, "hop", "power", "n"])
+
+    states = B.with_states(blocks.select(*at, *values), keys, own, values)
+    parts = states.mapInArrow(work, (B.kinds(blocks, keys) + ", " if keys else "") + "hop long, power double, n long")
+    return parts.groupBy(*keys, "hop").agg(F.sum("power").alias("power"), F.sum("n").alias("n"))
+
+
+def window_powers(hops: DataFrame, keys: list[str], step: int, span: int, every: int = 1) -> DataFrame:
+    """keys, block, z: the mean power of every whole window of `span` hops, one beginning at every `every`-th hop."""
+    first = F.greatest(F.ceil((F.col("hop") - span + 1) / every), F.lit(0)).cast("long")
+    last = F.floor(F.col("hop") / every).cast("long")
+    each = hops.filter(first <= last).select(*keys, "power", "n", F.explode(F.sequence(first, last)).alias("block"))
+    found = each.groupBy(*keys, "block").agg(F.sum("power").alias("power"), F.sum("n").alias("n"))
+    return found.filter(F.col("n") == step * span).select(*keys, "block", (F.col("power") / F.col("n")).alias("z"))
+
+
+def level(z: Column) -> Column:
+    """The loudness of a mean power; null for silence."""
+    return F.when(z > 0, OFFSET + 10 * F.log10(z))
+
+
+def peak_between(x: np.ndarray, begin: int, end: int, times: int = 4, half: int = 12) -> float:
+    """The largest magnitude of x[begin:end] and of `times` - 1 points after each, by a windowed sinc. x holds `half` more samples on
+    both sides, or fewer where the signal begins or ends."""
+    peak = float(np.abs(x[begin:end]).max(initial=0.0))
+    if end == begin:
+        return peak
+    padded = np.concatenate([np.zeros(half - begin), x, np.zeros(half - (len(x) - end))])
     k = np.arange(-half, half + 1)
     for i in range(1, times):
         at = k - i / times
-        peak = max(peak, float(np.abs(np.convolve(x, np.sinc(at) * np.cos(np.pi * at / (2 * half + 2)) ** 2, "same")).max(initial=0.0)))
+        peak = max(peak, float(np.abs(np.convolve(padded, np.sinc(at) * np.cos(np.pi * at / (2 * half + 2)) ** 2, "valid")).max()))
     return peak
 
 
-def block_powers(samples: DataFrame, key: str, order: list[str], value: str, rate: int, seconds: float = 0.4, overlap: float = 0.75) -> DataFrame:
-    """key, block, z (mean square after weighting) and true_peak (of the scene) for every whole block; a scene shorter
-    than a block has one row with a null z."""
-    size = round(rate * seconds)
-    step = max(1, round(size * (1 - overlap)))
+def oversampled_peak(x: np.ndarray, times: int = 4, half: int = 12) -> float:
+    return peak_between(x, 0, len(x), times, half)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows.sort_values(order)[value].to_numpy(float)
-        power = np.concatenate([[0.0], np.cumsum(k_weighted(x, rate) ** 2)])
-        begin = np.arange(0, len(x) - size + 1, step)
-        z = (power[begin + size] - power[begin]) / size if len(begin) else np.array([np.nan])
-        return pd.DataFrame({key: [rows[key].iloc[0]] * len(z), "block": np.arange(len(z)), "z": z, "true_peak": oversampled_peak(x)})
 
-    kind = samples.select(key).schema[0].dataType.simpleString()
-    found = samples.select(key, *order, value).groupBy(key).applyInPandas(run, f"{key} {kind}, block long, z double, true_peak double")
-    return found.withColumn("z", F.nanvl("z", F.lit(None).cast("double")))
+def true_peaks(blocks: DataFrame, keys: list[str], block: int, values: tuple[str, ...] = SIDES, half: int = 12) -> DataFrame:
+    """keys, true_peak: of every scene's channels. Blocks are read twice."""
+    peaks = B.windowed(blocks, keys, half, half, block, values, lambda x, begin, end: np.array([peak_between(x, begin, end)]))
+    return peaks.groupBy(*keys).agg(F.max(F.greatest(*[F.element_at(v, 1) for v in values], F.lit(0.0))).alias("true_peak"))
 
 
 def gated_loudness(blocks: DataFrame, keys: list[str], z: str = "z", floor: float = -70.0) -> DataFrame:
@@ -60,8 +105,15 @@ def gated_loudness(blocks: DataFrame, keys: list[str], z: str = "z", floor: floa
     return found.select(*keys, F.coalesce(OFFSET + 10 * F.log10("power"), F.lit(floor)).alias("lufs"))
 
 
-def integrated_loudness(samples: DataFrame, key: str, order: list[str], value: str, rate: int, floor: float = -70.0) -> DataFrame:
-    """lufs and true_peak_db of every scene."""
-    blocks = block_powers(samples, key, order, value, rate)
-    peak = blocks.groupBy(key).agg(F.max("true_peak").alias("peak")).select(key, F.when(F.col("peak") < 1e-10, -100.0).otherwise(20 * F.log10("peak")).alias("true_peak_db"))
-    return gated_loudness(blocks, [key], floor=floor).join(peak, key)
+def integrated_loudness(blocks: DataFrame, keys: list[str], rate: int, block: int, values: tuple[str, ...] = SIDES, seconds: float = 0.4, floor: float = -70.0) -> DataFrame:
+    """lufs and true_peak_db of every scene, from windows of `seconds` with three quarters of overlap."""
+    step = max(1, round(rate * seconds / 4))
+    windows = window_powers(hop_powers(blocks, keys, rate, step, values), keys, step, 4)
+    peak = true_peaks(blocks, keys, block, values).select(*keys, F.when(F.col("true_peak") < 1e-10, -100.0).otherwise(20 * F.log10("true_peak")).alias("true_peak_db"))
+    return peak.join(gated_loudness(windows, keys, floor=floor), keys, "left").select(*keys, F.coalesce("lufs", F.lit(floor)).alias("lufs"), "true_peak_db")
+
+
+def short_term(blocks: DataFrame, keys: list[str], rate: int, values: tuple[str, ...] = SIDES, seconds: float = 3.0, hop: float = 1.0) -> DataFrame:
+    """keys, block, db: the loudness of every whole window of `seconds`, one beginning every `hop`."""
+    step = max(1, round(rate * hop))
+    return window_powers(hop_powers(blocks, keys, rate, step, values), keys, step, round(seconds / hop)).select(*keys, "block", level(F.col("z")).alias("db")).filter("db IS NOT NULL")

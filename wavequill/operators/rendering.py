@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,46 +32,28 @@ class Rendered:
     mix: DataFrame
 
 
-def _whole(blocks: DataFrame, keys: list[str], work) -> DataFrame:
-    """`work` on both channels of every signal, which one task holds while it works; blocks keep their starts."""
-    kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("start")
-        ends = np.cumsum([len(x) for x in rows["left"]])
-        sides = {s: np.split(work(np.concatenate([np.asarray(x, float) for x in rows[s]]), rows), ends[:-1]) for s in signals.SIDES}
-        return pd.DataFrame({**{k: rows[k] for k in [*keys, "start"]}, **sides})
-
-    extra = [c for c in blocks.columns if c not in (*keys, "start", *signals.SIDES)]
-    named = ", ".join(f"`{k}` {kinds[k]}" for k in [*keys, "start"]) + ", left array<double>, right array<double>"
-    return blocks.select(*keys, "start", *signals.SIDES, *extra).groupBy(*keys).applyInPandas(run, named)
-
-
-def processed_stems(stems: DataFrame, settings: dict[str, dict], rate: int, gains: DataFrame | None = None) -> DataFrame:
+def processed_stems(stems: DataFrame, settings: dict[str, dict], rate: int, block: int, gains: DataFrame | None = None) -> DataFrame:
     """Every stem through its chain of settings; `gains` (scene_id, stem, gain_db) are added to the chain's gain."""
-    rows = stems if gains is None else stems.join(gains.select(*KEYS, "stem", F.coalesce("gain_db", F.lit(0.0)).alias("gain_db")), [*KEYS, "stem"], "left")
+    keys = [*KEYS, "stem"]
+    found = chains.process_stems(stems, keys, rate, block, settings, "stem")
+    if gains is None:
+        return found
+    more = gains.select(*keys, F.coalesce("gain_db", F.lit(0.0)).alias("gain_db"))
+    return chains.gained(found.join(more, keys, "left"), F.coalesce("gain_db", F.lit(0.0))).drop("gain_db")
 
-    def work(x: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
-        own = dict(settings.get(rows["stem"].iloc[0]) or {})
-        more = float(rows["gain_db"].iloc[0]) if "gain_db" in rows and not pd.isna(rows["gain_db"].iloc[0]) else 0.0
-        return chains.processed(x, rate, own | {"gain_db": (own.get("gain_db") or 0.0) + more})
 
-    return _whole(rows, [*KEYS, "stem"], work)
-
-
-def event_effects(events: DataFrame, settings: dict[str, dict], rate: int) -> DataFrame:
+def event_effects(events: DataFrame, settings: dict[str, dict], rate: int, block: int) -> DataFrame:
     """Every event under its own gain and reverb, by the key sfx_<idx>; events without settings stay as they are."""
     rooms = {name: (size, damping, wet) for name, size, damping, wet in REVERBS}
 
-    def work(x: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
-        own = settings.get(f"sfx_{rows['idx'].iloc[0]}") or {}
-        x = x * 10 ** ((own.get("gain_db") or 0.0) / 20)
-        if reverb := own.get("reverb"):
-            size, damping, wet = rooms.get(reverb.get("type", "medium_room"), rooms["medium_room"])
-            x = chains.reverberated(x, rate, size, damping, reverb.get("wet_amount", wet))
-        return x
+    def chain(own: dict) -> dict:
+        reverb = own.get("reverb")
+        if not reverb:
+            return {"gain_db": own.get("gain_db")}
+        size, damping, wet = rooms.get(reverb.get("type", "medium_room"), rooms["medium_room"])
+        return {"gain_db": own.get("gain_db"), "reverb": {"room_size": size, "damping": damping, "wet": reverb.get("wet_amount", wet)}}
 
-    return _whole(events, [*KEYS, "idx"], work)
+    return chains.process_stems(events, [*KEYS, "idx"], rate, block, {int(k.removeprefix("sfx_")): chain(v) for k, v in settings.items() if v}, "idx")
 
 
 def under_speech(events: DataFrame, speech: DataFrame, rate: int, block: int, **settings: float) -> DataFrame:
@@ -101,11 +81,6 @@ def _full(scenes: DataFrame, stems: DataFrame, block: int) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def mastered(mix: DataFrame, rate: int) -> DataFrame:
-    """The mix through the mastering dynamics."""
-    return _whole(mix, KEYS, lambda x, rows: chains.mastered(x, rate))
-
-
 def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: dict[str, dict], event_settings: dict[str, dict], rate: int, block: int, gains: DataFrame | None = None, ducks: DataFrame | None = None) -> tuple[dict[str, Rendered], DataFrame]:
     """The versions `rough`, `linear` and `release`, and the failures (scene_id, error).
 
@@ -115,19 +90,19 @@ def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: d
     scenes = signals.lengths(stems.filter("stem = 'speech'"), KEYS)
     failures = stems.select(*KEYS).distinct().join(scenes, KEYS, "left_anti").withColumn("error", F.lit("no speech stem"))
     found = {}
-    effects = event_effects(events, event_settings, rate)
+    effects = event_effects(events, event_settings, rate, block)
     for name, settings, sounds in (("rough", rough, events), ("release", final, effects)):
-        own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), settings, rate, gains), block)
-        sfx = processed_stems(sfx_stem(scenes, sounds, block), settings, rate, gains)
+        own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), settings, rate, block, gains), block)
+        sfx = processed_stems(sfx_stem(scenes, sounds, block), settings, rate, block, gains)
         whole = own.unionByName(sfx)
-        found[name] = Rendered(whole, mastered(signals.mix_bus(whole, KEYS, rate, ducks), rate))
-    own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), final, rate, gains), block)
+        found[name] = Rendered(whole, chains.master(signals.mix_bus(whole, KEYS, rate, ducks), KEYS, rate, block))
+    own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), final, rate, block, gains), block)
     speech = own.filter("stem = 'speech'").drop("stem")
     on = (lambda stem: scenes.select(*KEYS)) if ducks is None else (lambda stem: ducks.filter(F.coalesce(F.col(f"duck_{stem}"), F.lit(True))).select(*KEYS))
     music = own.filter("stem = 'music'").drop("stem")
     music = signals.ducked(music.join(on("music"), KEYS, "left_semi"), speech, KEYS, rate, **signals.BUS["music"]).unionByName(music.join(on("music"), KEYS, "left_anti").select(*KEYS, "start", *signals.SIDES))
     under = under_speech(effects.join(on("sfx"), KEYS, "left_semi"), speech, rate, block, **signals.BUS["sfx"]).unionByName(effects.join(on("sfx"), KEYS, "left_anti").select(*KEYS, "idx", "start", *signals.SIDES))
-    sfx = processed_stems(sfx_stem(scenes, under, block), final, rate, gains)
+    sfx = processed_stems(sfx_stem(scenes, under, block), final, rate, block, gains)
     whole = own.filter("stem <> 'music'").unionByName(music.withColumn("stem", F.lit("music"))).unionByName(sfx)
     found["linear"] = linear_version(whole)
     return found, failures
@@ -164,4 +139,4 @@ def plain_mix(stems: DataFrame, events: DataFrame, rate: int, block: int, gains:
     whole = parts[0].select(*KEYS, "start", *signals.SIDES)
     for p in parts[1:]:
         whole = whole.unionByName(p.select(*KEYS, "start", *signals.SIDES))
-    return mastered(signals.placed(whole, KEYS, block), rate)
+    return chains.master(signals.placed(whole, KEYS, block), KEYS, rate, block)

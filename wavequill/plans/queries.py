@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wavequill.functions import scalars as S
-from wavequill.operators import chains, dimensions, envelopes, levels, lookups, loudness, timeline
+from wavequill.operators import blocks, chains, dimensions, envelopes, levels, lookups, loudness, timeline
+from wavequill.storage import kept
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -177,8 +178,6 @@ def a21_source_statistics(t):
 
 @query("""SELECT event_type, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS percent FROM events GROUP BY event_type""")
 def a22_percentages(t):
-    from pyspark.sql import Window
-
     counted = t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))  # a row per type
     return counted.withColumn("percent", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 4))
 
@@ -188,7 +187,9 @@ def a22_percentages(t):
  SELECT o.user_id, o.k, CASE WHEN x > 0.5 THEN 0.9 * g + 0.1 * 0.25 ELSE 0.99 * g + 0.01 END, least(low, CASE WHEN x > 0.5 THEN 0.9 * g + 0.1 * 0.25 ELSE 0.99 * g + 0.01 END) FROM g JOIN o ON o.user_id = g.user_id AND o.k = g.k + 1)
  SELECT user_id, round(arg_max(g, k), 6) AS last_gain, round(min(low), 6) AS least_gain FROM g GROUP BY user_id""")
 def w1_sidechain(t):
-    found = envelopes.sidechain(_events(t), ["user_id"], ["s", "event_id"], "x", 0.5, 0.25, 0.9, 0.99)
+    days = _events(t).groupBy("user_id", F.floor(F.col("s") / 86400).alias("start")).agg(F.array_sort(F.collect_list(F.struct("s", "event_id", "x"))).alias("v"))
+    gains = blocks.scanned(kept(days.select("user_id", "start", F.col("v.x").alias("x"))), ["user_id"], chains.Sidechain(0.5, 0.25, 0.9, 0.99), ("x",))
+    found = gains.groupBy("user_id").agg(F.max_by(F.element_at("x", -1), "start").alias("last_gain"), F.least(F.lit(1.0), F.min(F.array_min("x"))).alias("least_gain"))
     return found.select("user_id", F.round("last_gain", 6).alias("last_gain"), F.round("least_gain", 6).alias("least_gain"))
 
 
@@ -211,7 +212,8 @@ def w3_keyframes_to_the_end(t):
 @query(f"""WITH {_E}, o AS (SELECT user_id, x < 0.4 AS quiet, row_number() OVER (PARTITION BY user_id ORDER BY s, event_id) - row_number() OVER (PARTITION BY user_id, x < 0.4 ORDER BY s, event_id) AS run FROM e),
  c AS (SELECT user_id, quiet, run, count(*) AS n FROM o GROUP BY ALL) SELECT user_id, max(CASE WHEN quiet THEN n ELSE 0 END) AS longest FROM c GROUP BY user_id""")
 def w4_longest_quiet(t):
-    return levels.longest_quiet(_events(t), ["user_id"], ["s", "event_id"], "x", 0.4)
+    days = _events(t).groupBy("user_id", F.floor(F.col("s") / 86400).alias("start")).agg(F.array_sort(F.collect_list(F.struct("s", "event_id", "x"))).alias("v"))
+    return levels.longest_quiet(days.select("user_id", "start", F.col("v.x").alias("left")), ["user_id"], ("left",), 0.4)
 
 
 @query("""SELECT o_orderkey, unnest(range(0, CAST(floor(o_totalprice) AS BIGINT) - 20000 + 1, 10000)) AS "offset" FROM orders WHERE floor(o_totalprice) >= 20000""")
@@ -257,16 +259,6 @@ def u_set_operations(t):
     return parts.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
 
 
-#: samples a second of the made-up tones below, and how many each event gives
-TONE_RATE, TONE_SAMPLES = 4000, 32
-
-
-def _tones(t) -> DataFrame:
-    """A scene per user: every event sounds for a while, as loud as its value."""
-    e = _events(t).select("user_id", "s", "event_id", "x", F.explode(F.sequence(F.lit(0), F.lit(TONE_SAMPLES - 1))).alias("i"))
-    return e.withColumn("x", F.col("x") * F.sin(F.col("i") * 0.7))
-
-
 @query(f"""WITH {_E}, b AS (SELECT user_id, s // 43200 AS block, avg(x * x) * CASE WHEN s // 43200 % 3 = 0 THEN 1e-3 ELSE 1 END AS z FROM e GROUP BY user_id, s // 43200),
  l AS (SELECT user_id, z, -0.691 + 10 * log10(z) AS l FROM b), m AS (SELECT user_id, -0.691 + 10 * log10(avg(z)) - 10 AS gate FROM l WHERE l >= -70 GROUP BY user_id),
  k AS (SELECT user_id, -0.691 + 10 * log10(avg(z)) AS lufs FROM l JOIN m USING (user_id) WHERE l >= -70 AND l > gate GROUP BY user_id)
@@ -278,22 +270,6 @@ def a10_loudness_gate(t):
     return loudness.gated_loudness(blocks, ["user_id"]).withColumn("lufs", F.round("lufs", 5))
 
 
-@query(None)
-def a6_loudness_and_true_peak(t):
-    return loudness.integrated_loudness(_tones(t), "user_id", ["s", "event_id", "i"], "x", TONE_RATE)
-
-
-@query(None)
-def f1_stem_chain(t):
-    settings = {"low_cut_hz": 80.0, "high_shelf_db": -3.0, "high_shelf_hz": 1200.0, "compressor": {"threshold": -20.0, "ratio": 2.0}, "reverb": {"room_size": 0.4, "damping": 0.5, "wet": 0.1}, "gain_db": -2.0}
-    return levels.levels(chains.process_stems(_tones(t), ["user_id"], ["s", "event_id", "i"], "x", TONE_RATE, settings), ["user_id"])
-
-
-@query(None)
-def f6_mastering(t):
-    return levels.levels(chains.master(_tones(t), ["user_id"], ["s", "event_id", "i"], "x", TONE_RATE), ["user_id"])
-
-
 _REVERBS = ", ".join(f"('{n}', {r}::DOUBLE, {d}::DOUBLE, {w}::DOUBLE)" for n, r, d, w in dimensions.REVERBS)
 _CLASSES = ", ".join(f"('{n}', {i})" for i, n in enumerate(dimensions.REVERB_CLASSES))
 _MUSIC = ", ".join(f"('{n}', {i})" for i, n in enumerate(dimensions.MUSIC_CLASSES, 1))

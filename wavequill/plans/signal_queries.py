@@ -6,8 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wavequill.functions import scalars as S
-from wavequill.operators import chains, levels, loudness, signals
-from wavequill.plans.queries import _E, _HASH, TONE_RATE, _events, _tones, query
+from wavequill.operators import levels, signals
+from wavequill.plans.queries import _E, _HASH, _events, query
 
 #: samples of a block of the signals below
 BLOCK = 16
@@ -146,16 +146,3 @@ def w13_clip_gain(t):
 def f10_linear_render(t):
     c = _events(t).groupBy("user_id", F.col("event_type").alias("stem"), F.floor(F.col("s") / 86400).alias("pos")).agg(F.sum("x").alias("x"))
     return levels.linear_render(c, ["user_id"], ["pos"])
-
-
-@query(None)
-def a12_stem_analysis(t):
-    tones = _tones(t)
-    measured = loudness.integrated_loudness(tones, "user_id", ["s", "event_id", "i"], "x", TONE_RATE)
-    return levels.stem_analysis(levels.levels(tones, ["user_id"]), measured, ["user_id"], TONE_RATE)
-
-
-@query(None)
-def f6_mastering_to_loudness(t):
-    mastered = chains.master(_tones(t), ["user_id"], ["s", "event_id", "i"], "x", TONE_RATE)
-    return chains.to_loudness(mastered, "user_id", ["s", "event_id", "i"], "x", TONE_RATE).groupBy("user_id").agg(F.max(F.abs("x")).alias("peak"), F.count(F.lit(1)).alias("n"))
