@@ -27,8 +27,8 @@ def _blocks(rows, left="x", right=None, keys=("user_id",)):
     return each.select(*keys, F.col("start").cast("long").alias("start"), F.transform("v", lambda z: z["l"]).alias("left"), F.transform("v", lambda z: z["r"]).alias("right"))
 
 
-def _long(blocks, keys=("user_id",), value="left"):
-    return blocks.select(*keys, "start", F.posexplode(value).alias("i", "v")).select(*keys, (F.col("start") + F.col("i")).alias("pos"), F.round("v", 6).alias("x"))
+def _long(blocks, keys=("user_id",), value="left", digits=6):
+    return blocks.select(*keys, "start", F.posexplode(value).alias("i", "v")).select(*keys, (F.col("start") + F.col("i")).alias("pos"), F.round("v", digits).alias("x"))
 
 
 @query(f"WITH {_P}, w AS (SELECT user_id, unnest(range(0, 60 + user_id % 20)) AS pos FROM (SELECT user_id FROM n UNION SELECT -1)) SELECT user_id, pos, round(coalesce(x, 0), 6) AS x FROM w LEFT JOIN p USING (user_id, pos)")

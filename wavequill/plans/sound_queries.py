@@ -127,9 +127,10 @@ def f3_compressor(t):
     return _long(chains.process_stems(_mono(t), ["user_id"], RATE, BLOCK, {"compressor": {"threshold": -20.0, "ratio": 2.0}}, values=ONE))
 
 
-@query(f"WITH {_CONTROL}, {_room('c', 'p', 0.01, 0.4, 0.25)} {_LONG} c")
+@query(f"WITH {_CONTROL}, {_room('c', 'p', 0.01, 0.4, 0.25)} {_LONG.replace(', 6', ', 8')} c")
 def f4_reverb(t):
-    return _long(chains.process_stems(_mono(t), ["user_id"], RATE, BLOCK, {"reverb": {"room_size": 0.01, "damping": 0.4, "wet": 0.25}}, values=ONE))
+    found = chains.process_stems(_mono(t), ["user_id"], RATE, BLOCK, {"reverb": {"room_size": 0.01, "damping": 0.4, "wet": 0.25}}, values=ONE)
+    return _long(found, digits=8)
 
 
 @query(f"WITH {_CONTROL}, {_limited('c', 'p', -12.0)} {_LONG} c")

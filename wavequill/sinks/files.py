@@ -1,69 +1,26 @@
-"""Writers of sound files, scene documents and indices. Each task writes its own files, in a folder that all machines share.
-
-A file appears under its name only when it is whole, so a task that is repeated after a lost executor replaces it.
-"""
+"""Writers of sound files, scene documents and indices. What a job writes is seen all at once or, if it fails, not at all."""
 
 from __future__ import annotations
 
-import io
-import os
-import uuid
-import wave
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _put(path: str, content: bytes) -> None:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    part = f"{path}.{uuid.uuid4().hex}"
-    with open(part, "wb") as f:
-        f.write(content)
-    os.replace(part, path)
-
-
-def wave_bytes(left: np.ndarray, right: np.ndarray, rate: int) -> bytes:
-    """A 16-bit stereo file of samples in [-1, 1], rounded half to even and clipped."""
-    x = np.clip(np.rint(np.stack([left, right], 1) * 32768), -32768, 32767).astype("<i2")
-    out = io.BytesIO()
-    with wave.open(out, "wb") as w:
-        w.setnchannels(2)
-        w.setsampwidth(2)
-        w.setframerate(rate)
-        w.writeframes(x.tobytes())
-    return out.getvalue()
+from wavequill.sinks.committed import save_files, save_waves
 
 
 def write_waves(blocks: DataFrame, root: str, rate: int = 48_000) -> DataFrame:
     """Writes root/scene_id/stem.wav of every stem's blocks (scene_id, stem, start, left, right) and returns scene_id, stem, n.
-    A file is written by one task, as it must be whole; scenes and stems run in parallel."""
-
-    def write(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("start")
-        left, right = (np.concatenate([np.asarray(x, float) for x in rows[s]] or [np.zeros(0)]) for s in ("left", "right"))
-        scene, stem = rows["scene_id"].iloc[0], rows["stem"].iloc[0]
-        _put(f"{root}/{scene}/{stem}.wav", wave_bytes(left, right, rate))
-        return pd.DataFrame({"scene_id": [scene], "stem": [stem], "n": [len(left)]})
-
-    kind = dict(blocks.dtypes)["scene_id"]
-    return blocks.groupBy("scene_id", "stem").applyInPandas(write, f"scene_id {kind}, stem string, n long")
+    One task streams a file; scenes and stems run in parallel. Samples are rounded half to even and clipped."""
+    path = F.concat(F.col("scene_id").cast("string"), F.lit("/"), F.col("stem"), F.lit(".wav"))
+    save_waves(blocks.withColumn("path", path), root, rate)
+    return blocks.groupBy("scene_id", "stem").agg(F.max(F.col("start") + F.size("left")).alias("n"))
 
 
 def write_documents(scenes: DataFrame, root: str, name: str, document: Column, key: str = "scene_name") -> DataFrame:
     """Writes root/<key>/<name>, a JSON document a scene, and returns key and bytes. Null fields are left out."""
-    rows = scenes.select(F.col(key).alias("key"), F.to_json(document).alias("json"))
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for k, text in zip(batch["key"], batch["json"], strict=True):
-                _put(f"{root}/{k}/{name}", text.encode())
-            yield pd.DataFrame({"key": batch["key"], "bytes": [len(t.encode()) for t in batch["json"]]})
-
-    kind = dict(rows.dtypes)["key"]
-    return rows.mapInPandas(write, f"key {kind}, bytes long").withColumnRenamed("key", key)
+    rows = scenes.select(F.col(key), F.to_json(document).alias("content"))
+    save_files(rows.select(F.concat(F.col(key).cast("string"), F.lit(f"/{name}")).alias("path"), "content"), root)
+    return rows.select(key, F.octet_length("content").cast("long").alias("bytes"))
 
 
 def write_index(rows: DataFrame, path: str) -> None:

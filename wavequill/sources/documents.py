@@ -6,18 +6,15 @@ function says so, and are left out elsewhere.
 
 from __future__ import annotations
 
-import io
-import math
 import os
-import wave
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavequill.sources.sound import resampled_part, sound
+
 ENVELOPES = "sample_rate int, duration_sec double, envelopes map<string,struct<description:string,keyframes:array<struct<time:double,gain:double,gain_db:double>>>>"
 INDEX = "entries array<struct<file:string,emotion:string,actor:string,utterance_id:int,dialogue_id:int,nv_types:array<string>>>"
 
@@ -124,74 +121,25 @@ def index_entries(index: DataFrame, root: str) -> DataFrame:
     return each.withColumn("file", F.concat_ws("/", F.lit(root), "file")).withColumn("nv_types", F.coalesce("nv_types", F.array(F.lit("unknown"))))
 
 
-def _samples(content: bytes) -> tuple[np.ndarray, int]:
-    """The samples in [-1, 1), one column a channel, and the rate of a file of 8 to 32 bits."""
-    with wave.open(io.BytesIO(content)) as w:
-        channels, width, rate = w.getnchannels(), w.getsampwidth(), w.getframerate()
-        raw = np.frombuffer(w.readframes(w.getnframes()), np.uint8)
-    if width == 1:
-        x = (raw.astype(np.float32) - 128) / 128
-    elif width in (2, 3, 4):
-        wide = np.zeros((len(raw) // width, 4), np.uint8)
-        wide[:, 4 - width :] = raw.reshape(-1, width)  # the upper bytes of a 32-bit number
-        x = (wide.view("<i4")[:, 0] / 2**31).astype(np.float32)
-    else:
-        raise ValueError(f"{width} bytes a sample")
-    return x.reshape(-1, channels), rate
-
-
 def durations(spark: SparkSession, root: str, pattern: str = "*.wav", missing: float | None = None) -> DataFrame:
-    """path, seconds of all sound files below a folder, from their headers; `missing` where one can't be read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "content")
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for content in batch["content"]:
-                try:
-                    with wave.open(io.BytesIO(content)) as w:
-                        found.append(w.getnframes() / w.getframerate() if w.getnframes() else missing)
-                except (wave.Error, EOFError, ValueError, ZeroDivisionError):
-                    found.append(missing)
-            yield pd.DataFrame({"path": batch["path"], "seconds": pd.array(found, "Float64")})
-
-    return files.mapInPandas(measure, "path string, seconds double")
+    """path, seconds of all sound files below a folder, from their headers alone; `missing` where one can't be read."""
+    found = sound(spark, root, content="headers", pattern=pattern)
+    return found.select("path", F.when(F.col("frames") > 0, F.col("seconds")).otherwise(F.lit(missing).cast("double")).alias("seconds"))
 
 
 def resampled(x: np.ndarray, old: int, new: int, half: int = 24) -> np.ndarray:
-    """Columns of samples at another rate, by a windowed sinc that cuts what the lower rate can't hold."""
+    """Columns of samples at another rate."""
     if old == new or not len(x):
         return x
-    cut = min(1.0, new / old)
-    reach = math.ceil(half / cut)
-    padded = np.pad(x.astype(np.float64), ((reach, reach + 1), (0, 0)))
-    n, k = -(-len(x) * new // old), np.arange(-reach, reach + 1)
-    out = np.empty((n, x.shape[1]), np.float32)
-    for a in range(0, n, 8192):
-        j = np.arange(a, min(n, a + 8192), dtype=np.int64) * old
-        whole, rest = j // new, j % new / new
-        at = (k - rest[:, None]) * cut
-        weight = np.sinc(at) * np.cos(np.pi * np.clip(at / (2 * half + 2), -0.5, 0.5)) ** 2
-        weight /= weight.sum(1, keepdims=True)
-        out[a : a + len(j)] = np.einsum("jk,jkc->jc", weight, padded[whole[:, None] + k + reach])
-    return out
-
-
-def wave_blocks(spark: SparkSession, path: str, rate: int = 48_000) -> DataFrame:
-    """path, block_no, start_sample, left, right: one row per second of sound at `rate`; mono is doubled, channels after
-    the second are dropped. Other rates are resampled; a file that can't be read has one row of nulls beside its path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(path).select("path", "content")
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    x, own = _samples(content)
-                    x = resampled(x[:, [0, min(1, x.shape[1] - 1)]], own, rate)
-                except (wave.Error, EOFError, ValueError, ZeroDivisionError):
-                    yield pd.DataFrame({"path": [name], "block_no": pd.array([None], "Int32"), "start_sample": pd.array([None], "Int64"), "left": [None], "right": [None]})
-                    continue
-                starts = range(0, len(x), rate)
-                yield pd.DataFrame({"path": name, "block_no": range(len(starts)), "start_sample": list(starts), "left": [x[a : a + rate, 0] for a in starts], "right": [x[a : a + rate, 1] for a in starts]})
-
-    return files.mapInPandas(cut, "path string, block_no int, start_sample long, left array<float>, right array<float>")
+
+    def read(a: int, b: int) -> np.ndarray:
+        low, high = min(max(a, 0), len(x)), min(max(b, 0), len(x))
+        return np.pad(x[low:high], ((max(0, low - a), max(0, b - high)), (0, 0)))
+
+    return resampled_part(read, old, new, 0, -(-len(x) * new // old), half)
+
+
+def wave_blocks(spark: SparkSession, path: str, rate: int = 48_000, start: float | None = None, stop: float | None = None) -> DataFrame:
+    """path, block_no, start_sample, left, right: one row per second of sound at `rate`, of which only `start` to `stop` (seconds) is
+    read; mono is doubled, channels after the second are dropped. A file that can't be read has one row of nulls."""
+    return sound(spark, path, rate=rate, start=start, stop=stop).select("path", "block_no", "start_sample", "left", "right")
