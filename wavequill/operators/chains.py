@@ -196,10 +196,10 @@ def limited(x: np.ndarray, rate: float, ceiling_db: float, seconds: float = 0.00
 
 def impulse(rate: float, room_size: float, damping: float) -> np.ndarray:
     """A room's response: noise that dies away by 60 dB in 0.2 to 2 seconds, more of it smoothed where damping is high, with an
-    energy of 1. The noise is a fixed function of the sample's number."""
+    energy of 1. The noise is a fixed function of the sample's number, in whole numbers, so that every engine agrees on it."""
     n = max(2, int(rate * (0.2 + 1.8 * room_size)))
-    i = np.arange(n + 2)
-    noise = 2 * np.mod(np.sin(i * 12.9898) * 43758.5453, 1.0) - 1
+    i = np.arange(n + 2, dtype=np.int64)
+    noise = (i * i * 104_729 + i * 7919) % 65_537 / 32_768 - 1
     h = 10 ** (-3 * np.arange(n) / n) * ((1 - damping) * noise[1:-1] + damping * (noise[:-2] + noise[1:-1] + noise[2:]) / 3)
     return h / np.sqrt(h @ h)
 
@@ -266,12 +266,13 @@ def process_stems(blocks: DataFrame, keys: list[str], rate: float, block: int, s
         return (found if by else found[""]) if found else None
 
     at = [*keys, "start"]
-    rows = kept(blocks.select(*keys, F.col("start").cast("long").alias("start"), *[F.col(v).cast("array<double>").alias(v) for v in values]))
+    rows = blocks.select(*keys, F.col("start").cast("long").alias("start"), *[F.col(v).cast("array<double>").alias(v) for v in values])
     for how in (chosen(_filters), chosen(_compressor)):
-        if how:
-            rows = kept(B.scanned(rows, keys, how, values, by))
+        if how:  # reads its blocks twice
+            rows = B.scanned(kept(rows), keys, how, values, by)
     rooms = {name: response(rate, **s["reverb"]) for name, s in each.items() if s and s.get("reverb") is not None}
     if rooms:
+        rows = kept(rows)
         wet = B.convolved(rows, keys, rooms if by else rooms[""], block, values, by)
         rows = wet.unionByName(rows.filter(~F.coalesce(F.col(by).isin(*rooms), F.lit(False)))) if by else wet
     levels = {name: s["gain_db"] for name, s in each.items() if s and s.get("gain_db")}

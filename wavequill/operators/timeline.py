@@ -15,16 +15,36 @@ def normalised_times(events: DataFrame, keys: list[str], ts: str, duration: Colu
     return events.withColumn("at", F.when((duration > 0) & top.isNotNull(), inside).otherwise(F.col(ts)))
 
 
-def overlapping(left: DataFrame, right: DataFrame, keys: list[str], bucket: int) -> DataFrame:
-    """Pairs of spans (start, stop) that overlap: both sides are cut into buckets, so the join is an equi-join; a pair
-    is reported in the bucket where the later of the two begins."""
+def _level(bucket: int) -> Column:
+    """The least power of two of buckets that is as long as a span."""
+    length = F.greatest((F.col("stop") - F.col("start")) / bucket, F.lit(1.0))
+    return F.ceil(F.round(F.log2(length), 9)).cast("int")
+
 
-    def cut(df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / bucket), F.floor((F.col("stop") - 1) / bucket))))
+def binned(spans: DataFrame, bucket: int, levels: list[int] | None = None, beyond: int = 0) -> DataFrame:
+    """`spans` with level and bin: a span lies in two bins of its own level, whatever its length (levels None), or in two bins
+    of each of `levels` that is at least its own and `beyond`."""
+    own = _level(bucket)
+    wanted = F.array(own) if levels is None else F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda k: k >= own + beyond)
+    each = spans.withColumn("level", F.explode(wanted))
+    width = bucket * F.pow(F.lit(2.0), F.col("level"))
+    return each.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.greatest("start", "stop") / width))))
 
-    a, b = cut(left), cut(right).select(*keys, "bucket", F.col("id").alias("id2"), F.col("start").alias("start2"), F.col("stop").alias("stop2"))
-    met = a.join(b, [*keys, "bucket"]).filter((F.col("start") < F.col("stop2")) & (F.col("start2") < F.col("stop")))
-    return met.filter(F.col("bucket") == F.floor(F.greatest("start", "start2") / bucket)).drop("bucket")
+
+def overlapping(left: DataFrame, right: DataFrame, keys: list[str], bucket: int) -> DataFrame:
+    """Pairs of spans (start, stop) that overlap, by equi-joins over nested bins: each span is at home in two bins about as
+    long as itself, and visits the homes of longer ones, two bins for each length (a power of two) that the other side has.
+    A pair is reported in the bin where the later of the two begins, so once."""
+    theirs = right.select(*keys, F.col("id").alias("id2"), "start", "stop")
+    renamed = lambda df: df.withColumnsRenamed({"start": "start2", "stop": "stop2"})
+    found = lambda df: sorted(r[0] for r in df.select(_level(bucket).alias("level")).distinct().collect() if r[0] is not None)  # noqa: E731 (some sixty at most)
+    long_left, long_right = found(left), found(theirs)
+    at = [*keys, "level", "bin"]
+    visits = binned(left, bucket, long_right).join(renamed(binned(theirs, bucket)), at)
+    visited = binned(left, bucket).join(renamed(binned(theirs, bucket, long_left, 1)), at)
+    met = visits.unionByName(visited).filter((F.col("start") < F.col("stop2")) & (F.col("start2") < F.col("stop")))
+    width = bucket * F.pow(F.lit(2.0), F.col("level"))
+    return met.filter(F.col("bin") == F.floor(F.greatest("start", "start2") / width)).drop("level", "bin")
 
 
 def placed(events: DataFrame, keys: list[str], length: int) -> DataFrame:

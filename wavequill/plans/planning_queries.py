@@ -83,10 +83,11 @@ def l8_stems_and_events(t):
 _SHARE = lambda c: f"CASE WHEN {c} >= 0.9 THEN 'always' WHEN {c} >= 0.5 THEN 'likely' WHEN {c} > 0 THEN 'rare' ELSE 'never' END"
 
 
-@query(f"""WITH {_DIM} SELECT scene_type, scene_type || ' [speech:' || {_SHARE("speech_prob")} || ', music:' || {_SHARE("music_prob")} || ', sfx:' || sfx_min || '-' || sfx_max || ']' AS line FROM dim""")
+@query(f"""WITH {_TYPED}, u AS (SELECT scene_type, any_value(speech_prob) AS s, any_value(music_prob) AS m, any_value(sfx_min) AS lo, any_value(sfx_max) AS hi, count(*) AS scenes FROM typed GROUP BY scene_type)
+ SELECT scene_type, scenes, scene_type || ' [speech:' || {_SHARE("s")} || ', music:' || {_SHARE("m")} || ', sfx:' || lo || '-' || hi || ']' AS line FROM u""")
 def p21_type_summaries(t):
-    d = scene_types.scene_types(t("region").sparkSession)
-    return d.select("scene_type", scene_types.summary(F.col("scene_type"), F.col("speech_prob"), F.col("music_prob"), F.col("sfx_min"), F.col("sfx_max")).alias("line"))
+    used = _typed(t).groupBy("scene_type", "speech_prob", "music_prob", "sfx_min", "sfx_max").agg(F.count(F.lit(1)).alias("scenes"))
+    return used.select("scene_type", "scenes", scene_types.summary(F.col("scene_type"), F.col("speech_prob"), F.col("music_prob"), F.col("sfx_min"), F.col("sfx_max")).alias("line"))
 
 
 _GUIDANCE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in scene_types.GUIDANCE.items())
@@ -180,7 +181,7 @@ def l5_first_tags(t):
 
 
 _SCENES = """s AS (SELECT c_custkey AS scene, CASE WHEN c_custkey % 9 <> 0 THEN c_mktsegment END AS kind, CASE c_custkey % 4 WHEN 0 THEN 'Dark ambient' WHEN 1 THEN 'epic' WHEN 2 THEN '' END AS tag, c_custkey % 5 AS k FROM customer),
- v AS (SELECT o_custkey AS scene, CASE WHEN o_orderkey % 2 = 0 THEN 'music' ELSE 'sfx' END AS stem, max(o_totalprice / 1000) AS d FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL),
+ v AS (SELECT o_custkey AS scene, CASE WHEN o_orderkey % 2 = 0 THEN 'music' ELSE 'sfx' END AS stem, max(o_totalprice / 1000) AS d FROM orders GROUP BY ALL),
  g AS (SELECT scene, string_agg(stem, '+' ORDER BY stem) AS ducked, max(d) AS d FROM v GROUP BY scene),
  a AS (SELECT s.scene, coalesce(kind, 'unknown') AS scene_type, CASE k WHEN 0 THEN 0 WHEN 1 THEN 6 WHEN 2 THEN 8 WHEN 3 THEN 0 ELSE 1 END AS speech_reverb, 0 AS music_reverb,
   CASE s.scene % 4 WHEN 0 THEN 3 WHEN 1 THEN 8 WHEN 2 THEN 0 ELSE 0 END AS music_class, coalesce(ducked, '') AS ducked, coalesce(d, 0) AS duration_sec FROM s LEFT JOIN g USING (scene))"""
@@ -192,7 +193,7 @@ def _scenes(t):
     kind = F.when(k % 5 == 0, text(None)).when(k % 5 == 1, "Plate").when(k % 5 == 2, "cave").when(k % 5 == 4, "ROOM")
     reverbs = F.when(k % 5 != 3, F.create_map(F.lit("speech"), kind))
     scenes = t("customer").select(k.alias("scene"), F.when(k % 9 != 0, F.col("c_mktsegment")).alias("scene_type"), F.when(k % 4 == 0, "Dark ambient").when(k % 4 == 1, "epic").when(k % 4 == 2, "").alias("music_tag"), reverbs.alias("reverbs"))
-    envelopes = t("orders").filter("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("scene"), F.when(F.col("o_orderkey") % 2 == 0, "music").otherwise("sfx").alias("stem"), (F.col("o_totalprice") / 1000).alias("duration_sec"))
+    envelopes = t("orders").select(F.col("o_custkey").alias("scene"), F.when(F.col("o_orderkey") % 2 == 0, "music").otherwise("sfx").alias("stem"), (F.col("o_totalprice") / 1000).alias("duration_sec"))
     return planning.assembled(scenes, envelopes, ["scene"])
 
 
@@ -206,9 +207,9 @@ def a17_ducking_statistics(t):
     return planning.ducking_statistics(_scenes(t)).withColumn("hours", F.round("hours", 4))
 
 
-@query("""SELECT k, resumed FROM (SELECT o_orderkey AS k, o_orderstatus = 'P' AS resumed FROM orders WHERE o_orderkey % 97 = 0 ORDER BY resumed DESC, k LIMIT 50)""")
+@query("""SELECT k, resumed FROM (SELECT o_orderkey AS k, o_orderstatus = 'P' AS resumed FROM orders ORDER BY resumed DESC, k LIMIT 50)""")
 def l4_limited_jobs(t):
-    o = t("orders").filter("o_orderkey % 97 = 0").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
+    o = t("orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
     return planning.limited(o.filter("o_orderstatus = 'P'").select("k"), o.filter("o_orderstatus <> 'P'").select("k"), 50, ["k"])
 
 
@@ -223,9 +224,9 @@ def a23_upload_statistics(t):
     return planning.upload_statistics(files, ["o_custkey"])
 
 
-@query("""SELECT user_id, count(DISTINCT event_type) FILTER (event_type IN ('view', 'click', 'purchase')) = 3 AS complete FROM events WHERE event_id % 3 = 0 GROUP BY user_id""")
+@query("""SELECT user_id, count(DISTINCT event_type) FILTER (event_type IN ('view', 'click', 'purchase')) = 3 AS complete FROM events GROUP BY user_id""")
 def u4_all_present(t):
-    found = t("events").filter("event_id % 3 = 0").groupBy("user_id").agg(F.collect_set("event_type").alias("present"))
+    found = t("events").groupBy("user_id").agg(F.collect_set("event_type").alias("present"))
     return found.select("user_id", planning.all_present(F.col("present"), ("view", "click", "purchase")).alias("complete"))
 
 

@@ -88,6 +88,16 @@ def j6_overlaps(t):
     return timeline.overlapping(a, b, ["user_id"], 7200).select("id", "id2", F.greatest("start", "start2").alias("lo"), F.least("stop", "stop2").alias("hi"))
 
 
+@query(f"""WITH {_E}, a AS (SELECT event_id AS id, user_id, s AS start, s + CASE WHEN event_id % 5 = 0 THEN 2000000 WHEN event_id % 3 = 0 THEN 90000 ELSE event_id % 7000 END AS stop FROM e WHERE event_type = 'view'), b AS (SELECT event_id AS id2, user_id, s AS start2, s + CASE WHEN event_id % 7 = 0 THEN 1000000 ELSE 60 END AS stop2 FROM e WHERE event_type = 'click')
+ SELECT a.id, id2, greatest(start, start2) AS lo, least(stop, stop2) AS hi FROM a JOIN b ON a.user_id = b.user_id AND start < stop2 AND start2 < stop""")
+def j6_overlaps_of_any_length(t):
+    e, k = _events(t), F.col("event_id")
+    span = lambda kind, length: e.filter(F.col("event_type") == kind).select(k.alias("id"), "user_id", F.col("s").alias("start"), (F.col("s") + length).alias("stop"))
+    a = span("view", F.when(k % 5 == 0, 2_000_000).when(k % 3 == 0, 90_000).otherwise(k % 7000))
+    b = span("click", F.when(k % 7 == 0, 1_000_000).otherwise(60))
+    return timeline.overlapping(a, b, ["user_id"], 60).select("id", "id2", F.greatest("start", "start2").alias("lo"), F.least("stop", "stop2").alias("hi"))
+
+
 @query("""SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c_custkey) THEN 'render' ELSE 'plan' END AS step FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""")
 def j7_work_list(t):
     o = t("orders").withColumnRenamed("o_custkey", "c_custkey")

@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavequill.operators import blocks, chains, levels, loudness
+from wavequill.operators import chains, levels, loudness, rendering, reports, signals
 from wavequill.plans.queries import _E, _HASH, _events, query
-from wavequill.plans.signal_queries import BLOCK, _blocks, _long, _samples
+from wavequill.plans.signal_queries import _DUCK, BLOCK, _blocks, _long, _samples
 from wavequill.storage import kept
 
 #: samples a second of the signals here, how many samples each event sounds, and samples of a block of these tones
@@ -64,7 +64,7 @@ def _compressed(name: str, source: str, threshold: float, ratio: float, attack:
 
 def _room(name: str, source: str, size: float, damping: float, wet: float) -> str:
     n = max(2, int(RATE * (0.2 + 1.8 * size)))
-    noise = lambda i: f"2 * (sin({i} * 12.9898) * 43758.5453 - floor(sin({i} * 12.9898) * 43758.5453)) - 1"
+    noise = lambda i: f"({i} * {i} * 104729 + {i} * 7919) % 65537 / 32768.0 - 1"
     taps = f"pow(10, -3.0 * i / {n}) * ((1 - {damping}) * ({noise('(i + 1)')}) + {damping} * ({noise('i')} + {noise('(i + 1)')} + {noise('(i + 2)')}) / 3)"
     return (
         f"{name}_h AS (SELECT i, h * {wet} / sqrt(sum(h * h) OVER ()) + CASE WHEN i = 0 THEN 1 ELSE 0 END AS h FROM (SELECT i, {taps} AS h FROM range({n}) i(i))),"
@@ -190,3 +190,133 @@ def f6_mastering(t):
  z AS (SELECT user_id, CASE WHEN v.limits THEN q.x ELSE v.x END AS x FROM v JOIN q USING (user_id, pos)) {_LEVELS.format('z')}""")
 def f6_mastering_to_loudness(t):
     return _levels(chains.to_loudness(chains.master(_tones(t), ["user_id"], RATE, TONE_BLOCK, ONE), "user_id", RATE, TONE_BLOCK, values=ONE))
+
+
+# ---------------------------------------------------------------- reports measured on signals
+
+#: how events are dealt to stems
+_STEM = "CASE event_type WHEN 'view' THEN 'speech' WHEN 'click' THEN 'music' WHEN 'purchase' THEN 'ambience' ELSE 'sfx' END"
+_LIMITS = {"lufs": (-35.0, -14.0), "most_peak": -4.0, "most_dc": 0.01, "least_rms": -80.0, "most_zeros": 9}
+
+
+def _scene_signals(t):
+    """Stems and mixes of all users: an event is a sample of its stem and silence in the others. Some users' music is too loud, some
+    have samples that are no numbers, some a shorter speech, some a mix that is not the sum."""
+    k = F.col("user_id")
+    named = F.when(F.col("event_type") == "view", "speech").when(F.col("event_type") == "click", "music").when(F.col("event_type") == "purchase", "ambience").otherwise("sfx")
+    w = Window.partitionBy("user_id").orderBy("s", "event_id")
+    rows = _events(t).select("user_id", (F.row_number().over(w) - 1).cast("long").alias("pos"), named.alias("own"), "x", F.count(F.lit(1)).over(Window.partitionBy("user_id")).alias("n"))
+    each = rows.withColumn("stem", F.explode(F.array(*map(F.lit, ("speech", "music", "ambience", "sfx")))))
+    turned = (F.col("x") - 0.5) * F.when(F.col("pos") % 2 == 0, 1.0).otherwise(-1.0) * F.when((k % 7 == 0) & (F.col("stem") == "music"), 1.6).when(k % 5 == 0, 0.01).otherwise(0.4)
+    value = F.when(F.col("stem") != F.col("own"), 0.0).otherwise(turned)
+    clean = each.select("user_id", "stem", "pos", "n", value.alias("x"))
+    stems = clean.filter(~((k % 10 == 3) & (F.col("stem") == "speech") & (F.col("pos") >= F.col("n") - 11)))
+    stems = stems.withColumn("x", F.when((k % 29 == 0) & (F.col("stem") == "sfx") & (F.col("pos") == 5), F.lit(float("nan"))).otherwise(F.col("x")))
+    mixes = clean.groupBy("user_id", "pos").agg(F.sum("x").alias("x")).withColumn("x", F.col("x") + F.when(k % 12 == 5, 0.01).otherwise(0.0))
+    return kept(_blocks(stems, keys=("user_id", "stem"))), kept(_blocks(mixes))
+
+
+def _signal_reports(t):
+    customers, orders = t("customer").select(F.col("c_custkey").alias("user_id"), F.lit(True).alias("has_metadata")), t("orders").groupBy(F.col("o_custkey").alias("user_id")).agg(F.lit(True).alias("has_linear"), (F.min("o_totalprice") / 1e8).alias("stored_error"))
+    scenes = t("events").select("user_id").distinct().join(customers, "user_id", "left").join(orders, "user_id", "left").select("user_id", "has_metadata", "has_linear", "stored_error", F.lit("sparse").alias("scene_type"))
+    stems, mixes = _scene_signals(t)
+    return reports.signal_reports(scenes, stems, mixes, ["user_id"], RATE, BLOCK, seconds=0.008, **_LIMITS)
+
+
+#: the mix is x on the left and -x / 2 on the right; both are weighed alike
+_SIGNALS = f"""{_E}, r AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY s, event_id) - 1 AS pos, {_STEM} AS own, x, count(*) OVER (PARTITION BY user_id) AS n FROM e),
+ c AS (SELECT user_id, stem, pos, n, CASE WHEN stem <> own THEN 0 ELSE (x - 0.5) * CASE WHEN pos % 2 = 0 THEN 1 ELSE -1 END * CASE WHEN user_id % 7 = 0 AND stem = 'music' THEN 1.6 WHEN user_id % 5 = 0 THEN 0.01 ELSE 0.4 END END AS x FROM r, (SELECT unnest(['speech', 'music', 'ambience', 'sfx']) AS stem)),
+ s AS MATERIALIZED (SELECT user_id, stem, pos, CASE WHEN user_id % 29 = 0 AND stem = 'sfx' AND pos = 5 THEN 'nan'::DOUBLE ELSE x END AS x FROM c WHERE NOT (user_id % 10 = 3 AND stem = 'speech' AND pos >= n - 11)),
+ p AS MATERIALIZED (SELECT user_id, pos, sum(x) + CASE WHEN user_id % 12 = 5 THEN 0.01 ELSE 0 END AS x FROM c GROUP BY user_id, pos), n AS (SELECT user_id, count(*) AS n FROM p GROUP BY user_id)"""
+
+
+def _report_sql() -> str:
+    lim = _LIMITS
+    windows = _windows("w", "y", 8, 4).replace("avg(y.x * y.x)", "avg(y.x * y.x) * 1.25")
+    return f"""{_SIGNALS}, {_weighted('y', 'p')}, {windows}, {_gated('l', 'w', '-70')}, {_peaks('k', 'p')},
+ z AS (SELECT user_id, stem, max(run) AS longest FROM (SELECT user_id, stem, g, count(*) FILTER (quiet) AS run FROM (SELECT *, pos - row_number() OVER (PARTITION BY user_id, stem, quiet ORDER BY pos) AS g FROM (SELECT *, abs(x) < 1e-8 AS quiet FROM s)) WHERE quiet GROUP BY ALL) GROUP BY ALL),
+ v AS (SELECT user_id, stem, bool_or(isnan(x)) AS bad, 20 * log10(sqrt(sum(x * x) * 1.25 / (2 * count(*)))) AS rms, abs(sum(x) * 0.5 / (2 * count(*))) AS dc, count(*) AS n FROM s GROUP BY ALL),
+ m AS (SELECT v.user_id, v.stem, bad, NOT bad AND dc > {lim['most_dc']} AS dc, NOT bad AND (rms IS NULL OR rms < {lim['least_rms']}) AND v.stem NOT IN ('music', 'sfx') AS silent, coalesce(longest, 0) > {lim['most_zeros']} AS zeros FROM v LEFT JOIN z USING (user_id, stem)),
+ u AS (SELECT p.user_id, sqrt(avg((p.x - t.x) * (p.x - t.x)) * 1.25 / 2) AS error FROM p JOIN (SELECT user_id, pos, sum(x) AS x FROM s GROUP BY ALL) t USING (user_id, pos) GROUP BY p.user_id),
+ d AS (SELECT user_id, max(n) - min(n) <= 10 AS same FROM (SELECT user_id, n FROM v UNION ALL SELECT user_id, n FROM n) GROUP BY user_id),
+ h AS (SELECT n.user_id, c.c_custkey IS NOT NULL AS meta, o.stored IS NOT NULL AS linear, o.stored FROM n LEFT JOIN customer c ON c.c_custkey = n.user_id LEFT JOIN (SELECT o_custkey, min(o_totalprice) / 1e8 AS stored FROM orders GROUP BY 1) o ON o.o_custkey = n.user_id),
+ f AS (SELECT user_id, 'corruption_' || stem || ':' || unnest([CASE WHEN bad THEN 'nan_or_inf' END, CASE WHEN dc THEN 'dc_offset' END, CASE WHEN silent THEN 'silent' END, CASE WHEN zeros THEN 'long_silence' END]) AS say, bad OR dc OR silent AS fails FROM m
+  UNION ALL SELECT user_id, CASE WHEN isnan(error) OR error >= 1e-3 THEN 'additivity:sum_differs' END, true FROM u UNION ALL SELECT user_id, CASE WHEN lufs < {lim['lufs'][0]} THEN 'loudness:too_quiet' WHEN lufs > {lim['lufs'][1]} THEN 'loudness:too_loud' END, true FROM l
+  UNION ALL SELECT user_id, CASE WHEN peak > 0 AND 20 * log10(peak) > {lim['most_peak']} THEN 'loudness:clipping' END, true FROM k UNION ALL SELECT user_id, CASE WHEN NOT same THEN 'duration:mismatch' END, true FROM d
+  UNION ALL SELECT user_id, CASE WHEN stored > 1e-3 THEN 'additivity_stored:high' END, false FROM h),
+ g AS (SELECT h.user_id, CASE WHEN NOT meta THEN 'metadata:missing' WHEN NOT linear THEN 'structure:missing' ELSE coalesce((SELECT string_agg(say, ',' ORDER BY say) FROM f WHERE f.user_id = h.user_id AND fails AND say IS NOT NULL), '') END AS errors,
+  CASE WHEN meta AND linear THEN coalesce((SELECT string_agg(say, ',' ORDER BY say) FROM f WHERE f.user_id = h.user_id AND NOT fails AND say IS NOT NULL), '') ELSE '' END AS warnings, CASE WHEN meta AND linear THEN lufs END AS lufs, CASE WHEN meta AND linear THEN 20 * log10(peak) END AS peak FROM h JOIN l USING (user_id) JOIN k USING (user_id))"""
+
+
+@query(f"WITH RECURSIVE {_report_sql()} SELECT user_id, errors, warnings, errors = '' AS is_valid, round(lufs, 5) AS lufs, round(peak, 5) AS true_peak_db, CASE WHEN errors NOT IN ('metadata:missing', 'structure:missing') THEN 'sparse' END AS scene_type FROM g")
+def v10_signal_reports(t):
+    found = _signal_reports(t)
+    text = lambda c: F.array_join(F.array_sort(F.transform(c, lambda x: F.concat_ws(":", x["check"], x["reason"]))), ",")
+    return found.select("user_id", text("errors").alias("errors"), text("warnings").alias("warnings"), "is_valid", F.round("lufs", 5).alias("lufs"), F.round("true_peak_db", 5).alias("true_peak_db"), "scene_type")
+
+
+@query(f"""WITH RECURSIVE {_report_sql()}, failed AS (SELECT split_part(unnest(string_split(errors, ',')), ':', 1) AS k FROM g WHERE errors <> ''), q AS (SELECT k, count(*) AS n FROM failed GROUP BY k)
+ SELECT count(*) AS total, count(*) FILTER (errors = '') AS valid, round(count(*) FILTER (errors = '') / count(*), 6) AS pass_rate, count(*) FILTER (errors = '' AND warnings <> '') AS with_warnings, round(avg(lufs), 5) AS lufs_mean, round(max(peak), 5) AS peak_max, (SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM q) AS error_counts FROM g""")
+def a15_signal_roll_up(t):
+    found = levels.report_roll_up(_signal_reports(t))
+    counts = F.array_join(F.transform(F.map_entries("error_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return found.select("total", "valid", F.round("pass_rate", 6).alias("pass_rate"), "with_warnings", F.round("lufs_mean", 5).alias("lufs_mean"), F.round("peak_max", 5).alias("peak_max"), counts.alias("error_counts"))
+
+
+# ---------------------------------------------------------------- rendered scenes
+
+_ROUGH, _FINAL, _EVENTS = {"music": {"gain_db": -6.0}}, {"music": {"gain_db": -3.0}, "sfx": {"gain_db": 2.0}}, {"sfx_0": {"gain_db": -4.0}}
+
+
+def _scene_parts(t):
+    """Speech, music and ambience of all users, and three sounds each at their places."""
+    p = _samples(t).withColumnRenamed("user_id", "scene_id")
+    made = {
+        "speech": p.withColumn("x", F.col("x") * F.when(F.col("pos") % 7 < 4, 0.3).otherwise(0.01)),
+        "music": p.filter("pos < 55").withColumn("x", 1 - F.col("x")),
+        "ambience": p.filter("pos < 30").withColumn("x", F.col("x") * 0.1),
+    }
+    keys = ("scene_id", "stem")
+    stems = None
+    for name, rows in made.items():
+        own = _blocks(rows.withColumn("stem", F.lit(name)), keys=keys)
+        stems = own if stems is None else stems.unionByName(own)
+    sounds = p.filter("pos < 20").withColumn("idx", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("x", F.col("x") * (F.col("idx") + 1) / 4)
+    events = _blocks(sounds, keys=("scene_id", "idx")).withColumn("start", F.col("start") + 9 * F.col("idx") + 4)
+    return kept(stems), kept(events)
+
+
+_PARTS = f"""{_E}, p AS MATERIALIZED (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY s, event_id) - 1 AS pos, x FROM e), n AS (SELECT user_id, count(*) AS n FROM p GROUP BY user_id),
+ speech AS MATERIALIZED (SELECT user_id, pos, x * CASE WHEN pos % 7 < 4 THEN 0.3 ELSE 0.01 END AS x FROM p), music AS (SELECT user_id, pos, 1 - x AS x FROM p WHERE pos < 55), ambience AS (SELECT user_id, pos, x * 0.1 AS x FROM p WHERE pos < 30),
+ sounds AS MATERIALIZED (SELECT user_id, idx, pos AS ofs, pos + 9 * idx + 4 AS pos, x * (idx + 1) / 4 AS x FROM p, range(3) i(idx) WHERE pos < 20)"""
+
+
+def _ducked(name: str, settings: dict) -> str:
+    return _DUCK(name, "speech", settings["threshold_db"], settings["reduction_db"], settings["attack_ms"], settings["release_ms"]).replace("* 100.0)", f"* {RATE / 1}) ")
+
+
+_TRACK_SQL = lambda name, gain, event: f"""{name}_e AS (SELECT user_id, pos, sum(x * CASE WHEN idx = 0 THEN {event} ELSE 1 END) AS x FROM sounds JOIN n USING (user_id) WHERE pos < n GROUP BY ALL),
+ {name}_b AS MATERIALIZED (SELECT s.user_id, s.pos, (s.x + coalesce(m.x * {gain[0]} * dm.g, 0) + coalesce(a.x, 0) + coalesce(e.x * {gain[1]} * ds.g, 0)) * pow(10, -3 / 20.0) AS x FROM speech s LEFT JOIN music m USING (user_id, pos) LEFT JOIN ambience a USING (user_id, pos) LEFT JOIN {name}_e e USING (user_id, pos) JOIN dm USING (user_id, pos) JOIN ds USING (user_id, pos)),
+ {_compressed(name + '_c', name + '_b', -12.0, 3.0, 20.0, 200.0)}, {_limited(name, name + '_c', -2.0)}"""
+
+
+@query(f"""WITH RECURSIVE {_PARTS}, {_ducked('dm', signals.BUS['music'])}, {_ducked('ds', signals.BUS['sfx'])}, {_TRACK_SQL('rough', ('pow(10, -6 / 20.0)', '1'), '1')}, {_TRACK_SQL('release', ('pow(10, -3 / 20.0)', 'pow(10, 2 / 20.0)'), 'pow(10, -4 / 20.0)')}
+ SELECT 'rough' AS version, user_id, pos, round(x, 6) AS x FROM rough UNION ALL SELECT 'release', user_id, pos, round(x, 6) FROM release""")
+def f11_rendered_scenes(t):
+    stems, events = _scene_parts(t)
+    found, _ = rendering.render(stems, events, _ROUGH, _FINAL, _EVENTS, RATE, BLOCK)
+    long = lambda name: _long(found[name].mix.withColumnRenamed("scene_id", "user_id")).select(F.lit(name).alias("version"), "user_id", "pos", "x")
+    return long("rough").unionByName(long("release"))
+
+
+_PLAIN_STEP = lambda ms: f"exp(-1000 / ({ms} * {RATE / 1}))"
+
+
+@query(f"""WITH RECURSIVE {_PARTS}, {_ducked('dm', signals.BUS['music'])},
+ heard AS MATERIALIZED (SELECT o.user_id, o.idx, o.ofs, o.pos, o.x, coalesce((abs(s.x) + abs(s.x * -0.5)) / 2, 0) > pow(10, -25 / 20.0) AS loud FROM sounds o LEFT JOIN speech s USING (user_id, pos)),
+ g AS (SELECT DISTINCT user_id, idx, CAST(-1 AS BIGINT) AS ofs, 1.0::DOUBLE AS g FROM sounds UNION ALL SELECT h.user_id, h.idx, h.ofs, CASE WHEN h.loud THEN {_PLAIN_STEP(5)} * g.g + (1 - {_PLAIN_STEP(5)}) * pow(10, -8 / 20.0) ELSE {_PLAIN_STEP(100)} * g.g + 1 - {_PLAIN_STEP(100)} END FROM g JOIN heard h ON h.user_id = g.user_id AND h.idx = g.idx AND h.ofs = g.ofs + 1),
+ parts AS (SELECT user_id, pos, x FROM speech UNION ALL SELECT user_id, pos, m.x * 0.35 * dm.g FROM music m JOIN dm USING (user_id, pos) UNION ALL SELECT user_id, pos, x * 0.25 FROM ambience UNION ALL SELECT h.user_id, h.pos, h.x * 0.8 * g.g FROM heard h JOIN g USING (user_id, idx, ofs)),
+ b AS MATERIALIZED (SELECT user_id, pos, sum(x) * pow(10, -3 / 20.0) AS x FROM parts GROUP BY ALL), {_compressed('c', 'b', -12.0, 3.0, 20.0, 200.0)}, {_limited('r', 'c', -2.0).replace("FROM n)", "FROM (SELECT user_id, max(pos) + 1 AS n FROM b GROUP BY user_id))")} {_LONG} r""")
+def f9_plain_mix(t):
+    stems, events = _scene_parts(t)
+    return _long(rendering.plain_mix(stems, events, RATE, BLOCK).withColumnRenamed("scene_id", "user_id"))
