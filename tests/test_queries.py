@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from wavequill.operators import envelopes
-from wavequill.plans import planning_queries, signal_queries, sound_queries, speech_queries  # noqa: F401 (they register themselves)
+from wavequill.plans import file_queries, planning_queries, signal_queries, sound_queries, speech_queries  # noqa: F401 (they register themselves)
 from wavequill.plans.queries import QUERIES, SQL
 from wavequill.sources import documents
 from wavequill.streaming import stateful

@@ -78,6 +78,19 @@ def _parts(df: DataFrame, text: str, sizes: list[int]) -> DataFrame:
     return df.withColumn("part", F.explode(F.array_distinct(F.flatten(F.array(*map(of, sizes))))))
 
 
+def containing(left: DataFrame, a: str, right: DataFrame, b: str) -> DataFrame:
+    """Pairs (a, b) of distinct texts of which one contains the other, by equality of parts: each side is cut into parts as
+    long as the other side's texts. Empty texts and nulls meet nothing."""
+    left, right = (df.select(c).filter(F.length(c) > 0).distinct() for df, c in ((left, a), (right, b)))
+    sizes = lambda df, c: sorted(r[0] for r in df.select(F.length(c).alias("n")).distinct().collect())  # noqa: E731 (lengths of names)
+    of_left, of_right = sizes(left, a), sizes(right, b)
+    if not of_left or not of_right:
+        return left.join(right, F.col(a) == F.col(b))
+    inside = _parts(left, a, of_right).join(right, F.col("part") == F.col(b)).select(a, b)
+    around = _parts(right, b, of_left).join(left, F.col("part") == F.col(a)).select(a, b)
+    return inside.unionByName(around).distinct()
+
+
 def tag_match(wanted: DataFrame, tags: DataFrame, default: str) -> DataFrame:
     """A known tag for every wanted one: the same, else the first that contains it or lies in it, else the default if
     known, else the first of all. Only what no tag equals is cut into parts as long as the others, so all joins are by

@@ -16,6 +16,7 @@ from wavequill.functions.scalars import quantize16
 from wavequill.operators import chains, signals
 from wavequill.operators.dimensions import REVERBS
 from wavequill.operators.scene_types import STEMS
+from wavequill.storage import kept
 
 KEYS = ["scene_id"]
 #: gains of the plain mix (fixed values), and the gain of other stems
@@ -81,8 +82,8 @@ def _full(scenes: DataFrame, stems: DataFrame, block: int) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: dict[str, dict], event_settings: dict[str, dict], rate: int, block: int, gains: DataFrame | None = None, ducks: DataFrame | None = None) -> tuple[dict[str, Rendered], DataFrame]:
-    """The versions `rough`, `linear` and `release`, and the failures (scene_id, error).
+def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: dict[str, dict], event_settings: dict[str, dict], rate: int, block: int, gains: DataFrame | None = None, ducks: DataFrame | None = None, versions: tuple[str, ...] = ("rough", "linear", "release")) -> tuple[dict[str, Rendered], DataFrame]:
+    """The `versions` asked for, and the failures (scene_id, error).
 
     rough: the rough settings, clean stems, ducking on the mix bus; release: the same under the final settings with effects
     on every event; linear: the final settings with the ducking inside the stems, which sum up exactly to the mix.
@@ -92,11 +93,15 @@ def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: d
     found = {}
     effects = event_effects(events, event_settings, rate, block)
     for name, settings, sounds in (("rough", rough, events), ("release", final, effects)):
+        if name not in versions:
+            continue
         own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), settings, rate, block, gains), block)
         sfx = processed_stems(sfx_stem(scenes, sounds, block), settings, rate, block, gains)
         whole = own.unionByName(sfx)
         found[name] = Rendered(whole, chains.master(signals.mix_bus(whole, KEYS, rate, ducks), KEYS, rate, block))
-    own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), final, rate, block, gains), block)
+    if "linear" not in versions:
+        return found, failures
+    own = kept(_full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), final, rate, block, gains), block))
     speech = own.filter("stem = 'speech'").drop("stem")
     on = (lambda stem: scenes.select(*KEYS)) if ducks is None else (lambda stem: ducks.filter(F.coalesce(F.col(f"duck_{stem}"), F.lit(True))).select(*KEYS))
     music = own.filter("stem = 'music'").drop("stem")
@@ -104,19 +109,20 @@ def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: d
     under = under_speech(effects.join(on("sfx"), KEYS, "left_semi"), speech, rate, block, **signals.BUS["sfx"]).unionByName(effects.join(on("sfx"), KEYS, "left_anti").select(*KEYS, "idx", "start", *signals.SIDES))
     sfx = processed_stems(sfx_stem(scenes, under, block), final, rate, block, gains)
     whole = own.filter("stem <> 'music'").unionByName(music.withColumn("stem", F.lit("music"))).unionByName(sfx)
-    found["linear"] = linear_version(whole)
+    found["linear"] = linear_version(kept(whole))
     return found, failures
 
 
 def linear_version(stems: DataFrame) -> Rendered:
-    """16-bit stems under one gain that keeps the mix and every stem below -1 dB full scale, and their exact sum."""
+    """16-bit stems under one gain that keeps the mix and every stem below -1 dB full scale, and their exact sum. The stems are
+    read several times: let them be a table."""
     sums = signals.mixed(stems, KEYS)
     top = lambda s: F.array_max(F.transform(s, F.abs))
     peaks = stems.select(*KEYS, *signals.SIDES).unionByName(sums.select(*KEYS, *signals.SIDES)).groupBy(*KEYS).agg(F.max(F.greatest(top("left"), top("right"))).alias("peak"))
     limit = 10 ** (-1 / 20)
     gain = peaks.select(*KEYS, F.when(F.col("peak") > limit, limit / F.col("peak")).otherwise(F.lit(1.0)).alias("gain"))
     q = stems.join(gain, KEYS)
-    q = q.select(*KEYS, "stem", "start", *[F.transform(s, lambda x: quantize16(x, F.col("gain"))).alias(s) for s in signals.SIDES])
+    q = kept(q.select(*KEYS, "stem", "start", *[F.transform(s, lambda x: quantize16(x, F.col("gain"))).alias(s) for s in signals.SIDES]))
     whole = signals.mixed(q.drop("stem"), KEYS)  # sums of integers are exact in doubles
     return Rendered(q, whole.select(*KEYS, "start", *[F.col(s).cast("array<int>").alias(s) for s in signals.SIDES]))
 

@@ -195,20 +195,29 @@ BUS = {
 
 def mix_bus(stems: DataFrame, keys: list[str], rate: int, ducks: DataFrame | None = None) -> DataFrame:
     """The sum of stems (a column `stem`) with music and sfx ducked under the speech; the stems stay as they are.
-    `ducks`: duck_music and duck_sfx per scene; without it, all scenes duck both."""
-    speech = stems.filter("stem = 'speech'").drop("stem")
-    parts = [stems.filter(~F.col("stem").isin(*BUS)).drop("stem")]
-    for stem, settings in BUS.items():
-        own = stems.filter(F.col("stem") == stem).drop("stem")
-        if ducks is None:
-            parts.append(ducked(own, speech, keys, rate, **settings))
-            continue
-        on = ducks.filter(F.coalesce(F.col(f"duck_{stem}"), F.lit(True))).select(*keys)
-        parts += [ducked(own.join(on, keys, "left_semi"), speech.join(on, keys, "left_semi"), keys, rate, **settings), own.join(on, keys, "left_anti")]
-    whole = parts[0].select(*keys, "start", *SIDES)
-    for p in parts[1:]:
-        whole = whole.unionByName(p.select(*keys, "start", *SIDES))
-    return mixed(whole, keys)
+    `ducks`: duck_music and duck_sfx per scene; without it, all scenes duck both. Both sets of gains come of one pass over the
+    speech."""
+    from wavequill.operators.blocks import scanned
+    from wavequill.operators.chains import Sidechain
+
+    own, at = [*keys, "stem"], [*keys, "stem", "start"]
+    coefficient = lambda ms: math.exp(-1000 / (rate * ms))
+    how = {stem: Sidechain(10 ** (b["threshold_db"] / 20), 10 ** (b["reduction_db"] / 20), coefficient(b["attack_ms"]), coefficient(b["release_ms"])) for stem, b in BUS.items()}
+    under = F.explode(F.array(*map(F.lit, BUS))).alias("stem")
+    speech = stems.filter("stem = 'speech'")
+    level = F.zip_with("left", "right", lambda a, b: (F.abs(a) + F.abs(b)) / 2).cast("array<double>")
+    gains = scanned(speech.select(*keys, under, "start", level.alias("gain")), own, how, ("gain",), "stem")
+    if ducks is None:
+        asked = speech.select(*keys, under).distinct()
+    else:
+        flags = F.explode(F.array(*[F.struct(F.lit(s).alias("stem"), F.coalesce(F.col(f"duck_{s}"), F.lit(True)).alias("on")) for s in BUS]))
+        asked = ducks.select(*keys, flags.alias("f")).filter("f.on").select(*keys, "f.stem").join(speech.select(*keys).distinct(), keys, "left_semi")
+    marked = stems.join(asked.withColumn("_on", F.lit(True)), own, "left")
+    both = marked.filter("_on").join(gains, at)
+    n = F.least(F.size("left"), F.size("gain"))
+    quiet = both.select(*keys, "start", *[F.zip_with(F.slice(s, F.lit(1), n), F.slice("gain", F.lit(1), n), lambda x, g: x * g).alias(s) for s in SIDES])
+    plain = marked.filter("_on IS NULL").select(*keys, "start", *[F.col(s).cast("array<double>").alias(s) for s in SIDES])
+    return mixed(plain.unionByName(quiet), keys)
 
 
 def loudness_fit(measured: DataFrame, key: str, target: float = -27.0, ceiling: float = -2.0, spread: float = 1.0) -> DataFrame:

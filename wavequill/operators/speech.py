@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wavequill.functions.scalars import style_of
+from wavequill.operators.lookups import containing
 
 #: names of emotions as the labelled corpora have them (fixed values)
 SYNONYMS = {
@@ -46,6 +47,10 @@ def typed_clips(entries: DataFrame, types: str) -> DataFrame:
     return entries.withColumn("nv_type", F.explode(F.when(F.size(types) > 0, F.col(types)).otherwise(F.array(F.lit("unknown")))))
 
 
+#: words of wanted emotions that paths are searched for one by one; more are looked up
+MANY_WORDS = 200
+
+
 def _pieces(text: Column, n: int) -> Column:
     """All parts of n characters."""
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
@@ -63,10 +68,13 @@ def by_emotion(wanted: DataFrame, clips: DataFrame, least: float, most: float) -
     fits = clips.filter(F.col("duration").between(least, most)).select("clip", "source", F.col("emotion").alias("label"), "path")
     names = asked.select("emotion", F.explode(F.array(*[F.struct(F.lit(s).alias("source"), synonym(lower, s).alias("label")) for s in SYNONYMS])).alias("n")).select("emotion", "n.source", "n.label")
     labelled = names.join(fits.select("clip", "source", "label"), ["source", "label"]).select("emotion", "source", "clip", "label")
-    # a clip's distinct style words meet the wanted ones by equality: every part of a path that some style could be
     words = asked.select("emotion", F.explode(styles_of(lower)).alias("label"))
-    sizes = [r[0] for r in words.select(F.length("label").alias("n")).distinct().collect()]  # a few lengths
-    pieces = F.array_distinct(F.flatten(F.array(*[_pieces(F.lower("path"), n) for n in sizes]))) if sizes else F.array().cast("array<string>")
+    known = [r[0] for r in words.select("label").distinct().limit(MANY_WORDS + 1).collect()]
+    if len(known) <= MANY_WORDS:  # the words a path says are asked for one by one
+        pieces = F.filter(F.array(*map(F.lit, known)).cast("array<string>"), lambda w: F.contains(F.lower("path"), w))
+    else:  # many words meet the paths' parts of their lengths by equality
+        sizes = [r[0] for r in words.select(F.length("label").alias("n")).distinct().collect()]  # lengths of words
+        pieces = F.array_distinct(F.flatten(F.array(*[_pieces(F.lower("path"), n) for n in sizes])))
     styled = fits.filter(F.col("source") == CASCADE[-1]).select("clip", F.explode(pieces).alias("label")).join(words, "label").select("emotion", F.lit(CASCADE[-1]).alias("source"), "clip", "label")
     place = F.array_position(F.array(*map(F.lit, CASCADE)), F.col("source"))
     best = labelled.unionByName(styled).groupBy("emotion").agg(F.min_by(F.struct("source", "clip", "label"), F.struct(place, drawn(F.col("clip"), F.col("emotion")), "label")).alias("b"))
@@ -94,9 +102,7 @@ def nonverbal_clips(wanted: DataFrame, clips: DataFrame, least: float, most: flo
     """
     types = clips.select(F.col("nv_type").alias("known")).distinct()
     named = wanted.filter(F.col("nv_type").isNotNull()).select("nv_type").distinct()
-    same = F.col("nv_type") == F.col("known")
-    near = F.contains(F.col("known"), F.col("nv_type")) | F.contains(F.col("nv_type"), F.col("known"))
-    met = named.join(types, near).withColumn("same", same)  # types are names, not clips
+    met = containing(named, "nv_type", types, "known").withColumn("same", F.col("nv_type") == F.col("known"))
     exact = F.max("same").over(Window.partitionBy("nv_type"))
     usable = met.withColumn("exact", exact).filter(~F.col("exact") | F.col("same")).select("nv_type", "known")
     own = wanted.join(usable, "nv_type").unionByName(wanted.filter(F.col("nv_type").isNull()).join(types).select("nv_type", "request", "emotion", "known"))

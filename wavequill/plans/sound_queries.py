@@ -304,7 +304,7 @@ _TRACK_SQL = lambda name, gain, event: f"""{name}_e AS (SELECT user_id, pos, sum
  SELECT 'rough' AS version, user_id, pos, round(x, 6) AS x FROM rough UNION ALL SELECT 'release', user_id, pos, round(x, 6) FROM release""")
 def f11_rendered_scenes(t):
     stems, events = _scene_parts(t)
-    found, _ = rendering.render(stems, events, _ROUGH, _FINAL, _EVENTS, RATE, BLOCK)
+    found, _ = rendering.render(stems, events, _ROUGH, _FINAL, _EVENTS, RATE, BLOCK, versions=("rough", "release"))
     long = lambda name: _long(found[name].mix.withColumnRenamed("scene_id", "user_id")).select(F.lit(name).alias("version"), "user_id", "pos", "x")
     return long("rough").unionByName(long("release"))
 
