@@ -35,12 +35,8 @@ def test_query(spark, duck, name):
     assert rows(QUERIES[name](spark, SF).toPandas()) == rows(duck.execute(SQL[name]).fetchdf())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_query_of_sound(spark, name):
-    found = QUERIES[name](spark, SF).toPandas()
-    assert found["user_id"].nunique() == spark.read.parquet(f"{SF}/events.parquet").select("user_id").distinct().count() and found.notna().all(axis=None)
-    if name == "f6_mastering":
-        assert found["peak_db"].max() <= -2 + 1e-9
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_affine_scan_matches_the_loop():

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavequill.operators import blocks as B
-from wavequill.operators.envelopes import affine_scan, block_size
+from wavequill.operators.envelopes import affine_scan
 from wavequill.storage import kept
 
 SIDES = ("left", "right")
@@ -37,38 +37,45 @@ def high_shelf(hz: float, db: float, rate: float, q: float = 0.5**0.5) -> tuple[
     return b / a[0], a / a[0]
 
 
-def filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, state: np.ndarray, block: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A second-order filter from a state on, and the state after it: parts of the signal run from rest side by side, then
-    each adds the answer to the state it starts in."""
+@lru_cache(maxsize=64)
+def _answers(b: tuple[float, ...], a: tuple[float, ...], block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of `block` samples: the output to each input from rest, the state left by each input, the output to each state at the
+    beginning, and what becomes of such a state."""
+    step, enters = np.array([[-a[1], 1.0], [-a[2], 0.0]]), np.array([b[1] - a[1] * b[0], b[2] - a[2] * b[0]])
+    powers = [np.eye(2)]
+    for _ in range(block):
+        powers.append(step @ powers[-1])
+    rest = np.array([p[0] for p in powers[:block]])
+    heard = np.concatenate([[b[0]], rest[:-1] @ enters])
+    lag = np.arange(block)[:, None] - np.arange(block)
+    return np.where(lag >= 0, heard[lag], 0.0), np.array([p @ enters for p in powers[block - 1 :: -1]]).T, rest, powers[block]
+
+
+def filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, state: np.ndarray, block: int = 96) -> tuple[np.ndarray, np.ndarray]:
+    """A second-order filter from a state on, and the state after it: parts of the signal are one matrix product, then each
+    adds the answer to the state it starts in."""
     n = len(x)
     if not n:
         return np.zeros(0), state
-    block = block or block_size(n)
+    block = min(block, n)
+    outputs, left, rest, whole = _answers(tuple(b.tolist()), tuple(a.tolist()), block)
     rows = -(-n // block)
     u = np.zeros(rows * block)
     u[:n] = x
     u = u.reshape(rows, block).T
-    y, s1, s2 = np.empty_like(u), np.zeros(rows), np.zeros(rows)
-    rest = np.empty((block, 2))  # what a state of (1, 0) or (0, 1) gives
-    t = np.eye(2)
-    step = np.array([[-a[1], 1.0], [-a[2], 0.0]])
-    for i in range(block):
-        y[i] = b[0] * u[i] + s1
-        s1, s2 = b[1] * u[i] - a[1] * y[i] + s2, b[2] * u[i] - a[2] * y[i]
-        rest[i] = t[0]
-        t = step @ t
+    ends, begins = left @ u, np.empty((2, rows))
     begin = state
     for k in range(rows):
-        y[:, k] += rest @ begin
-        begin = t @ begin + (s1[k], s2[k])
-    y = y.T.ravel()[:n]
+        begins[:, k] = begin
+        begin = whole @ begin + ends[:, k]
+    y = (outputs @ u + rest @ begins).T.ravel()[:n]
     before = b[2] * x[-2] - a[2] * y[-2] if n > 1 else state[1]
     return y, np.array([b[1] * x[-1] - a[1] * y[-1] + before, b[2] * x[-1] - a[2] * y[-1]])
 
 
-def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int | None = None) -> np.ndarray:
+def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
     """A second-order filter from rest."""
-    return filtered(x, b, a, np.zeros(2), block)[0]
+    return filtered(x, b, a, np.zeros(2))[0]
 
 
 @dataclass(frozen=True)

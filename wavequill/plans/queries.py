@@ -197,8 +197,8 @@ def a22_percentages(t):
  SELECT o.user_id, o.k, CASE WHEN x > 0.5 THEN 0.9 * g + 0.1 * 0.25 ELSE 0.99 * g + 0.01 END, least(low, CASE WHEN x > 0.5 THEN 0.9 * g + 0.1 * 0.25 ELSE 0.99 * g + 0.01 END) FROM g JOIN o ON o.user_id = g.user_id AND o.k = g.k + 1)
  SELECT user_id, round(arg_max(g, k), 6) AS last_gain, round(min(low), 6) AS least_gain FROM g GROUP BY user_id""")
 def w1_sidechain(t):
-    days = _events(t).groupBy("user_id", F.floor(F.col("s") / 86400).alias("start")).agg(F.array_sort(F.collect_list(F.struct("s", "event_id", "x"))).alias("v"))
-    gains = blocks.scanned(kept(days.select("user_id", "start", F.col("v.x").alias("x"))), ["user_id"], chains.Sidechain(0.5, 0.25, 0.9, 0.99), ("x",))
+    parts = _events(t).groupBy("user_id", F.floor(F.col("s") / 864_000).alias("start")).agg(F.array_sort(F.collect_list(F.struct("s", "event_id", "x"))).alias("v"))
+    gains = blocks.scanned(kept(parts.select("user_id", "start", F.col("v.x").alias("x"))), ["user_id"], chains.Sidechain(0.5, 0.25, 0.9, 0.99), ("x",))
     found = gains.groupBy("user_id").agg(F.max_by(F.element_at("x", -1), "start").alias("last_gain"), F.least(F.lit(1.0), F.min(F.array_min("x"))).alias("least_gain"))
     return found.select("user_id", F.round("last_gain", 6).alias("last_gain"), F.round("least_gain", 6).alias("least_gain"))
 
@@ -222,8 +222,8 @@ def w3_keyframes_to_the_end(t):
 @query(f"""WITH {_E}, o AS (SELECT user_id, x < 0.4 AS quiet, row_number() OVER (PARTITION BY user_id ORDER BY s, event_id) - row_number() OVER (PARTITION BY user_id, x < 0.4 ORDER BY s, event_id) AS run FROM e),
  c AS (SELECT user_id, quiet, run, count(*) AS n FROM o GROUP BY ALL) SELECT user_id, max(CASE WHEN quiet THEN n ELSE 0 END) AS longest FROM c GROUP BY user_id""")
 def w4_longest_quiet(t):
-    days = _events(t).groupBy("user_id", F.floor(F.col("s") / 86400).alias("start")).agg(F.array_sort(F.collect_list(F.struct("s", "event_id", "x"))).alias("v"))
-    return levels.longest_quiet(days.select("user_id", "start", F.col("v.x").alias("left")), ["user_id"], ("left",), 0.4)
+    parts = _events(t).groupBy("user_id", F.floor(F.col("s") / 864_000).alias("start")).agg(F.array_sort(F.collect_list(F.struct("s", "event_id", "x"))).alias("v"))
+    return levels.longest_quiet(parts.select("user_id", "start", F.col("v.x").alias("left")), ["user_id"], ("left",), 0.4)
 
 
 @query("""SELECT o_orderkey, unnest(range(0, CAST(floor(o_totalprice) AS BIGINT) - 20000 + 1, 10000)) AS "offset" FROM orders WHERE floor(o_totalprice) >= 20000""")
