@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from wavequill import storage
 from wavequill.operators import timeline
 from wavequill.sinks import observed
 
@@ -60,3 +61,10 @@ def test_a_repeated_task_counts_once(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run([sys.executable, "-c", RETRIED, str(tmp_path / "out")], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=240)
     assert "'uploaded': 100, 'failed': 0, 'size_mb': 100.0" in done.stdout and "lost" in done.stderr
+
+
+def test_intermediate_tables_go_when_released(spark):
+    df = storage.kept(spark.range(7).toDF("id"))
+    folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert df.count() == 7 and os.path.isdir(folder)
+    assert storage.release(spark) >= 1 and not os.path.exists(folder) and storage.release(spark) == 0

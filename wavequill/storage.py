@@ -20,8 +20,23 @@ def shared_folder(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: what this process has written, by application
+_KEPT: dict[str, list[str]] = {}
+
+
 def kept(df: DataFrame) -> DataFrame:
     """`df` written once and read back: what follows doesn't compute it again, also after an executor is lost."""
-    path = f"{shared_folder(df.sparkSession)}/signals-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/signals-{uuid.uuid4().hex}"
+    _KEPT.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes what `kept` has written for this application, once the results that rest on it are stored; how many tables."""
+    paths = _KEPT.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
