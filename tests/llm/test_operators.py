@@ -338,6 +338,7 @@ def test_components(spark, monkeypatch, words, num, sent):
     monkeypatch.setattr(jaccard_join, "SENT", sent)  # 0: every join shuffles
     if not sent:
         monkeypatch.setattr(jaccard_join, "HOT_ROWS", 1)  # every key with two rows is dealt to several tasks
+        monkeypatch.setattr(jaccard_join, "CROWD", 2)  # lists of three members get centres of their own
     d = table(spark, SF, "documents")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets, lists, parent = {}, defaultdict(list), {}
@@ -399,6 +400,28 @@ def test_links_need_every_order(spark, monkeypatch):
     assert all(len(np.intersect1d(a, b)) for a, b in zip(prefixes[0], prefixes[1], strict=True))
 
 
+def test_one_template_gives_few_pairs(spark, monkeypatch):
+    """Texts of one template, each with 14 words of its own from a stock of 20, and near copies of some of them: what reaches
+    the second verification doesn't grow with the square of the texts, and every link is found."""
+    found, linked = [], jaccard_join._linked
+
+    def spy(pairs, *rest):
+        found.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_linked", spy)
+    monkeypatch.setattr(jaccard_join, "CROWD", 16)
+    base = [f"t{i}" for i in range(100)]
+    for n in (300, 1200):
+        r = random.Random(5)
+        own = [r.choices([f"s{i}" for i in range(20)], k=14) for _ in range(n)]
+        rows = [(i, " ".join(base[:50] + w + base[50:])) for i, w in enumerate(own)]
+        rows += [(n + i, " ".join(base[:50] + own[i] + base[50:-1])) for i in range(0, n, 10)]  # without the last word
+        got = {x.doc_id: x.component_id for x in jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, num=90).collect()}
+        assert got == {i: i % n for i, _ in rows}
+        assert found[-1] <= n // 10 + n // 20
+
+
 def test_secrets_equal_brute_force(spark):
     rows = [*SECRETS, *((r.doc_id, r.text) for r in table(spark, SF, "documents").collect())]
     got = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()]

@@ -17,8 +17,10 @@ some near members of the pivot have; any set would do) describes each member A b
 D(A) of A and C. The difference of A and B has |D(A)| + |D(B)| tokens less two for each one the deltas share. So if
 A and B link, then either that sum alone is small enough, in which case both link to the member nearest to C by the
 same measure, or the deltas share a token within prefixes, at positions that leave room for as many more as a link
-needs. Members of one component need no comparison. So no link between components is lost, and the components are
-exact. (Shingles are told apart by 64-bit hashes, sets by 128-bit ones.)
+needs, of which those that stand next in both deltas are counted at once. Members of one component need no
+comparison. A list of members whose deltas share a token is paired if it is short; a crowded one gets a centre of its
+own and is searched in the same way, so that pairs don't grow with the square of its size (after LEVELS such rounds,
+it is paired in parts). So no link between components is lost, and the components are exact. (Shingles are told apart by 64-bit hashes, sets by 128-bit ones.)
 
 Null, empty and blank texts have no shingles and link with nothing. Rows with a null identifier link with nothing
 and have a null component. Repeated rows and copies share a component. Empty tables give empty results; other
@@ -49,6 +51,10 @@ PAIRS = 250
 SENT = 500_000
 #: a key of a join is heavy with more rows than HOT_ROWS and than a HOT_KEYS-th of all, so at most HOT_KEYS are
 HOT_ROWS, HOT_KEYS = 1000, 65_536
+#: members of a list of deltas above which it gets a centre of its own, and how often that is done
+CROWD, LEVELS = 64, 3
+#: tokens of a delta that are compared where two deltas meet
+NEXT = 8
 #: parts in which rows without a key are dealt
 KEYLESS = 4096
 
@@ -219,15 +225,16 @@ def _pivoted(lists: DataFrame, heavy: DataFrame) -> DataFrame:
 
 
 def _centres(members: DataFrame, sets: DataFrame, voters: int = 32) -> DataFrame:
-    """p, centre: the tokens that at least half of the pivot's nearer members have, asked of `voters` members at most.
+    """p, centre: the tokens that at least half of the nearer members have, asked of `voters` members at most; near
+    means near to the pivot or, in a list without one, to the first voter.
     Which set it is changes how many pairs are verified, not which links are found."""
     order = Window.partitionBy("p").orderBy((F.col("a") != F.col("p")), F.xxhash64("a", "p"), "a")
     asked = members.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= voters)
-    known = asked.join(sets.withColumnRenamed("node", "a"), "a").select("p", "a", "toks")
+    known = asked.join(sets.withColumnRenamed("node", "a"), "a").select("p", "place", "toks")
 
     def vote(key: tuple, rows: pa.Table) -> pa.Table:
         own = [np.array(x, np.int64) for x in rows["toks"].to_pylist()]
-        first = own[rows["a"].to_pylist().index(key[0].as_py())]
+        first = own[rows["place"].to_pylist().index(1)]
         near = [x for x in own if 4 * len(np.intersect1d(x, first, assume_unique=True)) >= len(x) + len(first)]
         toks, count = np.unique(np.concatenate(near), return_counts=True)
         centre = first if len(near) < 3 else toks[2 * count >= len(near)]
@@ -236,10 +243,24 @@ def _centres(members: DataFrame, sets: DataFrame, voters: int = 32) -> DataFrame
     return known.groupBy("p").applyInArrow(vote, "p long, centre array<long>")
 
 
+def _following(flat: np.ndarray, at: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """32 bits of each of the NEXT tokens after every place `at`, up to its end; null where two of them are the same."""
+    short = (flat & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+    count = np.minimum(NEXT, ends - at - 1)
+    offsets = np.concatenate([[0], np.cumsum(count)])
+    row = np.repeat(np.arange(len(at)), count)
+    own = short[at[row] + 1 + np.arange(len(row)) - offsets[row]]
+    order = np.lexsort((own, row))
+    twice = (np.diff(row[order]) == 0) & (np.diff(own[order]) == 0)
+    unclear = np.zeros(len(at), bool)
+    unclear[row[order][1:][twice]] = True
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(own, pa.int32()), mask=pa.array(unclear))
+
+
 def _deltas(members: DataFrame, sets: DataFrame, centres: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
-    """p, tok, a, n, size, pos: the prefix of every member's delta to its pivot's centre; the order has the tokens
-    outside the centre first, then the centre's, each by hash. size is the whole delta's, pos counts from 1; an empty
-    delta has one row without a token."""
+    """p, tok, a, n, size, pos, next: the prefix of every member's delta to its pivot's centre; the order has the tokens
+    outside the centre first, then the centre's, each by hash. size is the whole delta's, pos counts from 1, next has
+    the tokens that follow; an empty delta has one row without a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,18 +270,21 @@ def _deltas(members: DataFrame, sets: DataFrame, centres: DataFrame, heavy: Data
                 new, gone = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
                 n.append(len(x))
                 size.append(len(new) + len(gone))
-                toks.append(np.concatenate([new, gone])[: len(x) * (den - num) // num + 1] if size[-1] else np.zeros(1, np.int64))
-            count = np.array([len(t) for t in toks], np.int64)
+                toks.append(np.concatenate([new, gone])[: len(x) * (den - num) // num + 1 + NEXT] if size[-1] else np.zeros(1, np.int64))
+            n, size = np.array(n, np.int64), np.array(size, np.int64)
+            held = np.array([len(t) for t in toks], np.int64)
+            count = np.minimum(held, n * (den - num) // num + 1)
             row = np.repeat(np.arange(len(toks)), count)
             pos = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + 1
-            sizes, take = np.array(size, np.int64)[row], pa.array(row)
+            flat, ends = np.concatenate(toks) if toks else np.zeros(0, np.int64), np.cumsum(held)
+            at, sizes, take = (ends - held)[row] + pos - 1, size[row], pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("p").take(take), pa.array(np.concatenate(toks) if toks else [], pa.int64(), mask=sizes == 0), batch.column("a").take(take), pa.array(np.array(n, np.int64)[row]), pa.array(sizes), pa.array(pos, pa.int64())],
-                names=["p", "tok", "a", "n", "size", "pos"],
+                [batch.column("p").take(take), pa.array(flat[at], pa.int64(), mask=sizes == 0), batch.column("a").take(take), pa.array(n[row]), pa.array(sizes), pa.array(pos, pa.int64()), _following(flat, at, ends[row])],
+                names=["p", "tok", "a", "n", "size", "pos", "next"],
             )
 
     whole = _spread(members.join(sets.withColumnRenamed("node", "a"), "a"), centres, heavy, "p", "a")
-    return whole.select("p", "a", "toks", "centre").mapInArrow(run, "p long, tok long, a long, n long, size long, pos long")
+    return whole.select("p", "a", "toks", "centre").mapInArrow(run, "p long, tok long, a long, n long, size long, pos long, next array<int>")
 
 
 def _near_pairs(deltas: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
@@ -271,17 +295,52 @@ def _near_pairs(deltas: DataFrame, heavy: DataFrame, num: int, den: int) -> Data
     return found.select(F.least("a", "q").alias("a"), F.greatest("a", "q").alias("b")).distinct()
 
 
-def _delta_pairs(deltas: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of different components whose deltas to one pivot share a token where a link allows it."""
-    at = deltas.join(comps.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
-    ends = at.groupBy("p", "tok").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("p", "tok")
-    at = at.join(ends, ["p", "tok"], "left_semi")
-    other = at.select("p", "tok", *[F.col(k).alias(k + "2") for k in ("a", "n", "size", "pos", "comp")])
-    room = 2 * (den + num) * (1 + F.least(F.col("size") - F.col("pos"), F.col("size2") - F.col("pos2")))
-    fits = room >= (F.col("size") + F.col("size2")) * (den + num) - (den - num) * (F.col("n") + F.col("n2"))
+def _delta_pairs(at: DataFrame, lists: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components that stand in one of `lists` (list, count), where a link allows it.
+
+    Both have the list's token. Of the tokens after it, those that both have are among the next ones of both or lie
+    beyond the next ones of either.
+    """
+    cuts = F.ceil(F.col("count") / HOT_ROWS).cast("int").alias("cuts")
+    kept = _spread(at, lists.select("list", cuts), heavy, "list", "a")
+    names = ("list", "a", "n", "size", "pos", "next", "comp")
+    left = kept.select(*names, F.pmod(F.xxhash64("a"), F.col("cuts")).cast("int").alias("part"))
+    right = kept.select(*[F.col(k).alias(k + "2") for k in names], F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("part2"))
+    need = (F.col("size") + F.col("size2")) * (den + num) - (den - num) * (F.col("n") + F.col("n2"))
+    rest = lambda k: F.col("size" + k) - F.col("pos" + k)
+    fits = 2 * (den + num) * (1 + F.least(rest(""), rest("2"))) >= need
+    shared = F.size(F.array_intersect("next", "next2")) + F.greatest(F.lit(0), rest("") - NEXT, rest("2") - NEXT)
+    meet = F.coalesce(2 * (den + num) * (1 + shared) >= need, F.lit(True)) | F.col("next").isNull() | F.col("next2").isNull()
     sized = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
-    same = (at["p"] == other["p"]) & (at["tok"] == other["tok"])
-    return at.join(other, same & (F.col("a") < F.col("a2")) & (F.col("comp") != F.col("comp2")) & sized & fits).select("a", F.col("a2").alias("b")).distinct()
+    same = (F.col("list") == F.col("list2")) & (F.col("part") == F.col("part2"))
+    joined = left.join(right, same & (F.col("a") < F.col("a2")) & (F.col("comp") != F.col("comp2")) & sized & fits & meet)
+    return joined.select("a", F.col("a2").alias("b")).distinct()
+
+
+def _second_pairs(members: DataFrame, comps: DataFrame, tokens: DataFrame, scratch: Scratch, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of `members` (p, a) of lists with several components, enough to join all that links within a list."""
+    found = []
+    for level in range(LEVELS + 1):
+        crowded = _heavy(members.groupBy("p").count(), "p", members.count())
+        deltas = scratch.written(_deltas(members, tokens, _centres(members, tokens), crowded, num, den), "deltas", PAIRS)
+        at = deltas.filter("tok is not null").select(F.xxhash64("p", "tok").alias("list"), "a", "n", "size", "pos", "next")
+        at = at.join(comps.withColumnRenamed("node", "a"), "a", "left").withColumn("comp", F.coalesce("comp", "a"))
+        ends = at.groupBy("list").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("count"))
+        lists = scratch.written(ends.filter("low <> high").select("list", "count"), "ends")
+        heavy = _heavy(lists, "list", lists.agg(F.sum("count")).first()[0] or 0)
+        short = lists.filter(F.col("count") <= CROWD) if level < LEVELS else lists
+        pairs = _delta_pairs(at, short, heavy, num, den)
+        found.append(scratch.written(pairs.unionByName(_near_pairs(deltas, crowded, num, den)), f"pairs{level}"))
+        long = lists.filter(F.col("count") > CROWD)
+        if level == LEVELS or not long.limit(1).count():
+            break
+        again = _spread(at, long.select("list"), heavy, "list", "a", "left_semi").select(F.col("list").alias("p"), "a").distinct()
+        members = scratch.written(again, "members")
+    scratch.drop("members", "deltas", "ends")
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
 
 
 def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,12 +373,9 @@ def link_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     members = open_.select("p", F.col("node").alias("a"))
     members = scratch.written(members.unionByName(members.select("p", F.col("p").alias("a"))).distinct(), "members")
     scratch.drop("postings", "lists", "nodes", "heavy")
-    crowded = _heavy(members.groupBy("p").count(), "p", members.count())
-    tokens = sets.select("node", "toks")
-    deltas = scratch.written(_deltas(members, tokens, _centres(members, tokens), crowded, num, den), "deltas", PAIRS)
-    pairs = _delta_pairs(deltas, comps, num, den).unionByName(_near_pairs(deltas, crowded, num, den))
-    more = _linked(pairs.distinct(), sets, scratch, num, den)
-    scratch.drop("members", "deltas", "sets")
+    pairs = _second_pairs(members, comps, sets.select("node", "toks"), scratch, num, den)
+    more = _linked(pairs, sets, scratch, num, den)
+    scratch.drop("sets", *(n for n in list(scratch.paths) if n.startswith("pairs")))
     if more.limit(1).count():
         comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more), scratch)
     placed = reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
