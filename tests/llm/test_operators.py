@@ -308,6 +308,26 @@ def test_languages_of_many_letters_and_scripts(spark):
     assert all(odd[i].rejected for i in range(5)) and all(odd[i].lang_pred == "und" and odd[i].score == 0 for i in (2, 3, 4))
 
 
+def test_languages_of_few_documents(spark):
+    """One language of many documents, 30 of one each and one of ten: all are learned, also without identifiers, and new
+    texts of each alphabet are told apart; only junk is rejected."""
+    r = random.Random(6)
+    pools = {f"l{k:02}": [chr(0x4E00 + 40 * k + i) for i in range(20)] for k in range(32)}
+    say = lambda lang: " ".join("".join(r.choice(pools[lang]) for _ in range(r.randint(2, 5))) for _ in range(60))
+    rows = [(None if k % 2 else i, say(lang), lang) for lang, k, n in [("l00", 0, 200), ("l01", 1, 10), *[(f"l{k:02}", k, 1) for k in range(2, 32)]] for i in range(n)]
+    models = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert models.langs == sorted(pools) and set(models.bounds) == set(pools)
+    assert all(models.bounds[k] for k in pools)
+    new = [(k, say(lang)) for k, lang in enumerate(sorted(pools))] + [(99, "".join(chr(0x0400 + r.randint(0x30, 0x4F)) for _ in range(200)))]
+    got = {x.doc_id: x for x in language_id.identify(spark.createDataFrame(new, "doc_id long, text string"), models).collect()}
+    assert [got[k].lang_pred for k in range(32)] == sorted(pools)
+    assert not got[0].rejected and not got[1].rejected and got[99].rejected
+
+    alone = language_id.train(spark.createDataFrame([(0, "only these words", "aa")], "doc_id long, text string, lang string"))
+    assert alone.langs == ["aa"]
+    assert [x.lang_pred for x in language_id.identify(spark.createDataFrame([(1, "these words")], "doc_id long, text string"), alone).collect()] == ["aa"]
+
+
 def test_shards(spark):
     got = entries.op7_sharding(spark, SF).toPandas()
     sizes = got.groupby("shard").size()

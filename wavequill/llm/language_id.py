@@ -8,7 +8,9 @@ if its cross-entropy lies above a bound for texts of its length, calibrated on l
 fitted on, or if it has no letter.
 
 Training reads a bounded sample of the labelled rows (`per_lang` documents a language, drawn by a seeded hash of the
-identifier), of which every fifth calibrates. Every whole text is then predicted. Null texts and texts without letters
+identifier and the text), of which every fifth calibrates. Of a language of fewer than FEW documents all are fitted, and
+its bound comes from two halves, each scored by a model of the other; a language that has no bound of its own shares the
+highest of the others'. Every whole text is then predicted. Null texts and texts without letters
 are `und` with score 0. With no labelled row at all, everything is `und`. Ties go to the language first in code-point
 order. Rows repeat as in the input. Empty tables give empty results; other columns are ignored.
 """
@@ -21,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +33,10 @@ UND = "und"
 LETTER, MARK = 1, 2
 #: lengths in characters from which a bound of its own holds
 LENGTHS = (1, 16, 64, 256, 1024)
+#: documents of a language from which a part is left out of the fit
+FEW = 50
+#: the parts of the sample: two halves of languages of few documents; of others those that are fitted and those that calibrate
+HALF, OTHER_HALF, FITTED, CALIBRATES = range(4)
 #: odd numbers that tell the places of an n-gram's symbols apart
 STEPS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 #: bytes of the scores that a worker remembers
@@ -181,44 +188,66 @@ class LanguageModels:
 def train(docs: DataFrame, per_lang: int = 2000, seed: int = 42, quantile: float = 0.999, slack: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModels | None:
     """Models of the languages in `docs`, from about `per_lang` documents of each; None if there are none.
 
-    A fifth of the sample is left out of the fit and calibrates: a text is rejected if its cross-entropy lies `slack` nats
-    above the `quantile` of those of its language and length, or more than that for short texts.
+    A fifth of the sample is left out of the fit and calibrates (of few documents, halves do): a text is rejected if its
+    cross-entropy lies `slack` nats above the `quantile` of those of its language and length, or more than that for short
+    texts.
     """
     learn = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
     sizes = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}  # a row a language
     if not sizes:
         return None
     rate = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, per_lang / n))) for k, n in sizes.items()])
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30))
-    sample = learn.filter(drawn < rate * (1 << 30)).select("lang", "text", (F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(5)) == 0).alias("calibrates"))
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 30))
+    other = F.xxhash64(F.lit(seed + 1), "id", "text")
+    few = sorted(k for k, n in sizes.items() if n < FEW)
+    part = F.when(F.col("lang").isin(few), F.pmod(other, F.lit(2)) + HALF).when(F.pmod(other, F.lit(5)) == 0, CALIBRATES).otherwise(FITTED)
+    sample = learn.filter(drawn < rate * (1 << 30)).select("lang", "text", part.cast("int").alias("part"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own.setdefault(lang, []).append(symbols(text))
-            for lang, parts in own.items():
+            own: dict[tuple[str, int], list[np.ndarray]] = {}
+            for lang, text, part in zip(*(batch.column(k).to_pylist() for k in ("lang", "text", "part")), strict=True):
+                own.setdefault((lang, part), []).append(symbols(text))
+            for (lang, part), parts in own.items():
                 grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(s, ORDER) for s in parts if len(s)] or [np.zeros((0, ORDER), np.uint32)])
                 _, first, n = np.unique(hashes(grams), return_index=True, return_counts=True)
                 text = grams[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)], pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([part] * len(n), pa.int32()), pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)], pa.string()), pa.array(n, pa.int64())], names=["lang", "part", "gram", "n"])
 
-    fitted = sample.filter(~F.col("calibrates"))
-    counted = fitted.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
+    counted = sample.mapInArrow(count, "lang string, part int, gram string, n long").groupBy("lang", "part", "gram").agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
     if counted.empty:
         return None
-    counted = counted.sort_values(["lang", "gram"])
-    langs = sorted(counted["lang"].unique(), key=lambda x: x.encode())
-    grams = np.frombuffer("".join(counted["gram"]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
-    size = len(np.unique(grams)) + 1  # and one for all others
-    found = LanguageModels(langs, [KneserNey.fit(grams[own], counted["n"].to_numpy()[own], size) for own in ((counted["lang"] == k).to_numpy() for k in langs)])
-    known = _scored(sample.filter("calibrates"), found, ["lang"]).filter("lang = best").withColumn("bin", length_bin(F.col("n")))
+    size = len(np.unique(np.frombuffer("".join(counted["gram"]).encode("utf-32-le", "surrogatepass"), np.uint32))) + 1  # and one for all others
+
+    def fit(own: pd.DataFrame) -> KneserNey:
+        own = own.groupby("gram", as_index=False)["n"].sum().sort_values("gram")
+        grams = np.frombuffer("".join(own["gram"]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
+        return KneserNey.fit(grams, own["n"].to_numpy(), size)
+
+    found, halves = LanguageModels([], []), {HALF: {}, OTHER_HALF: {}}
+    for lang, own in sorted(counted.groupby("lang"), key=lambda x: x[0].encode()):
+        fitted = own[own["part"] != CALIBRATES]
+        found.langs.append(lang)
+        found.models.append(fit(fitted if len(fitted) else own))
+        for half, models in halves.items():
+            if (own["part"] == half).any() and (own["part"] == HALF + OTHER_HALF - half).any():
+                models[lang] = fit(own[own["part"] == half])
+    known = _scored(sample.filter(F.col("part") == CALIBRATES), found, ["lang"])
+    for half, models in halves.items():
+        if models:  # each half is scored beside all other languages by what the other half gives
+            apart = LanguageModels(found.langs, [models.get(k, m) for k, m in zip(found.langs, found.models, strict=True)])
+            rest = sample.filter((F.col("part") == HALF + OTHER_HALF - half) & F.col("lang").isin(sorted(models)))
+            known = known.unionByName(_scored(rest, apart, ["lang"]))
+    known = known.filter("lang = best").withColumn("bin", length_bin(F.col("n")))
     rows = known.groupBy("lang", "bin").agg(F.percentile("entropy", quantile).alias("q")).collect()  # a few a language
-    for lang in langs:
+    for lang in found.langs:
         own = {r["bin"]: r["q"] for r in rows if r["lang"] == lang}
         if own:  # shorter texts vary more: their bound is none lower than that of longer ones
             most = [max(q for b, q in own.items() if b >= min(i, max(own))) for i in range(len(LENGTHS))]
             found.bounds[lang] = [q + slack * (1 + 8 / n**0.5) for q, n in zip(most, LENGTHS, strict=True)]
+    if found.bounds:
+        highest = [max(x) for x in zip(*found.bounds.values(), strict=True)]
+        found.bounds = {k: found.bounds.get(k, highest) for k in found.langs}
     return found
 
 
