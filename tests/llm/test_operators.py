@@ -248,6 +248,20 @@ def test_sentence_pieces_match_the_library(spark):
         assert got[row.doc_id].ids == model.encode(row.text) and got[row.doc_id].round_trip
 
 
+def test_long_words_are_cut_where_no_piece_spans(monkeypatch):
+    from sentencepiece import SentencePieceProcessor
+
+    model, r = SentencePieceProcessor(model_file=entries.PIECE_MODEL), random.Random(3)
+    texts = ["".join(r.choice(letters) for _ in range(n)) for letters in ("etaoinshrdlu", "abcdefghijklmnopqrstuvwxyzXQZ059é", [chr(0x4E00 + i) for i in range(3000)], "a", "𝕏日b") for n in (257, 3000)]
+    m = sentence_pieces.Matcher(sentence_pieces.Vocabulary.load(entries.PIECE_MODEL))
+    assert [x.tolist() for x in m.encode_texts(texts)] == model.encode(texts)
+    assert max(map(len, m.apart(texts[5]))) < 100 and "".join(m.apart(texts[3])) == texts[3]
+    monkeypatch.setattr(sentence_pieces, "LONG", 1)  # every segment is cut
+    m = sentence_pieces.Matcher(sentence_pieces.Vocabulary.load(entries.PIECE_MODEL))
+    texts += ["The quick brown fox, it's 3.14 and naïve\n\tif x:  y", "▁▁ a ▁b"]
+    assert [x.tolist() for x in m.encode_texts(texts)] == model.encode(texts)
+
+
 def test_language_held_out(spark):
     lang = {r.doc_id: r.lang for r in table(spark, SF, "documents").collect()}
     got = [r for r in entries.op6_language_id(spark, SF).collect() if r.held_out]

@@ -8,7 +8,8 @@ fits the last piece before it, which gives exactly the merges' result (of all pi
 one is compatible with the encoding of what stands before it).
 
 Texts are cut before each space mark that follows another character; no piece spans such a place, so segments can be
-encoded apart and repeated ones once. Null texts give null ids, empty texts give none. Characters outside the
+encoded apart and repeated ones once. So are the parts of segments of more than LONG characters, which are cut wherever
+no piece holds the two characters that meet: no merge crosses such a place. Null texts give null ids, empty texts give none. Characters outside the
 vocabulary become bytes. Rows repeat as in the input; empty tables give empty results.
 """
 
@@ -30,6 +31,8 @@ SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NEVER = -(1 << 40)
 #: distinct segments that are remembered from batch to batch
 MEMO = 400_000
+#: characters of a segment above which it is cut within
+LONG = 256
 
 
 @dataclass
@@ -173,6 +176,8 @@ class Matcher:
         self.codes = np.zeros((len(self.ids), self.longest), np.int64)
         for k, i in enumerate(self.ids):
             self.codes[k, : self.length[k]] = np.frombuffer(v.pieces[i].encode("utf-32-le"), np.uint32)
+        ahead = [(self.codes[:, k] << 21 | self.codes[:, k + 1])[self.length > k + 1] for k in range(self.longest - 1)]
+        self.neighbours = np.unique(np.concatenate([np.zeros(0, np.int64), *ahead]))  # characters that meet in some piece
         n = len(v.pieces)
         self.rank = np.zeros(n + 1, np.int64)  # place in the order of merging
         self.rank[self.ids] = np.unique(-v.scores[self.ids], return_inverse=True)[1]
@@ -253,6 +258,13 @@ class Matcher:
             live[at[bad | ~(split_l | split_r)]] = False
         return good[inverse]
 
+    def apart(self, segment: str) -> list[str]:
+        """The parts of a segment between places that no piece spans."""
+        c = np.frombuffer(segment.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        cuts = 1 + np.flatnonzero(~np.isin(c[:-1] << 21 | c[1:], self.neighbours))
+        ends = [0, *cuts.tolist(), len(segment)]
+        return [segment[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
     def _forget(self) -> None:
         """Drops the segments that were met, which are encoded once."""
         self.table: dict[str, int] = {}
@@ -354,7 +366,10 @@ class Matcher:
             before = len(flat)
             if t:
                 marked = (SPACE + t if self.v.prefix else t).replace(" ", SPACE)
-                flat += [add(s, len(table)) for s in SEGMENT.findall(marked)]
+                segments = SEGMENT.findall(marked)
+                if max(map(len, segments)) > LONG:
+                    segments = [p for s in segments for p in (self.apart(s) if len(s) > LONG else [s])]
+                flat += [add(s, len(table)) for s in segments]
             counts.append(len(flat) - before)
         ids, sizes = self.encode(list(islice(table, old, None)))
         self.ends = np.concatenate([self.ends, len(self.store) + np.cumsum(sizes)])
