@@ -108,12 +108,24 @@ def with_ends(points: DataFrame, samples: DataFrame, keys: list[str], at: str, g
     return points.select(*keys, at, db).unionByName(missing.select(*keys, at, db))
 
 
-def interpolated(frames: DataFrame, points: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
-    """`value` of the points at the times of the frames: linear between neighbours, flat beyond the ends, 1 without points."""
-    both = frames.select(*keys, at, F.lit(None).cast("double").alias(value), F.lit(True).alias("asked")).unionByName(points.select(*keys, at, value, F.lit(False).alias("asked")))
+def interpolated(frames: DataFrame, points: DataFrame, keys: list[str], at: str, value: str, cell: float | None = None) -> DataFrame:
+    """`value` of the points at the times of the frames: linear between neighbours, flat beyond the ends, 1 without points.
+
+    With `cell`, scenes are cut into cells of that much time, each worked out apart with the points next to it; what a
+    task holds of a scene is a cell, and a row for every cell."""
+    span = F.floor(F.col(at) / cell) if cell else F.lit(0).cast("long")
+    both = frames.select(*keys, at, F.lit(None).cast("double").alias(value), F.lit(True).alias("asked")).unionByName(points.select(*keys, at, value, F.lit(False).alias("asked"))).withColumn("_cell", span)
     here = F.when(~F.col("asked"), F.struct(F.col(at).alias("t"), F.col(value).alias("v")))
-    so_far = lambda *order: F.last(here, True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    so_far = lambda *order: F.last(here, True).over(Window.partitionBy(*keys, "_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     # the next point is the last one seen when time runs backward; both passes grow by a row at a time
     near = both.withColumn("b", so_far(at, "asked")).withColumn("a", so_far(F.desc(at), F.desc("asked")))
+    if cell:
+        own = both.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_cell").alias("_c")).agg(F.max(here).alias("_last"), F.min(here).alias("_first"))
+        beyond = lambda point, order: F.last(point, True).over(Window.partitionBy(*[f"_{k}" for k in keys]).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+        ends = own.withColumn("_before", beyond("_last", F.asc("_c"))).withColumn("_after", beyond("_first", F.desc("_c"))).drop("_last", "_first")
+        same = F.col("_cell").eqNullSafe(F.col("_c"))
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        near = near.join(ends, same).withColumn("b", F.coalesce("b", "_before")).withColumn("a", F.coalesce("a", "_after"))
     inside = F.when(F.col("a.t") == F.col("b.t"), F.col("b.v")).otherwise(F.col("b.v") + (F.col("a.v") - F.col("b.v")) * (F.col(at) - F.col("b.t")) / (F.col("a.t") - F.col("b.t")))
     return near.filter("asked").select(*keys, at, F.coalesce(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), inside), "b.v", "a.v", F.lit(1.0)).alias(value))

@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 
 def normalised_times(events: DataFrame, keys: list[str], ts: str, duration: Column) -> DataFrame:
     """Times beyond the scene scale all of its times down to nine tenths of it; all stay within the scene. A null time is
-    0. Without a positive duration, and in scenes without any time, they stay as they are."""
-    top = F.max(ts).over(Window.partitionBy(*keys))
+    0. Without a positive duration, and in scenes without any time, they stay as they are. Rows meet their scene's largest
+    time in a join, so a scene of any size is split where joins are."""
+    tops = events.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(ts).alias("_top"))  # counted before the shuffle
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    top = F.col("_top")
     scaled = F.when(top <= duration, F.col(ts)).otherwise(F.col(ts) * 0.9 * duration / top)
     inside = F.least(F.greatest(scaled, F.lit(0.0)), F.greatest(F.lit(0.0), duration - 0.05))
-    return events.withColumn("at", F.when((duration > 0) & top.isNotNull(), inside).otherwise(F.col(ts)))
+    timed = events.join(tops, same).withColumn("at", F.when((duration > 0) & top.isNotNull(), inside).otherwise(F.col(ts)))
+    return timed.drop("_top", *[f"_{k}" for k in keys])
 
 
 def _level(bucket: int) -> Column:

@@ -117,7 +117,7 @@ def j13_interpolated(t):
     e = _events(t)
     points = e.filter("event_type = 'purchase'").groupBy("user_id", "s").agg(F.max("x").alias("x"))
     frames = e.select("user_id").distinct().withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2505600).cast("long"), F.lit(86400).cast("long"))))
-    return envelopes.interpolated(frames, points, ["user_id"], "s", "x").withColumn("x", F.round("x", 6))
+    return envelopes.interpolated(frames, points, ["user_id"], "s", "x", 86_400.0).withColumn("x", F.round("x", 6))
 
 
 @query(f"""WITH {_E}, q AS (SELECT user_id, s // 86400 AS block, CAST(round_even(x * 32768 / 8, 0) AS INTEGER) AS q FROM e) SELECT user_id, block, CAST(sum(q) AS BIGINT) AS mix, abs(sum(q)) <= 32767 AS fits FROM q GROUP BY ALL""")
