@@ -51,8 +51,9 @@ PAIRS = 250
 SENT = 500_000
 #: a key of a join is heavy with more rows than HOT_ROWS and than a HOT_KEYS-th of all, so at most HOT_KEYS are
 HOT_ROWS, HOT_KEYS = 1000, 65_536
-#: members of a list of deltas above which it gets a centre of its own, and how often that is done
-CROWD, LEVELS = 64, 3
+#: members of a list of deltas above which it gets a centre of its own, and how often that is done. A member of a new list
+#: costs a fetch of its set and a delta, far more than a pair that is compared where the list is joined
+CROWD, LEVELS = 256, 3
 #: tokens of a delta that are compared where two deltas meet
 NEXT = 8
 #: parts in which rows without a key are dealt
