@@ -33,3 +33,10 @@ def test_roll_up(reports):
     assert (r.lufs_min, r.lufs_max, r.peak_max, r.additivity_max) == (-35.1, -9.9, 0.1, 1e-3)
     empty = levels.report_roll_up(reports.limit(0)).first()
     assert (empty.total, empty.pass_rate, empty.error_counts, empty.lufs_mean) == (0, 0.0, {}, None)
+
+
+def test_a_sample_that_is_no_number_ends_a_run_of_zeros(spark):
+    nan = float("nan")
+    rows = [("a", 0, [1.0, 0.0, 0.0], [0.0, 0.0, 0.0]), ("a", 3, [0.0, nan, 0.0], [0.0, 0.0, 0.0]), ("b", 0, [0.0, 0.0, 0.0], [0.0, nan, 0.0]), ("c", 0, [0.0, 0.0], [0.0, 0.0])]
+    blocks = spark.createDataFrame(rows, "k string, start long, left array<double>, right array<double>")
+    assert {r.k: r.longest for r in levels.longest_quiet(blocks, ["k"]).collect()} == {"a": 3, "b": 1, "c": 2}

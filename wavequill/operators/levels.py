@@ -122,7 +122,7 @@ def duration_spread(files: DataFrame, scene: list[str], n: str = "n", most: int
 
 def quiet_runs(blocks: DataFrame, keys: list[str], values: tuple[str, ...], floor: float = 1e-8) -> DataFrame:
     """keys, start and, of each block, n and the leading, trailing and longest run of samples that are below `floor` on all
-    channels: what runs across blocks can be put together from."""
+    channels (what is no number is not): what runs across blocks can be put together from."""
     at = [*keys, "start"]
     named = ["n", "lead", "trail", "best"]
 
@@ -130,7 +130,7 @@ def quiet_runs(blocks: DataFrame, keys: list[str], values: tuple[str, ...], floo
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
-                loud = np.any([np.abs(batch.column(v)[i].values.to_numpy(zero_copy_only=False).astype(float)) >= floor for v in values], axis=0)
+                loud = ~np.all([np.abs(batch.column(v)[i].values.to_numpy(zero_copy_only=False).astype(float)) < floor for v in values], axis=0)
                 places = np.flatnonzero(loud)
                 gaps = np.diff([-1, *places, len(loud)]) - 1
                 rows.append((len(loud), int(gaps[0]), int(gaps[-1]), int(gaps.max())))
