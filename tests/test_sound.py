@@ -3,6 +3,8 @@
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from wavequill.operators import blocks, chains, levels, loudness
@@ -182,3 +184,24 @@ def test_no_blocks(spark):
     none = spark.createDataFrame([], "scene string, start long, left array<double>, right array<double>")
     frames = [chains.process_stems(none, ["scene"], 4000, 64, CHAIN), chains.master(none, ["scene"], 4000, 64), chains.to_loudness(none, "scene", 4000, 64), levels.longest_quiet(none, ["scene"]), loudness.integrated_loudness(none, ["scene"], 4000, 64)]
     assert [f.count() for f in frames] == [0] * 5
+
+
+def test_convolution_moves_the_signal_twice_at_most(noises):
+    """Responses of several spans' blocks and of one tap, by a column; rows are dealt to two spans at most."""
+    found, df = noises
+    rng = np.random.default_rng(6)
+    rooms = {"long": rng.standard_normal(3000), "short": rng.standard_normal(1)}
+    both = df.crossJoin(df.sparkSession.createDataFrame([(k,) for k in (*rooms, "none")], "room string"))
+    got = blocks.convolved(both, ["scene", "room"], rooms, 64, ("left", "right"), "room")
+    for room, h in rooms.items():
+        for k, x in whole(got.filter(f"room = '{room}'")).items():
+            assert len(x) == len(found[k]) and np.allclose(x, np.convolve(found[k], h)[: len(x)], atol=1e-9)
+    assert got.filter("room = 'none'").count() == 0
+    assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()  # no products gathered by block and lag
+
+
+def test_parts_of_a_batch_are_bounded():
+    batch = pa.RecordBatch.from_arrays([pa.array([np.zeros(n) for n in [4096] * 300 + [0, 1, blocks.PART * 2, 3]], pa.list_(pa.float64()))], names=["left"])
+    cuts = list(blocks.parts(batch, ("left",)))
+    assert pa.Table.from_batches(cuts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows == 1 or pa.compute.sum(p.column("left").value_lengths()).as_py() <= blocks.PART for p in cuts)

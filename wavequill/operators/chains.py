@@ -52,25 +52,26 @@ def _answers(b: tuple[float, ...], a: tuple[float, ...], block: int) -> tuple[np
 
 
 def filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, state: np.ndarray, block: int = 96) -> tuple[np.ndarray, np.ndarray]:
-    """A second-order filter from a state on, and the state after it: parts of the signal are one matrix product, then each
-    adds the answer to the state it starts in."""
-    n = len(x)
-    if not n:
-        return np.zeros(0), state
+    """A second-order filter from a state on, and the state after it, for a signal or for every row of a matrix (with a row of
+    states each): parts of the signals are one matrix product, then each adds the answer to the state it starts in."""
+    n = x.shape[-1]
+    if not x.size:
+        return np.zeros(x.shape), state
+    many = x.size // n
     block = min(block, n)
     outputs, left, rest, whole = _answers(tuple(b.tolist()), tuple(a.tolist()), block)
     rows = -(-n // block)
-    u = np.zeros(rows * block)
-    u[:n] = x
-    u = u.reshape(rows, block).T
-    ends, begins = left @ u, np.empty((2, rows))
-    begin = state
+    u = np.zeros((many, rows * block))
+    u[:, :n] = x.reshape(many, n)
+    u = u.reshape(many * rows, block).T
+    ends, begins = (left @ u).reshape(2, many, rows), np.empty((2, many, rows))
+    begin = state.reshape(many, 2).T
     for k in range(rows):
-        begins[:, k] = begin
-        begin = whole @ begin + ends[:, k]
-    y = (outputs @ u + rest @ begins).T.ravel()[:n]
-    before = b[2] * x[-2] - a[2] * y[-2] if n > 1 else state[1]
-    return y, np.array([b[1] * x[-1] - a[1] * y[-1] + before, b[2] * x[-1] - a[2] * y[-1]])
+        begins[:, :, k] = begin
+        begin = whole @ begin + ends[:, :, k]
+    y = (outputs @ u + rest @ begins.reshape(2, -1)).T.reshape(many, rows * block)[:, :n].reshape(x.shape)
+    before = b[2] * x[..., -2] - a[2] * y[..., -2] if n > 1 else state[..., 1]
+    return y, np.stack([b[1] * x[..., -1] - a[1] * y[..., -1] + before, b[2] * x[..., -1] - a[2] * y[..., -1]], axis=-1)
 
 
 def biquad(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
@@ -98,12 +99,12 @@ class Filters:
     def both(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = []
         for k, (b, a) in enumerate(self.designs):
-            x, end = filtered(x, np.array(b), np.array(a), state[2 * k : 2 * k + 2])
+            x, end = filtered(x, np.array(b), np.array(a), state[..., 2 * k : 2 * k + 2])
             ends.append(end)
-        return x, np.concatenate([*ends, np.zeros(0)])
+        return x, np.concatenate([*ends, np.zeros((*x.shape[:-1], 0))], axis=-1)
 
     def summary(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return _power(self, len(x)), self.both(x, self.first())[1]
+        return np.broadcast_to(_power(self, x.shape[-1]), (len(x), self.size, self.size)), self.both(x, np.zeros((len(x), self.size)))[1]
 
     def run(self, x: np.ndarray, state: np.ndarray) -> np.ndarray:
         return self.both(x, state)[0]
@@ -138,10 +139,10 @@ class Compressor:
 
     def summary(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         c, d = self._terms(x)
-        return np.array([[np.prod(c)]]), affine_scan(c, d, 0.0)[-1:] if len(x) else np.zeros(1)
+        return np.prod(c, axis=1)[:, None, None], affine_scan(c, d, 0.0)[:, -1:] if x.size else np.zeros((len(x), 1))
 
     def run(self, x: np.ndarray, state: np.ndarray) -> np.ndarray:
-        return x * 10 ** (-affine_scan(*self._terms(x), state[0]) / 20)
+        return x * 10 ** (-affine_scan(*self._terms(x), state[..., 0]) / 20)
 
 
 @dataclass(frozen=True)
@@ -165,10 +166,10 @@ class Sidechain:
 
     def summary(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         c, d = self._terms(x)
-        return np.array([[np.prod(c)]]), affine_scan(c, d, 0.0)[-1:] if len(x) else np.zeros(1)
+        return np.prod(c, axis=1)[:, None, None], affine_scan(c, d, 0.0)[:, -1:] if x.size else np.zeros((len(x), 1))
 
     def run(self, x: np.ndarray, state: np.ndarray) -> np.ndarray:
-        return affine_scan(*self._terms(x), state[0])
+        return affine_scan(*self._terms(x), state[..., 0])
 
 
 def compressed(x: np.ndarray, rate: float, threshold: float = -20.0, ratio: float = 2.0, attack: float = 10.0, release: float = 100.0) -> np.ndarray:
@@ -182,19 +183,20 @@ def look_ahead(rate: float, seconds: float = 0.005) -> int:
 
 
 def limited_part(x: np.ndarray, begin: int, end: int, size: int, ceiling_db: float) -> np.ndarray:
-    """x[begin:end] with no sample above the ceiling: the least gain needed in a window, averaged over a window, never exceeds
-    the own need. x holds size - 1 more samples on both sides, or fewer where the signal begins or ends."""
-    ceiling = 10 ** (ceiling_db / 20)
+    """x[begin:end], of a signal or of every row of a matrix, with no sample above the ceiling: the least gain needed in a window,
+    averaged over a window, never exceeds the own need. x holds size - 1 more samples on both sides, or fewer where the signal
+    begins or ends."""
+    ceiling, n = 10 ** (ceiling_db / 20), x.shape[-1]
     need = np.minimum(1.0, ceiling / np.maximum(np.abs(x), 1e-12))
-    need = np.concatenate([np.ones(size - 1 - begin), need, np.ones(size - 1 - (len(x) - end))])
+    need = np.concatenate([np.ones((*x.shape[:-1], size - 1 - begin)), need, np.ones((*x.shape[:-1], size - 1 - (n - end)))], axis=-1)
     width = 1
     while width < size:  # least of the next `size` samples, doubling the width
         by = min(width, size - width)
-        need = np.minimum(need[: len(need) - by], need[by:])
+        need = np.minimum(need[..., : need.shape[-1] - by], need[..., by:])
         width += by
-    total = np.concatenate([[0.0], np.cumsum(need)])
-    gain = (total[size:] - total[:-size]) / size
-    return np.clip(x[begin:end] * gain[: end - begin], -ceiling, ceiling)  # the clip only removes rounding
+    total = np.concatenate([np.zeros((*x.shape[:-1], 1)), np.cumsum(need, axis=-1)], axis=-1)
+    gain = (total[..., size:] - total[..., :-size]) / size
+    return np.clip(x[..., begin:end] * gain[..., : end - begin], -ceiling, ceiling)  # the clip only removes rounding
 
 
 def limited(x: np.ndarray, rate: float, ceiling_db: float, seconds: float = 0.005) -> np.ndarray:

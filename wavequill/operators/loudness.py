@@ -31,27 +31,27 @@ def k_weighted(x: np.ndarray, rate: float) -> np.ndarray:
     return own.run(x, own.first())
 
 
+def _by_hop(batch: pa.RecordBatch, keys: list[str], step: int, own: Filters, values: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """keys, hop, power, n of a batch of blocks with states."""
+    found = B.ran(batch, own, values)
+    y, sizes = sum(x.flat**2 for x in found), found[0].sizes
+    if not len(y):
+        return
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    hops = (np.repeat(batch.column("start").to_numpy() - found[0].begins, sizes) + np.arange(len(y))) // step
+    cuts = np.flatnonzero(np.concatenate([[True], (np.diff(rows) != 0) | (np.diff(hops) != 0)]))
+    take = pa.array(rows[cuts], pa.int64())
+    yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in keys), pa.array(hops[cuts], pa.int64()), pa.array(np.add.reduceat(y, cuts), pa.float64()), pa.array(np.diff([*cuts, len(y)]), pa.int64())], names=[*keys, "hop", "power", "n"])
+
+
 def hop_powers(blocks: DataFrame, keys: list[str], rate: float, step: int, values: tuple[str, ...] = SIDES) -> DataFrame:
     """keys, hop, power (the sum of squares after weighting, of all channels) and n, for every `step` samples. Blocks are read
     twice: let them be a table."""
     at, own = [*keys, "start"], weighting(rate)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, hops, powers, counts = [], [], [], []
-            for i in range(batch.num_rows):
-                y = sum(own.run(B.samples(batch, v, i), np.array(batch.column("state")[i][k].as_py())) ** 2 for k, v in enumerate(values))
-                if not len(y):
-                    continue
-                start = batch.column("start")[i].as_py()
-                numbers = np.arange(start // step, (start + len(y) - 1) // step + 1)
-                cuts = np.maximum(numbers * step - start, 0)
-                rows += [i] * len(numbers)
-                hops += numbers.tolist()
-                powers += np.add.reduceat(y, cuts).tolist()
-                counts += np.diff([*cuts, len(y)]).tolist()
-            take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in keys), pa.array(hops, pa.int64()), pa.array(powers, pa.float64()), pa.array(counts, pa.int64())], names=[*keys, "hop", "power", "n"])
+        for batch in (part for whole in batches for part in B.parts(whole, values)):
+            yield from _by_hop(batch, keys, step, own, values)
 
     states = B.with_states(blocks.select(*at, *values), keys, own, values)
     parts = states.mapInArrow(work, (B.kinds(blocks, keys) + ", " if keys else "") + "hop long, power double, n long")
@@ -72,28 +72,46 @@ def level(z: Column) -> Column:
     return F.when(z > 0, OFFSET + 10 * F.log10(z))
 
 
-def peak_between(x: np.ndarray, begin: int, end: int, times: int = 4, half: int = 12) -> float:
-    """The largest magnitude of x[begin:end] and of `times` - 1 points after each, by a windowed sinc. x holds `half` more samples on
-    both sides, or fewer where the signal begins or ends."""
-    peak = float(np.abs(x[begin:end]).max(initial=0.0))
+def peak_between(x: np.ndarray, begin: int, end: int, times: int = 4, half: int = 12) -> np.ndarray:
+    """The largest magnitude of x[begin:end] and of `times` - 1 points after each, by a windowed sinc; for a signal, or for every row
+    of a matrix. x holds `half` more samples on both sides, or fewer where the signal begins or ends."""
+    peak = np.abs(x[..., begin:end]).max(axis=-1, initial=0.0)
     if end == begin:
         return peak
-    padded = np.concatenate([np.zeros(half - begin), x, np.zeros(half - (len(x) - end))])
+    padded = np.concatenate([np.zeros((*x.shape[:-1], half - begin)), x, np.zeros((*x.shape[:-1], half - (x.shape[-1] - end)))], axis=-1)
     k = np.arange(-half, half + 1)
     for i in range(1, times):
         at = k - i / times
-        peak = max(peak, float(np.abs(np.convolve(padded, np.sinc(at) * np.cos(np.pi * at / (2 * half + 2)) ** 2, "valid")).max()))
+        taps = np.sinc(at) * np.cos(np.pi * at / (2 * half + 2)) ** 2
+        between = sum(w * padded[..., j : j + end - begin] for j, w in enumerate(taps[::-1]))
+        peak = np.maximum(peak, np.abs(between).max(axis=-1))
     return peak
 
 
 def oversampled_peak(x: np.ndarray, times: int = 4, half: int = 12) -> float:
-    return peak_between(x, 0, len(x), times, half)
+    return float(peak_between(x, 0, len(x), times, half))
 
 
 def true_peaks(blocks: DataFrame, keys: list[str], block: int, values: tuple[str, ...] = SIDES, half: int = 12) -> DataFrame:
     """keys, true_peak: of every scene's channels. Blocks are read twice."""
-    peaks = B.windowed(blocks, keys, half, half, block, values, lambda x, begin, end: np.array([peak_between(x, begin, end)]))
-    return peaks.groupBy(*keys).agg(F.max(F.greatest(*[F.element_at(v, 1) for v in values], F.lit(0.0))).alias("true_peak"))
+    at = [*keys, "start"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in B.parts(whole, values)):
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(_peaks(batch, values), pa.float64())], names=[*keys, "peak"])
+
+    haloed = B.with_halo(blocks.select(*at, *values), keys, half, half, block, values)
+    peaks = haloed.mapInArrow(work, (B.kinds(blocks, keys) + ", " if keys else "") + "peak double")
+    return peaks.groupBy(*keys).agg(F.max("peak").alias("true_peak"))
+
+
+def _peaks(batch: pa.RecordBatch, values: tuple[str, ...]) -> np.ndarray:
+    """The true peak of every block of a batch with halo."""
+    peak = np.zeros(batch.num_rows)
+    for v in values:
+        for rows, x, begin, end in B.around(batch, v):
+            peak[rows] = np.maximum(peak[rows], peak_between(x, begin, end))
+    return peak
 
 
 def gated_loudness(blocks: DataFrame, keys: list[str], z: str = "z", floor: float = -70.0) -> DataFrame:
