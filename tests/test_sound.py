@@ -205,3 +205,21 @@ def test_parts_of_a_batch_are_bounded():
     cuts = list(blocks.parts(batch, ("left",)))
     assert pa.Table.from_batches(cuts).equals(pa.Table.from_batches([batch]))
     assert all(p.num_rows == 1 or pa.compute.sum(p.column("left").value_lengths()).as_py() <= blocks.PART for p in cuts)
+
+
+@pytest.mark.parametrize("n", [1, 7, 16, 300])
+def test_rows_of_a_matrix_are_signals_of_their_own(n):
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((5, n))
+    filters = chains.Filters.of(chains.high_pass(80, 4000), chains.high_shelf(1200, -3, 4000))
+    for own in (filters, chains.Compressor(4000), chains.Sidechain(0.5, 0.25, 0.9, 0.99)):
+        state = rng.random((5, own.size))
+        m, o = own.summary(x)
+        assert np.allclose(own.run(x, state), [own.run(a, s) for a, s in zip(x, state, strict=True)])
+        assert all(np.allclose(m[i], own.summary(x[i : i + 1])[0][0]) and np.allclose(o[i], own.summary(x[i : i + 1])[1][0]) for i in range(5))
+        half = n // 2  # what is left after the first half is where the second goes on
+        middle = np.einsum("rij,rj->ri", own.summary(x[:, :half])[0], state) + own.summary(x[:, :half])[1]
+        assert np.allclose(own.run(x[:, half:], middle), own.run(x, state)[:, half:])
+    wide = np.pad(x, ((0, 0), (2, 3)))
+    assert np.allclose(chains.limited_part(wide, 2, 2 + n, 4, -6.0), [chains.limited_part(w, 2, 2 + n, 4, -6.0) for w in wide])
+    assert np.allclose(loudness.peak_between(wide, 2, 2 + n), [loudness.peak_between(w, 2, 2 + n) for w in wide])
