@@ -8,10 +8,12 @@ functions on arrays say what one signal becomes. The designs are the public text
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -297,19 +299,34 @@ def limit(blocks: DataFrame, keys: list[str], rate: float, block: int, ceiling_d
 
 
 def master(blocks: DataFrame, keys: list[str], rate: float, block: int, values: tuple[str, ...] = SIDES) -> DataFrame:
-    """Every scene's mix through the mastering dynamics."""
-    rows = kept(gained(blocks.select(*keys, F.col("start").cast("long").alias("start"), *values), F.lit(MASTER_GAIN), values))
+    """Every scene's mix through the mastering dynamics. Blocks are read twice: let them be a table, or cheap to make."""
+    rows = gained(blocks.select(*keys, F.col("start").cast("long").alias("start"), *values), F.lit(MASTER_GAIN), values)
     return limit(kept(B.scanned(rows, keys, Compressor(rate, **MASTER), values)), keys, rate, block, MASTER_CEILING, values)
 
 
 def to_loudness(blocks: DataFrame, key: str, rate: int, block: int, target: float = -27.0, ceiling: float = -2.0, spread: float = 1.0, values: tuple[str, ...] = SIDES) -> DataFrame:
     """Every scene at the target loudness, moved by a draw within `spread`; those whose true peak would pass the ceiling are
-    limited. Silent scenes keep their level."""
+    limited. Silent scenes keep their level. The signal is written once, and moved once to be measured and once to be changed."""
     from wavequill.operators.loudness import integrated_loudness
     from wavequill.operators.signals import loudness_fit
 
+    at, size = [key, "start"], look_ahead(rate)
     rows = kept(blocks.select(key, F.col("start").cast("long").alias("start"), *values))
     fit = loudness_fit(integrated_loudness(rows, [key], rate, block, values, floor=float("-inf")), key, target, ceiling, spread)
-    moved = kept(gained(rows.join(fit.select(key, "gain_db", "limits"), key), F.col("gain_db"), values).drop("gain_db"))
-    at = [key, "start", *values]
-    return moved.filter(~F.col("limits")).select(at).unionByName(limit(moved.filter("limits"), [key], rate, block, ceiling, values).select(at))
+    asked = rows.select(*at).join(fit.select(key, F.pow(F.lit(10.0), F.col("gain_db") / 20).alias("_gain"), "limits"), key)  # a row a block
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in B.parts(whole, values)):
+            gain, limits, arrays = batch.column("_gain").to_numpy(), batch.column("limits").to_numpy(zero_copy_only=False), []
+            for v in values:
+                x = B.Rows(batch.column(v))
+                for rows, around, begin, end in B.around(batch, v):
+                    loud = around * gain[rows][:, None]
+                    x.put(rows, loud[:, begin:end])
+                    if limits[rows].any():
+                        x.put(rows[limits[rows]], limited_part(loud[limits[rows]], begin, end, size, ceiling))
+                arrays.append(B.listed(x.flat, x.sizes))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in at), *arrays], names=[*at, *values])
+
+    haloed = B.with_halo(rows, [key], size - 1, size - 1, block, values, asked)
+    return haloed.mapInArrow(moved, B.kinds(rows, at) + "".join(f", `{v}` array<double>" for v in values))

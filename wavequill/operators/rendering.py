@@ -98,7 +98,7 @@ def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: d
         own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), settings, rate, block, gains), block)
         sfx = processed_stems(sfx_stem(scenes, sounds, block), settings, rate, block, gains)
         whole = own.unionByName(sfx)
-        found[name] = Rendered(whole, chains.master(signals.mix_bus(whole, KEYS, rate, ducks), KEYS, rate, block))
+        found[name] = Rendered(whole, chains.master(kept(signals.mix_bus(whole, KEYS, rate, ducks)), KEYS, rate, block))
     if "linear" not in versions:
         return found, failures
     own = kept(_full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), final, rate, block, gains), block))
@@ -145,4 +145,4 @@ def plain_mix(stems: DataFrame, events: DataFrame, rate: int, block: int, gains:
     whole = parts[0].select(*KEYS, "start", *signals.SIDES)
     for p in parts[1:]:
         whole = whole.unionByName(p.select(*KEYS, "start", *signals.SIDES))
-    return chains.master(signals.placed(whole, KEYS, block), KEYS, rate, block)
+    return chains.master(kept(signals.placed(whole, KEYS, block)), KEYS, rate, block)

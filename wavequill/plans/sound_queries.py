@@ -17,9 +17,11 @@ ONE = ("left",)
 
 
 def _tones(t) -> DataFrame:
-    """A scene per user in blocks of one channel: every event sounds for a while, as loud as its value."""
+    """A scene per user in blocks of one channel: every event sounds for a while, as loud as its value. A block's values are kept,
+    their tones are made where they are read."""
     ranked = _events(t).select("user_id", "x", (F.row_number().over(Window.partitionBy("user_id").orderBy("s", "event_id")) - 1).alias("k"))
     each = ranked.groupBy("user_id", F.floor(F.col("k") * TONE_SAMPLES / TONE_BLOCK).alias("b")).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("v"))
+    each = kept(each)
     tone = F.flatten(F.transform("v", lambda e: F.transform(F.sequence(F.lit(0), F.lit(TONE_SAMPLES - 1)), lambda i: e["x"] * F.sin(i * 0.7))))
     return each.select("user_id", (F.col("b") * TONE_BLOCK).cast("long").alias("start"), tone.alias("left"))
 
