@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wavequill.functions import scalars as S
 from wavequill.operators import levels, signals
 from wavequill.plans.queries import _E, _HASH, _events, query
+from wavequill.storage import kept
 
 #: samples of a block of the signals below
 BLOCK = 16
@@ -41,7 +42,7 @@ def p10_to_length(t):
 
 @query(f"WITH {_P} SELECT user_id, pos, round(CASE WHEN n > 60 THEN x * {_FADE(60, 8)} ELSE x END, 6) AS x FROM p JOIN n USING (user_id) WHERE pos < 60 OR n <= 60")
 def p11_trimmed(t):
-    return _long(signals.trimmed(_blocks(_samples(t)), ["user_id"], 0.375, 160))
+    return _long(signals.trimmed(kept(_blocks(_samples(t))), ["user_id"], 0.375, 160))
 
 
 @query(f"""WITH {_P}, w AS (SELECT user_id, n, unnest(range(0, 68)) AS pos FROM n) SELECT w.user_id, w.pos, round(p.x * CASE WHEN n = 68 THEN 1 ELSE {_FADE(68, 15).replace("pos", "w.pos")} END, 6) AS x FROM w JOIN p ON p.user_id = w.user_id AND p.pos = w.pos % n""")
