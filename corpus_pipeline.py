@@ -46,6 +46,9 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("language ID", known_languages), ("exact dedup", without_copies), ("n-gram Jaccard join", without_near_copies), ("mixing", mixed_sources), ("SentencePiece", encoded),
 ]
 
+#: documents that a stage's Python gets at once (10000 by default, with their whole texts on both sides)
+ARROW_BATCH = 1000
+
 #: a language model's decisions are not SQL; the stages are tested against brute force
 ORACLE_SQL = None
 
@@ -53,5 +56,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "stage-" + "".join(c if c.isalnum() else "-" for c in name))
+        docs = written(stage(spark, docs, sf_dir), "stage-" + "".join(c if c.isalnum() else "-" for c in name), arrow_rows=ARROW_BATCH)
     return docs

@@ -41,6 +41,8 @@ HALF, OTHER_HALF, FITTED, CALIBRATES = range(4)
 STEPS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 #: bytes of the scores that a worker remembers
 MEMORY = 32 << 20
+#: symbols that are scored or counted at once
+PART = 1 << 17
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -178,7 +180,7 @@ class LanguageModels:
             if t and len(s := symbols(t)):
                 part.append((i, s))
                 held += len(s)
-                if held > 1 << 20:
+                if held > PART:
                     flush()
                     held = 0
         flush()
@@ -203,16 +205,24 @@ def train(docs: DataFrame, per_lang: int = 2000, seed: int = 42, quantile: float
     part = F.when(F.col("lang").isin(few), F.pmod(other, F.lit(2)) + HALF).when(F.pmod(other, F.lit(5)) == 0, CALIBRATES).otherwise(FITTED)
     sample = learn.filter(drawn < rate * (1 << 30)).select("lang", "text", part.cast("int").alias("part"))
 
+    def grams_of(lang: str, part: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(s, ORDER) for s in parts if len(s)] or [np.zeros((0, ORDER), np.uint32)])
+        _, first, n = np.unique(hashes(grams), return_index=True, return_counts=True)
+        text = grams[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([part] * len(n), pa.int32()), pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)], pa.string()), pa.array(n, pa.int64())], names=["lang", "part", "gram", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own: dict[tuple[str, int], list[np.ndarray]] = {}
+            held: dict[tuple[str, int], int] = {}
             for lang, text, part in zip(*(batch.column(k).to_pylist() for k in ("lang", "text", "part")), strict=True):
                 own.setdefault((lang, part), []).append(symbols(text))
+                held[lang, part] = held.get((lang, part), 0) + len(own[lang, part][-1])
+                if held[lang, part] > PART:
+                    yield grams_of(lang, part, own.pop((lang, part)))
+                    held[lang, part] = 0
             for (lang, part), parts in own.items():
-                grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(s, ORDER) for s in parts if len(s)] or [np.zeros((0, ORDER), np.uint32)])
-                _, first, n = np.unique(hashes(grams), return_index=True, return_counts=True)
-                text = grams[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([part] * len(n), pa.int32()), pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)], pa.string()), pa.array(n, pa.int64())], names=["lang", "part", "gram", "n"])
+                yield grams_of(lang, part, parts)
 
     counted = sample.mapInArrow(count, "lang string, part int, gram string, n long").groupBy("lang", "part", "gram").agg(F.sum("n").alias("n")).toPandas()  # bounded by the sample
     if counted.empty:
@@ -256,15 +266,16 @@ def length_bin(n: Column) -> Column:
     return sum(((n >= k).cast("int") for k in LENGTHS[1:]), F.lit(0))
 
 
-def _scored(docs: DataFrame, models: LanguageModels, keep: list[str]) -> DataFrame:
-    """`keep` and best, entropy, n (characters), score for the column text."""
+def _scored(docs: DataFrame, models: LanguageModels, keep: list[str], inside: str | None = None) -> DataFrame:
+    """`keep` and best, entropy, n (characters), score for the column text, or for that field (`inside`) of the column row."""
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the training sample
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         names = np.array([*m.langs, UND], object)
         for batch in batches:
-            h, n = m.entropies(batch.column("text").to_pylist())
+            texts = batch.column("row").field(inside) if inside else batch.column("text")
+            h, n = m.entropies(texts.to_pylist())
             bad = n == 0
             h[bad] = 0.0
             best = np.argmin(h, axis=1)
@@ -273,7 +284,7 @@ def _scored(docs: DataFrame, models: LanguageModels, keep: list[str]) -> DataFra
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(names[np.where(bad, len(m.langs), best)], pa.string()), pa.array(entropy, pa.float64(), mask=bad), pa.array(n, pa.int64()), pa.array(score, pa.float64())], names=[*keep, "best", "entropy", "n", "score"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return docs.select(*keep, "text").mapInArrow(predict, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", best string, entropy double, n long, score double")
+    return docs.select(*keep, *([] if inside else ["text"])).mapInArrow(predict, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", best string, entropy double, n long, score double")
 
 
 def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
@@ -283,7 +294,7 @@ def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_
     if models is None:
         out = rows.select(*keep, F.lit(UND).alias("best"), F.lit(None).cast("double").alias("entropy"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("score"))
     else:
-        out = _scored(rows, models, keep)
+        out = _scored(rows, models, keep, text_col if carry and dict(docs.dtypes).get(text_col) == "string" else None)
     limits = F.lit(float("inf"))
     if models and models.bounds:
         per_length = F.coalesce(*[F.when(F.col("best") == k, F.array(*map(F.lit, v))) for k, v in models.bounds.items()])
