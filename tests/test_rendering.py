@@ -5,7 +5,8 @@ import math
 import numpy as np
 import pytest
 
-from wavequill.operators import chains, rendering, signals
+from wavequill import storage
+from wavequill.operators import blocks, chains, rendering, signals
 
 RATE, BLOCK = 200, 50
 STEMS = "scene_id string, stem string, start long, left array<double>, right array<double>"
@@ -93,3 +94,58 @@ def test_long_scenes_are_scanned_in_parts(spark):
     for name, x in (("a", speech), ("b", speech[::-1])):
         own = np.concatenate([np.array(row.gain) for row in sorted(got.filter(f"scene_id = '{name}'").collect(), key=lambda row: row.start)])
         assert np.allclose(own, duck(np.ones(5000), x, -20, -12, 20, 225), atol=1e-9)
+
+
+def test_versions_of_short_blocks_share_wider_ones(spark):
+    """Both versions are made together, out of rows of a thousand samples and not of 50; sounds may start before the scene, lie
+    over the seams and end after it."""
+    r = np.random.default_rng(5)
+    speech = np.where(np.arange(2630) // 300 % 2, 0.6, 0.001) * r.uniform(-1, 1, 2630)
+    music, sounds = 0.7 * r.uniform(-1, 1, 2700), [(at, r.uniform(-0.8, 0.8, n)) for at, n in ((-30, 70), (980, 130), (990, 1100), (990, 40), (2600, 90), (5000, 60))]
+    stems = spark.createDataFrame([("a", s, *b) for s, x in (("speech", speech), ("music", music), ("other", music)) for b in cut(x)] + [("b", "speech", *b) for b in cut(speech[:120])], STEMS)
+    events = spark.createDataFrame([("a", i, *b) for i, (at, x) in enumerate(sounds) for b in cut(x, at)], EVENTS)
+    storage.release(spark)
+    chain = {"reverb": {"room_size": 0.1, "damping": 0.4, "wet": 0.3}, "gain_db": 2.0}
+    gains = spark.createDataFrame([("a", "music", -1.0), ("a", "sfx", None), ("b", "speech", 3.0)], "scene_id string, stem string, gain_db double")
+    found, _ = rendering.render(stems, events, {}, {"sfx": chain}, {"sfx_1": {"gain_db": -3.0}}, RATE, BLOCK, gains=gains, versions=("rough", "release"))
+    rows = [spark.read.parquet(p).count() for p in storage._KEPT[spark.sparkContext.applicationId]]
+    assert max(rows[-3:]) == 2 * (3 + 1)  # the stems, their sums and those compressed: two versions, 1000 samples a row
+
+    def sfx(gain):
+        out = np.zeros(2630)
+        for i, (at, x) in enumerate(sounds):
+            low, high = max(at, 0), min(at + len(x), 2630)
+            out[low : max(high, low)] += (x * (gain if i == 1 else 1.0))[low - at : max(high, low) - at]
+        return out
+
+    music = music[:2630] * 10 ** (-1 / 20)
+    for name, f in (("rough", sfx(1.0)), ("release", chains.processed(sfx(10 ** (-3 / 20)), RATE, chain))):
+        own = {k: found[name].stems.filter(f"stem = '{k}'") for k in ("speech", "music", "ambience", "sfx")}
+        assert np.allclose(whole(own["sfx"]), f) and np.allclose(whole(own["music"], "right"), -music) and (whole(own["ambience"]) == np.zeros(2630)).all()
+        assert found[name].stems.filter("stem = 'other'").isEmpty()
+        mix = speech + duck(music, speech, -20, -12, 20, 225) + duck(f, speech, -25, -8, 10, 150)
+        assert np.allclose(whole(found[name].mix), chains.mastered(mix, RATE)) and np.allclose(whole(found[name].mix, "right"), chains.mastered(-mix, RATE))
+        other = found[name].mix.filter("scene_id = 'b'").orderBy("start").collect()
+        assert [(x.start, len(x.left)) for x in other] == [(0, 50), (50, 50), (100, 20)]
+        assert np.allclose(np.concatenate([x.left for x in other]), chains.mastered(speech[:120] * 10 ** (3 / 20), RATE))
+
+
+def test_pieces_are_gathered_over_seams(spark):
+    """Sums of pieces with any starts, as long as the first name's, also where a cell's pieces fill several batches."""
+    r = np.random.default_rng(6)
+    made = [(k, s, int(at), r.standard_normal(int(n)).tolist()) for k in range(5) for s in ("x", "y") for at, n in zip(r.integers(-20, 700, 90), r.integers(1, 150, 90), strict=True)]
+    made += [(k, "z", at, [1.0] * min(40, 100 + 90 * k - at)) for k in range(5) for at in range(0, 100 + 90 * k, 40)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = blocks.gathered(spark.createDataFrame(made, "k long, s string, start long, v array<double>"), ["k"], "s", ("z", "y", "x", "none"), ("v",), 160).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k in range(5):
+        rows, n = sorted((x for x in got if x.k == k), key=lambda x: x.start), 100 + 90 * k
+        assert [(x.start, len(x.z_v)) for x in rows] == [(at, min(160, n - at)) for at in range(0, n, 160)]
+        for s in ("x", "y", "z", "none"):
+            want = np.zeros(2000)
+            for j, name, at, v in made:
+                if (j, name) == (k, s):
+                    want[max(at, 0) : max(at + len(v), 0)] += v[max(-at, 0) :]
+            assert np.allclose(np.concatenate([x[f"{s}_v"] for x in rows]), want[:n])

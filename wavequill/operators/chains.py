@@ -174,6 +174,28 @@ class Sidechain:
         return affine_scan(*self._terms(x), state[..., 0])
 
 
+@dataclass(frozen=True)
+class Sidechains:
+    """Several gains that follow one level: a number of the state each."""
+
+    each: tuple[Sidechain, ...]
+
+    @property
+    def size(self) -> int:
+        return len(self.each)
+
+    def first(self) -> np.ndarray:
+        return np.ones(self.size)
+
+    def summary(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = [own.summary(x) for own in self.each]
+        return np.concatenate([m[:, 0] for m, _ in found], axis=1)[:, :, None] * np.eye(self.size), np.concatenate([o for _, o in found], axis=1)
+
+    def run(self, x: np.ndarray, state: np.ndarray) -> np.ndarray:
+        """The gains of each, one matrix after another."""
+        return np.stack([own.run(x, state[..., i : i + 1]) for i, own in enumerate(self.each)])
+
+
 def compressed(x: np.ndarray, rate: float, threshold: float = -20.0, ratio: float = 2.0, attack: float = 10.0, release: float = 100.0) -> np.ndarray:
     own = Compressor(rate, threshold, ratio, attack, release)
     return own.run(x, own.first())
@@ -298,10 +320,15 @@ def limit(blocks: DataFrame, keys: list[str], rate: float, block: int, ceiling_d
     return B.windowed(blocks, keys, size - 1, size - 1, block, values, lambda x, begin, end: limited_part(x, begin, end, size, ceiling_db))
 
 
+def before_ceiling(blocks: DataFrame, keys: list[str], rate: float, values: tuple[str, ...] = SIDES) -> DataFrame:
+    """Every scene's mix through the mastering compressor, as a table. Blocks are read twice: let them be a table, or cheap to make."""
+    rows = gained(blocks.select(*keys, F.col("start").cast("long").alias("start"), *values), F.lit(MASTER_GAIN), values)
+    return kept(B.scanned(rows, keys, Compressor(rate, **MASTER), values))
+
+
 def master(blocks: DataFrame, keys: list[str], rate: float, block: int, values: tuple[str, ...] = SIDES) -> DataFrame:
     """Every scene's mix through the mastering dynamics. Blocks are read twice: let them be a table, or cheap to make."""
-    rows = gained(blocks.select(*keys, F.col("start").cast("long").alias("start"), *values), F.lit(MASTER_GAIN), values)
-    return limit(kept(B.scanned(rows, keys, Compressor(rate, **MASTER), values)), keys, rate, block, MASTER_CEILING, values)
+    return limit(before_ceiling(blocks, keys, rate, values), keys, rate, block, MASTER_CEILING, values)
 
 
 def to_loudness(blocks: DataFrame, key: str, rate: int, block: int, target: float = -27.0, ceiling: float = -2.0, spread: float = 1.0, values: tuple[str, ...] = SIDES) -> DataFrame:

@@ -7,12 +7,18 @@ speech aren't rendered but listed as failures. Missing stems are silence.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavequill.functions.scalars import quantize16
+from wavequill.operators import blocks as B
 from wavequill.operators import chains, signals
 from wavequill.operators.dimensions import REVERBS
 from wavequill.operators.scene_types import STEMS
@@ -82,6 +88,38 @@ def _full(scenes: DataFrame, stems: DataFrame, block: int) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def bus(cells: DataFrame, keys: list[str], rate: int, ducks: DataFrame | None = None) -> DataFrame:
+    """keys, start, left and right: the sum of all stems of `cells` (a row holds all of them, at one length) with music and sfx
+    ducked under the speech. `ducks`: as in `signals.mix_bus`. Cells are read twice: let them be a table."""
+    at, names = [*keys, "start"], [*signals.BUS]
+    coefficient = lambda ms: math.exp(-1000 / (rate * ms))
+    own = chains.Sidechains(tuple(chains.Sidechain(10 ** (b["threshold_db"] / 20), 10 ** (b["reduction_db"] / 20), coefficient(b["attack_ms"]), coefficient(b["release_ms"])) for b in signals.BUS.values()))
+    level = F.zip_with("speech_left", "speech_right", lambda a, b: (F.abs(a) + F.abs(b)) / 2)
+    states = B.starts(cells.select(*at, level.alias("level")), keys, own, ("level",))
+    if ducks is None:
+        asked = cells.withColumns({f"_{s}": F.lit(True) for s in names})
+    else:  # scenes without a row aren't ducked, flags of null are true
+        flags = ducks.select(*KEYS, *[F.coalesce(F.col(f"duck_{s}"), F.lit(True)).alias(f"_{s}") for s in names])
+        asked = cells.join(flags, KEYS, "left").withColumns({f"_{s}": F.coalesce(f"_{s}", F.lit(False)) for s in names})
+    columns = tuple(f"{s}_{v}" for s in STEMS for v in signals.SIDES)
+
+    def mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in B.parts(whole, columns)):
+            x = {c: B.Rows(batch.column(c)) for c in columns}
+            heard, begins = x["speech_left"], np.array(batch.column("state").to_pylist())[:, 0]
+            flat = (np.abs(heard.flat) + np.abs(x["speech_right"].flat)) / 2
+            gains = {s: B.Rows(batch.column("speech_left")) for s in names}
+            on = {s: batch.column(f"_{s}").to_numpy(zero_copy_only=False).astype(bool) for s in names}
+            for rows in B.alike(heard.sizes):
+                found = own.run(flat[heard.begins[rows][:, None] + np.arange(heard.sizes[rows[0]])], begins[rows])
+                for s, g in zip(names, found, strict=True):
+                    gains[s].put(rows, np.where(on[s][rows][:, None], g, 1.0))
+            sums = [sum(x[f"{s}_{v}"].flat * gains[s].flat if s in gains else x[f"{s}_{v}"].flat for s in STEMS) for v in signals.SIDES]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in at), *(B.listed(y, heard.sizes) for y in sums)], names=[*at, *signals.SIDES])
+
+    return asked.join(states, at).mapInArrow(mixed, B.kinds(cells, at) + "".join(f", `{v}` array<double>" for v in signals.SIDES))
+
+
 def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: dict[str, dict], event_settings: dict[str, dict], rate: int, block: int, gains: DataFrame | None = None, ducks: DataFrame | None = None, versions: tuple[str, ...] = ("rough", "linear", "release")) -> tuple[dict[str, Rendered], DataFrame]:
     """The `versions` asked for, and the failures (scene_id, error).
 
@@ -90,15 +128,25 @@ def render(stems: DataFrame, events: DataFrame, rough: dict[str, dict], final: d
     """
     scenes = signals.lengths(stems.filter("stem = 'speech'"), KEYS)
     failures = stems.select(*KEYS).distinct().join(scenes, KEYS, "left_anti").withColumn("error", F.lit("no speech stem"))
-    found = {}
-    effects = event_effects(events, event_settings, rate, block)
+    found, effects = {}, event_effects(events, event_settings, rate, block)
+    parts = []
     for name, settings, sounds in (("rough", rough, events), ("release", final, effects)):
-        if name not in versions:
-            continue
-        own = _full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), settings, rate, block, gains), block)
-        sfx = processed_stems(sfx_stem(scenes, sounds, block), settings, rate, block, gains)
-        whole = own.unionByName(sfx)
-        found[name] = Rendered(whole, chains.master(kept(signals.mix_bus(whole, KEYS, rate, ducks)), KEYS, rate, block))
+        if name in versions:
+            own = processed_stems(stems.filter(F.col("stem").isin(*STEMS[:3])), settings, rate, block, gains)
+            only_gain = not any(v is not None for k, v in (settings.get("sfx") or {}).items() if k != "gain_db")
+            # a gain is the same on every event as on their sum
+            sfx = sounds.select(*KEYS, F.lit("sfx").alias("stem"), "start", *signals.SIDES) if only_gain else sfx_stem(scenes, sounds, block)
+            parts += [p.withColumn("version", F.lit(name)) for p in (own, processed_stems(sfx, settings, rate, block, gains))]
+    if parts:
+        keys, size = [*KEYS, "version"], B.wide(block)
+        cells = kept(B.gathered(reduce(DataFrame.unionByName, parts), keys, "stem", STEMS, signals.SIDES, size))
+        loud = chains.before_ceiling(kept(bus(cells, keys, rate, ducks)), keys, rate)
+        each = F.explode(F.array(*[F.struct(F.lit(s).alias("stem"), *[F.col(f"{s}_{v}").alias(v) for v in signals.SIDES]) for s in STEMS])).alias("s")
+        whole = cells.select(*keys, "start", each).select(*keys, "start", "s.*")
+        for name in (v for v in ("rough", "release") if v in versions):
+            one = lambda df: df.filter(F.col("version") == name).drop("version")  # noqa: B023, E731
+            mix = chains.limit(one(loud), KEYS, rate, size, chains.MASTER_CEILING)
+            found[name] = Rendered(B.regridded(one(whole), [*KEYS, "stem"], block, signals.SIDES), B.regridded(mix, KEYS, block, signals.SIDES))
     if "linear" not in versions:
         return found, failures
     own = kept(_full(scenes, processed_stems(stems.filter("stem <> 'sfx'"), final, rate, block, gains), block))

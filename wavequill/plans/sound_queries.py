@@ -272,20 +272,18 @@ _ROUGH, _FINAL, _EVENTS = {"music": {"gain_db": -6.0}}, {"music": {"gain_db": -3
 
 def _scene_parts(t):
     """Speech, music and ambience of all users, and three sounds each at their places."""
-    p = _samples(t).withColumnRenamed("user_id", "scene_id")
+    p = kept(_blocks(_samples(t)).select(F.col("user_id").alias("scene_id"), "start", "left"))
+    before = lambda pos: F.slice("left", F.lit(1), F.greatest(pos - F.col("start"), F.lit(0)).cast("int"))
     made = {
-        "speech": p.withColumn("x", F.col("x") * F.when(F.col("pos") % 7 < 4, 0.3).otherwise(0.01)),
-        "music": p.filter("pos < 55").withColumn("x", 1 - F.col("x")),
-        "ambience": p.filter("pos < 30").withColumn("x", F.col("x") * 0.1),
+        "speech": F.transform("left", lambda x, i: x * F.when((F.col("start") + i) % 7 < 4, 0.3).otherwise(0.01)),
+        "music": F.transform(before(55), lambda x: 1 - x),
+        "ambience": F.transform(before(30), lambda x: x * 0.1),
     }
-    keys = ("scene_id", "stem")
-    stems = None
-    for name, rows in made.items():
-        own = _blocks(rows.withColumn("stem", F.lit(name)), keys=keys)
-        stems = own if stems is None else stems.unionByName(own)
-    sounds = p.filter("pos < 20").withColumn("idx", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("x", F.col("x") * (F.col("idx") + 1) / 4)
-    events = _blocks(sounds, keys=("scene_id", "idx")).withColumn("start", F.col("start") + 9 * F.col("idx") + 4)
-    return kept(stems), kept(events)
+    stems = p.select("scene_id", F.explode(F.array(*[F.struct(F.lit(k).alias("stem"), v.alias("left")) for k, v in made.items()])).alias("s"), "start").select("scene_id", "s.stem", "start", "s.left")
+    sounds = p.filter("start < 20").select("scene_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("idx"), "start", before(20).alias("left"))
+    events = sounds.select("scene_id", "idx", (F.col("start") + 9 * F.col("idx") + 4).alias("start"), F.transform("left", lambda x: x * (F.col("idx") + 1) / 4).alias("left"))
+    sides = lambda df: df.filter(F.size("left") > 0).withColumn("right", F.transform("left", lambda x: x * -0.5))
+    return sides(stems), sides(events)
 
 
 _PARTS = f"""{_E}, p AS MATERIALIZED (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY s, event_id) - 1 AS pos, x FROM e), n AS (SELECT user_id, count(*) AS n FROM p GROUP BY user_id),
