@@ -64,14 +64,15 @@ def event_effects(events: DataFrame, settings: dict[str, dict], rate: int, block
 
 
 def under_speech(events: DataFrame, speech: DataFrame, rate: int, block: int, **settings: float) -> DataFrame:
-    """Every event ducked under the speech at its place; each starts with a gain of 1."""
+    """Every event ducked under the speech at its place; each starts with a gain of 1. Short blocks are gathered to longer ones,
+    counted from the event's start."""
     spans = events.groupBy(*KEYS, "idx").agg(F.min("start").alias("onset"), F.max(F.col("start") + F.size("left")).alias("stop"))
     own = events.join(spans.select(*KEYS, "idx", "onset"), [*KEYS, "idx"])
     keys = [*KEYS, "idx", "onset"]
-    grid = signals.placed(own.withColumn("start", F.col("start") - F.col("onset")), keys, block)
     heard = signals.sliced(speech.join(spans, KEYS), F.col("onset"), F.col("stop"))
-    quiet = signals.silence(spans.withColumn("n", F.col("stop") - F.col("onset")), keys, "n", block)
-    detector = signals.placed(heard.select(*keys, "start", *signals.SIDES).unionByName(quiet), keys, block)
+    pieces = [p.select(*keys, F.lit(name).alias("part"), "start", *signals.SIDES) for name, p in (("event", own.withColumn("start", F.col("start") - F.col("onset"))), ("speech", heard))]
+    cells = kept(B.gathered(pieces[0].unionByName(pieces[1]), keys, "part", ("event", "speech"), signals.SIDES, B.wide(block)))
+    grid, detector = (cells.select(*keys, "start", *[F.col(f"{name}_{v}").alias(v) for v in signals.SIDES]) for name in ("event", "speech"))
     found = signals.ducked(grid, detector, keys, rate, **settings)
     return found.select(*KEYS, "idx", (F.col("start") + F.col("onset")).alias("start"), *signals.SIDES)
 
@@ -189,8 +190,11 @@ def plain_mix(stems: DataFrame, events: DataFrame, rate: int, block: int, gains:
     if ducks:
         music = signals.ducked(music, speech, KEYS, rate)
         events = under_speech(events, speech, rate, block, **PLAIN_EVENTS)
-    parts = [loud.filter("stem <> 'music'"), music, events, signals.silence(scenes, KEYS, "n", block)]
+    size = B.wide(block)
+    parts = [loud.filter("stem <> 'music'"), music, events, signals.silence(scenes, KEYS, "n", size)]
     whole = parts[0].select(*KEYS, "start", *signals.SIDES)
     for p in parts[1:]:
         whole = whole.unionByName(p.select(*KEYS, "start", *signals.SIDES))
-    return chains.master(kept(signals.placed(whole, KEYS, block)), KEYS, rate, block)
+    cells = B.gathered(whole.withColumn("part", F.lit("mix")), KEYS, "part", ("mix",), signals.SIDES, size)
+    mix = kept(cells.select(*KEYS, "start", *[F.col(f"mix_{v}").alias(v) for v in signals.SIDES]))
+    return B.regridded(chains.master(mix, KEYS, rate, size), KEYS, block, signals.SIDES)
